@@ -55,10 +55,11 @@ def running(
     values: dict[str, tuple[str, Column]],
     max_rows: int = MAX_ROWS_PER_TASK,
 ) -> DataFrame:
-    """Add running values per key in ascending `order`; the current row is included.
+    """Add running values per key in ascending `order`.
 
-    `values` maps an output name to (kind, column); kinds are "sum", "max", "last" (latest value
-    that is not null) and "previous" (value of the row before).
+    `values` maps an output name to (kind, column). The kinds "sum", "max" and "last" (latest value
+    that is not null) include the current row; "max_before" stops at the row before, and "previous"
+    is the value of the row before. `order` must be total within a key.
 
     Keys with at most `max_rows` rows take one window. A larger key is cut into ranges of its
     leading (integral) order column; windows run per range, one summary row per range is carried
@@ -86,6 +87,7 @@ def running(
 
     upto = Window.partitionBy(*keys, "__seg").orderBy(*order)
     frame = upto.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    earlier = upto.rowsBetween(Window.unboundedPreceding, -1)
     local, summary, carry = [], [], []
     before = Window.partitionBy(*keys).orderBy("__seg").rowsBetween(Window.unboundedPreceding, -1)
     position = _order_key(order)
@@ -95,8 +97,8 @@ def running(
             local.append(F.sum(col).over(frame).alias(part))
             summary.append(F.sum(col).alias(total))
             carry.append(F.sum(total).over(before).alias(total))
-        elif kind == "max":
-            local.append(F.max(col).over(frame).alias(part))
+        elif kind in ("max", "max_before"):
+            local.append(F.max(col).over(frame if kind == "max" else earlier).alias(part))
             summary.append(F.max(col).alias(total))
             carry.append(F.max(total).over(before).alias(total))
         elif kind == "last":
@@ -125,7 +127,7 @@ def running(
             out.append(
                 F.when(total.isNull(), part).otherwise(F.coalesce(part, F.lit(0)) + total).alias(name)
             )
-        elif kind == "max":
+        elif kind in ("max", "max_before"):
             out.append(F.greatest(part, total).alias(name))
         elif kind == "last":
             out.append(F.coalesce(part, total).alias(name))
