@@ -332,7 +332,7 @@ def signatories(text: Column, patterns: Sequence[dict], promulgated: Column | No
 
 def strip_fences(text: Column) -> Column:
     """Remove a code fence around a reply."""
-    opened = F.regexp_replace(F.btrim(text, F.lit(_BLANK)), r"^```(?:json)?", "")
+    opened = F.regexp_replace(F.btrim(text, F.lit(_BLANK)), r"^(?:```json)?(?:```)?", "")
     return F.btrim(F.regexp_replace(opened, r"```$", ""), F.lit(_BLANK))
 
 
