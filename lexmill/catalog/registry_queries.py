@@ -12,6 +12,7 @@ from lexmill.catalog.text_queries import _DATE_ISO, _re2
 from lexmill.functions import ids, scoring, text
 from lexmill.operators import enumerate as cursors_
 from lexmill.operators import ranges, registry as read, reports, select, throttle
+from lexmill.session import materialize
 
 
 @query(
@@ -352,7 +353,7 @@ def range_merge_overlapping(spark, path):
 )
 def range_contains(spark, path):
     t = Tables(spark, path)
-    merged = ranges.numbers_to_ranges(_points(t, "EXTRACTED"))
+    merged = materialize(ranges.numbers_to_ranges(_points(t, "EXTRACTED")), "not-found-ranges")
     points = t.registry.select(F.col("type").alias("document_type"), "year", "number")
     return ranges.contained(points, merged)
 
@@ -365,7 +366,7 @@ def range_contains(spark, path):
 )
 def range_overlap(spark, path):
     t = Tables(spark, path)
-    merged = ranges.numbers_to_ranges(_points(t, "EXTRACTED"))
+    merged = materialize(ranges.numbers_to_ranges(_points(t, "EXTRACTED")), "not-found-ranges")
     points = t.registry.select(F.col("type").alias("document_type"), "year", "number")
     return ranges.touching_counts(points, merged)
 
@@ -565,10 +566,10 @@ def high_confidence_articles(spark, path):
 
 @query(
     "text_search",
-    "SELECT doc_id, CAST((length(lower(text)) - length(replace(lower(text), 'mentla', ''))) // 6 AS BIGINT) AS n_hits FROM documents WHERE contains(lower(text), 'mentla')",
+    "SELECT doc_id, CAST((length(lower(text)) - length(replace(lower(text), 'heon', ''))) // 4 AS BIGINT) AS n_hits FROM documents WHERE contains(lower(text), 'heon')",
 )
 def text_search(spark, path):
-    return read.search(Tables(spark, path).documents, "MentLa", F.col("text")).select("doc_id", "n_hits")
+    return read.search(Tables(spark, path).documents, "HeOn", F.col("text")).select("doc_id", "n_hits")
 
 
 @query(

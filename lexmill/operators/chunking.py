@@ -144,12 +144,16 @@ def chunk_numbers(sizes: Column, head: Column, limit: int) -> Column:
     return F.aggregate(sizes, start, step, lambda acc: acc["out"])
 
 
-def article_chunks(docs: DataFrame, id_col: str, articles: str, head: Column, limit: int) -> DataFrame:
+def article_chunks(
+    docs: DataFrame, id_col: str, articles: str, head: Column, limit: int, sizes: Column | None = None
+) -> DataFrame:
     """Pack the articles of a document into chunks; every chunk repeats the document's metadata.
 
-    One row per chunk: (id, chunk_index, articles). Documents below the limit stay whole.
+    One row per chunk: (id, chunk_index, articles). Documents below the limit stay whole. An
+    article counts with the length of its JSON text unless `sizes` says otherwise.
     """
-    sizes = F.transform(articles, lambda a: F.length(F.to_json(a)).cast("long"))
+    if sizes is None:
+        sizes = F.transform(articles, lambda a: F.length(F.to_json(a)).cast("long"))
     whole = head + F.aggregate(sizes, F.lit(0).cast("long"), lambda acc, x: acc + x) <= limit
     numbers = F.when(whole, F.transform(articles, lambda a: F.lit(0))).otherwise(chunk_numbers(sizes, head, limit))
     return (

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.operators.skew import MAX_ROWS_PER_TASK, running
+from lexmill.operators.skew import MAX_ROWS_PER_TASK, ordered, running, running_values
 
 KEYS = ("document_type", "year")
 
@@ -20,17 +20,16 @@ def merge_ranges(ranges: DataFrame, keys: Sequence[str] = KEYS, max_rows: int =
     """
     keys = list(keys)
     # Equal ranges are added up first, which also makes (number_min, number_max) a total order.
-    ranges = ranges.groupBy(*keys, "number_min", "number_max").agg(
+    merged = ranges.groupBy(*keys, "number_min", "number_max").agg(
         F.sum("document_count").alias("document_count")
     )
     order = [F.col("number_min"), F.col("number_max")]
-    reached = running(ranges, keys, order, {"__reach": ("max_before", F.col("number_max"))}, max_rows)
+    rows = ordered(merged, keys, order[0], max_rows, sized_by=ranges)
+    rows = running_values(rows, order, {"__reach": ("max_before", F.col("number_max"))})
     opens = F.coalesce(F.col("number_min") > F.col("__reach") + 1, F.lit(True)).cast("long")
-    numbered = running(
-        reached.withColumn("__opens", opens), keys, order, {"__island": ("sum", F.col("__opens"))}, max_rows
-    )
+    rows = running_values(rows, order, {"__island": ("sum", opens)})
     return (
-        numbered.groupBy(*keys, "__island")
+        rows.df.groupBy(*keys, "__island")
         .agg(
             F.min("number_min").alias("number_min"),
             F.max("number_max").alias("number_max"),

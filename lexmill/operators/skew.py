@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lexmill.session import materialize
+
 # Rows of one key that a single task may order. A key above it is cut into ranges.
 MAX_ROWS_PER_TASK = 1_000_000
 # A lookup is broadcast only when its measured size is below this.
@@ -48,28 +51,34 @@ def _order_key(order: Sequence[Column]) -> Column:
     return F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)])
 
 
-def running(
+@dataclass(frozen=True)
+class Ordered:
+    """Rows prepared for running values: `split` says whether large keys were cut into ranges."""
+
+    df: DataFrame
+    keys: tuple[str, ...]
+    split: bool
+
+
+def ordered(
     df: DataFrame,
     keys: Sequence[str],
-    order: Sequence[Column],
-    values: dict[str, tuple[str, Column]],
+    lead: Column,
     max_rows: int = MAX_ROWS_PER_TASK,
-) -> DataFrame:
-    """Add running values per key in ascending `order`.
-
-    `values` maps an output name to (kind, column). The kinds "sum", "max" and "last" (latest value
-    that is not null) include the current row; "max_before" stops at the row before, and "previous"
-    is the value of the row before. `order` must be total within a key.
-
-    Keys with at most `max_rows` rows take one window. A larger key is cut into ranges of its
-    leading (integral) order column; windows run per range, one summary row per range is carried
-    forward, and the carry is joined back. At most rows / max_rows keys are large, which bounds
-    both broadcast sides.
+    sized_by: DataFrame | None = None,
+) -> Ordered:
+    """Prepare `df` for running values per key, ordered by the integral column `lead` first.
+
+    The rows per key are counted once (a narrow aggregate that combines before its shuffle). If no
+    key exceeds `max_rows`, the rows are hashed by key and every later window reuses that layout.
+    Otherwise rows of a large key get a range number `__seg`, a monotone function of `lead`, and
+    are hashed by (key, range). At most rows / max_rows keys are large, which bounds the broadcast
+    of their statistics. `sized_by` may name a cheaper table with the same keys and `lead`.
     """
     keys = list(keys)
-    lead = order[0]
     stats = (
-        df.groupBy(*keys)
+        (df if sized_by is None else sized_by)
+        .groupBy(*keys)
         .agg(
             F.count(F.lit(1)).alias("__n"),
             F.min(lead).cast("double").alias("__lo"),
@@ -77,20 +86,40 @@ def running(
         )
         .where(F.col("__n") > max_rows)
     )
+    if stats.isEmpty():
+        return Ordered(df.repartition(*keys), tuple(keys), False)
     width = (F.col("__hi") - F.col("__lo") + 1) / F.ceil(F.col("__n") / max_rows)
-    cut = df.join(F.broadcast(stats), keys, "left").withColumn(
-        "__seg",
-        F.when(F.col("__n").isNull(), F.lit(0).cast("long")).otherwise(
-            F.floor((lead.cast("double") - F.col("__lo")) / width)
-        ),
+    seg = F.when(F.col("__n").isNull(), F.lit(-1).cast("long")).otherwise(
+        F.floor((lead.cast("double") - F.col("__lo")) / width)
     )
+    cut = df.join(F.broadcast(stats), keys, "left").withColumn("__seg", F.coalesce(seg, F.lit(-1).cast("long")))
+    cut = cut.drop("__n", "__lo", "__hi").repartition(*keys, "__seg")
+    return Ordered(materialize(cut, "ranges"), tuple(keys), True)
+
 
-    upto = Window.partitionBy(*keys, "__seg").orderBy(*order)
+def running_values(
+    rows: Ordered,
+    order: Sequence[Column],
+    values: dict[str, tuple[str, Column]],
+    within: Sequence[str] = (),
+) -> Ordered:
+    """Add running values in ascending `order`, restarting for each value of the `within` columns.
+
+    `values` maps an output name to (kind, column). The kinds "sum", "max" and "last" (latest value
+    that is not null) include the current row; "max_before" stops at the row before, and "previous"
+    is the value of the row before. `order` must be total within a key.
+
+    For split keys the windows run per range, one summary row per range is carried forward, and
+    the carry is joined back.
+    """
+    df, keys = rows.df, [*rows.keys, *within]
+    part_by = [*keys, "__seg"] if rows.split else keys
+    upto = Window.partitionBy(*part_by).orderBy(*order)
     frame = upto.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     earlier = upto.rowsBetween(Window.unboundedPreceding, -1)
-    local, summary, carry = [], [], []
     before = Window.partitionBy(*keys).orderBy("__seg").rowsBetween(Window.unboundedPreceding, -1)
     position = _order_key(order)
+    local, summary, carry = [], [], []
     for name, (kind, col) in values.items():
         part, total = f"__l_{name}", f"__t_{name}"
         if kind == "sum":
@@ -113,27 +142,40 @@ def running(
         else:
             raise ValueError(f"unknown running kind: {kind}")
 
-    totals = (
-        cut.where(F.col("__n").isNotNull())
-        .groupBy(*keys, "__seg")
-        .agg(*summary)
-        .select(*keys, "__seg", *carry)
-    )
-    joined = cut.select("*", *local).join(F.broadcast(totals), [*keys, "__seg"], "left")
+    result = df.select("*", *local)
+    if rows.split:
+        # Summary rows: rows / max_rows per split key at most, so the broadcast is bounded.
+        totals = df.where("__seg >= 0").groupBy(*part_by).agg(*summary).select(*part_by, *carry)
+        result = result.join(F.broadcast(totals), part_by, "left")
     out = []
     for name, (kind, _) in values.items():
-        part, total = F.col(f"__l_{name}"), F.col(f"__t_{name}")
+        part = F.col(f"__l_{name}")
+        if not rows.split:
+            out.append((part["v"] if kind == "previous" else part).alias(name))
+            continue
+        total = F.col(f"__t_{name}")
         if kind == "sum":
-            out.append(
-                F.when(total.isNull(), part).otherwise(F.coalesce(part, F.lit(0)) + total).alias(name)
-            )
+            both = F.when(total.isNull(), part).otherwise(F.coalesce(part, F.lit(0)) + total)
         elif kind in ("max", "max_before"):
-            out.append(F.greatest(part, total).alias(name))
-        elif kind == "last":
-            out.append(F.coalesce(part, total).alias(name))
+            both = F.greatest(part, total)
         else:
-            out.append(F.coalesce(part, total)["v"].alias(name))
-    return joined.select(*df.columns, *out)
+            both = F.coalesce(part, total)
+        out.append((both["v"] if kind == "previous" else both).alias(name))
+    result = result.select(*df.columns, *out)
+    return replace(rows, df=materialize(result, "running") if rows.split else result)
+
+
+def running(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[Column],
+    values: dict[str, tuple[str, Column]],
+    max_rows: int = MAX_ROWS_PER_TASK,
+    sized_by: DataFrame | None = None,
+) -> DataFrame:
+    """One round of running values; see `ordered` and `running_values`."""
+    rows = running_values(ordered(df, keys, order[0], max_rows, sized_by), order, values)
+    return rows.df.drop("__seg")
 
 
 def micros(ts: Column) -> Column:

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.functions.scoring import DELAY_STEP_MS, MAX_ATTEMPTS, delay_reset, delay_tier
-from lexmill.operators.skew import MAX_ROWS_PER_TASK, micros, running
+from lexmill.operators.skew import MAX_ROWS_PER_TASK, micros, ordered, running_values
 
 
 def throttle_windows(log: DataFrame, ts: str, throttled: Column, interval: str = "5 minutes") -> DataFrame:
@@ -46,28 +47,27 @@ def adaptive_delay(
     key's history is gathered in one place.
     """
     keys = list(keys)
-    pos = [micros(F.col(ts)), *order]
-    spans = log.withColumn("__t", pos[0]).withColumn("__h", throttled.cast("long")).withColumn(
+    spans = log.withColumns({"__t": micros(F.col(ts)), "__h": throttled.cast("long")}).withColumn(
         "__span", F.floor(F.col("__t") / F.lit(interval_seconds * 1_000_000))
     )
+    by_time = [F.col("__t"), *order]
+    rows = ordered(spans, keys, F.col("__t"), max_rows)
     one = F.lit(1).cast("long")
-    counted = running(
-        spans,
-        [*keys, "__span"],
-        [F.col("__t"), *order],
-        {"n_requests": ("sum", one), "n_throttled": ("sum", F.col("__h"))},
-        max_rows,
-    ).where("__h = 1")
-    rated = counted.withColumn("rate", F.col("n_throttled") / F.col("n_requests")).withColumn(
-        "__set", delay_reset(F.col("rate")).cast("long")
+    rows = running_values(
+        rows, by_time, {"n_requests": ("sum", one), "n_throttled": ("sum", F.col("__h"))}, within=["__span"]
+    )
+    rated = (
+        rows.df.where("__h = 1")
+        .withColumn("rate", F.col("n_throttled") / F.col("n_requests"))
+        .withColumn("__set", delay_reset(F.col("rate")).cast("long"))
     )
     decay = F.col("__set").isNull().cast("long")
-    decayed = running(rated, keys, [F.col("__t"), *order], {"__decays": ("sum", decay)}, max_rows)
+    rows = running_values(replace(rows, df=rated), by_time, {"__decays": ("sum", decay)})
     lifted = F.when(F.col("__set").isNotNull(), F.col("__set") + F.col("__decays") * DELAY_STEP_MS)
-    held = running(decayed, keys, [F.col("__t"), *order], {"__level": ("last", lifted)}, max_rows)
+    held = running_values(rows, by_time, {"__level": ("last", lifted)}).df
     delay = F.greatest(F.lit(0), F.coalesce("__level", F.lit(0)) - F.col("__decays") * DELAY_STEP_MS)
     return held.withColumn("delay_ms", delay.cast("int")).drop(
-        "__t", "__h", "__span", "__set", "__decays", "__level"
+        "__seg", "__t", "__h", "__span", "__set", "__decays", "__level"
     )
 
 
