@@ -107,7 +107,7 @@ def page_batches(spark, path):
     return chunking.page_batches(Tables(spark, path).conversations, "conv_id", "turn", 3)
 
 
-_STOP = "WHICH"
+_STOP = "HABLE"
 _PAGES = f"""WITH s AS (SELECT conv_id, min(turn) FILTER (contains(upper(text), '{_STOP}')) AS stop, max(turn) AS last, min(turn) AS first FROM conversations GROUP BY 1),
 kept AS (SELECT c.conv_id, c.turn, CASE WHEN last - first + 1 > 1 THEN chr(10) || chr(10) || '=== Page ' || (turn - first + 1) || '/' || (last - first + 1) || ' ===' || chr(10) || chr(10) || text ELSE text END AS page_text
   FROM conversations c JOIN s USING (conv_id) WHERE (stop IS NULL OR turn <= stop) AND length(trim(text, ' ' || chr(9) || chr(10) || chr(13))) > 0)
@@ -172,8 +172,7 @@ def json_parts_sql() -> str:
   title IS NOT NULL AS writes_title, n_signatories > 0 AS writes_signatories FROM parts""",
 )
 def build_json(spark, path):
-    doc = jsondoc.normalize(F.col("json"))
-    return built_json(Tables(spark, path)).select("json", doc.alias("d")).select(
+    return jsondoc.with_document(built_json(Tables(spark, path)).drop("type", "year", "number"), out="d").select(
         F.col("d.documentId").alias("document_id"),
         "d.type",
         "d.year",
@@ -199,8 +198,8 @@ _BROKEN_SPARK = _BROKEN.replace("'{broken ' || props", "concat('{broken ', props
 FROM (SELECT event_id, {_BROKEN} AS j FROM events)""",
 )
 def json_structure(spark, path):
-    rows = Tables(spark, path).events.select("event_id", F.expr(_BROKEN_SPARK).alias("j"))
-    return rows.select("event_id", jsondoc.has_structure(F.col("j")).alias("valid"))
+    rows = Tables(spark, path).events.select("event_id", F.expr(_BROKEN_SPARK).alias("json"))
+    return jsondoc.with_root(rows).select("event_id", jsondoc.has_structure(F.col("root")).alias("valid"))
 
 
 _PRESENT = " + ".join(
@@ -214,8 +213,8 @@ _PRESENT = " + ".join(
 FROM (SELECT event_id, CASE WHEN json_valid(j) THEN j ELSE '{{}}' END AS j FROM (SELECT event_id, {_BROKEN} AS j FROM events))""",
 )
 def json_metadata_score(spark, path):
-    rows = Tables(spark, path).events.select("event_id", F.expr(_BROKEN_SPARK).alias("j"))
-    return rows.select("event_id", F.round(jsondoc.metadata_score(F.col("j")), 6).alias("score"))
+    rows = Tables(spark, path).events.select("event_id", F.expr(_BROKEN_SPARK).alias("json"))
+    return jsondoc.with_root(rows).select("event_id", F.round(jsondoc.metadata_score(F.col("root")), 6).alias("score"))
 
 
 @query(
@@ -224,8 +223,8 @@ def json_metadata_score(spark, path):
     + """SELECT document_id, round(CAST(0.30 + 0.3 * 0.30 + CASE WHEN strict THEN 0.30 ELSE 0.15 END + CASE WHEN n_signatories > 0 THEN 0.10 ELSE 0.0 END AS DOUBLE), 6) AS quality FROM parts""",
 )
 def json_quality(spark, path):
-    docs = built_json(Tables(spark, path))
-    return docs.select("document_id", F.round(jsondoc.quality_score(F.col("json")), 6).alias("quality"))
+    docs = jsondoc.with_root(built_json(Tables(spark, path)))
+    return docs.select("document_id", F.round(jsondoc.quality_score(F.col("root")), 6).alias("quality"))
 
 
 @query(
@@ -233,8 +232,8 @@ def json_quality(spark, path):
     """SELECT event_id, CAST(CASE event_id % 5 WHEN 1 THEN 0.3 + 0.03 + 0.3 WHEN 2 THEN 0.15 WHEN 3 THEN 0.15 + 0.1 ELSE 0.0 END AS DOUBLE) AS quality FROM events""",
 )
 def json_quality_mixed(spark, path):
-    rows = Tables(spark, path).events.select("event_id", F.expr(_BROKEN_SPARK).alias("j"))
-    return rows.select("event_id", F.round(jsondoc.quality_score(F.col("j")), 6).alias("quality"))
+    rows = Tables(spark, path).events.select("event_id", F.expr(_BROKEN_SPARK).alias("json"))
+    return jsondoc.with_root(rows).select("event_id", F.round(jsondoc.quality_score(F.col("root")), 6).alias("quality"))
 
 
 @query(
@@ -257,6 +256,7 @@ def model_reply_confidence(spark, path):
         )
     )
     fenced = text.strip_fences(F.concat(F.lit("```json\n"), reply, F.lit("\n```")))
-    return Tables(spark, path).conversations.select(
-        "conv_id", "turn", F.round(jsondoc.model_reply_confidence(fenced), 6).alias("confidence")
+    replies = jsondoc.with_root(Tables(spark, path).conversations.select("conv_id", "turn", fenced.alias("json")))
+    return replies.select(
+        "conv_id", "turn", F.round(jsondoc.model_reply_confidence(F.col("root")), 6).alias("confidence")
     )

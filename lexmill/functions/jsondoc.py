@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.functions import scoring
+from lexmill.functions.rowwise import once
 from lexmill.schemas import DIALECT_JSON
 
 # The fields whose presence inside `_metadata` is scored.
@@ -65,9 +66,12 @@ def build_document(
     )
 
 
-def normalize(json: Column) -> Column:
-    """Read any of the three dialects into the programmatic one."""
-    d = F.from_json(json, DIALECT_JSON)
+def with_document(df: DataFrame, json: str = "json", out: str = "doc") -> DataFrame:
+    """Read any of the three dialects into the programmatic one; null for unreadable text."""
+    return once(once(df, __d=F.from_json(json, DIALECT_JSON)), **{out: _normalize(F.col("__d"))}).drop("__d")
+
+
+def _normalize(d: Column) -> Column:
     return F.when(
         d.isNotNull(),
         F.struct(
@@ -116,57 +120,63 @@ def normalize(json: Column) -> Column:
     )
 
 
-def _raw(json: Column, path: str) -> Column:
-    return F.get_json_object(json, path)
+def with_root(df: DataFrame, json: str = "json", out: str = "root") -> DataFrame:
+    """Add the top-level fields of a JSON text as a map of raw texts, parsed once."""
+    return once(df, **{out: F.from_json(json, "map<string,string>")})
+
 
+def _array_size(root: Column, field: str) -> Column:
+    """Elements of an array field; null when absent or not an array."""
+    raw = root[field]
+    return F.when(raw.startswith("["), F.json_array_length(raw))
 
-def is_array(json: Column, field: str) -> Column:
-    return F.coalesce(F.json_array_length(_raw(json, f"$.{field}")) >= 0, F.lit(False))
 
+def _not_array(root: Column, field: str) -> Column:
+    return F.map_contains_key(root, field) & _array_size(root, field).isNull()
 
-def has_structure(json: Column) -> Column:
+
+def has_structure(root: Column) -> Column:
     """`_metadata` present and a non-empty `articles` array; false for anything unreadable."""
-    return F.coalesce(
-        _raw(json, "$._metadata").isNotNull() & (F.json_array_length(_raw(json, "$.articles")) > 0),
-        F.lit(False),
-    )
+    return F.coalesce(F.map_contains_key(root, "_metadata") & (_array_size(root, "articles") > 0), F.lit(False))
 
 
-def metadata_score(json: Column, fields: Sequence[str] = tuple(METADATA_FIELDS)) -> Column:
+def metadata_score(root: Column, fields: Sequence[str] = tuple(METADATA_FIELDS)) -> Column:
     """Share of the named fields present inside `_metadata`; absent and null both count as missing."""
-    present = [_raw(json, f"$._metadata.{f}").isNotNull().cast("int") for f in fields]
-    return reduce(lambda a, b: a + b, present) / F.lit(float(len(fields)))
+    inner = F.from_json(root["_metadata"], "map<string,string>")
+    present = F.size(F.filter(F.map_entries(inner), lambda e: e["key"].isin(*fields) & e["value"].isNotNull()))
+    return F.greatest(F.coalesce(present, F.lit(0)), F.lit(0)) / F.lit(float(len(fields)))
 
 
-def article_indexes(json: Column) -> Column:
+def article_indexes(root: Column) -> Column:
     """Indexes of the articles that carry one, in order."""
-    parsed = F.from_json(_raw(json, "$.articles"), "array<struct<index:int>>")
+    parsed = F.from_json(root["articles"], "array<struct<index:int>>")
     return F.transform(F.filter(parsed, lambda a: a["index"].isNotNull()), lambda a: a["index"])
 
 
-def quality_score(json: Column) -> Column:
+def quality_score(root: Column) -> Column:
     """Structure, metadata, article order and signatories in one score; unreadable JSON scores 0."""
-    ordered = F.coalesce(scoring.strictly_sequential(article_indexes(json)), F.lit(False))
-    articles = F.when(is_array(json, "articles"), F.when(ordered, 1.0).otherwise(0.5)).otherwise(0.0)
-    signed = F.coalesce(F.json_array_length(_raw(json, "$.signatories")) > 0, F.lit(False))
+    ordered = F.coalesce(scoring.strictly_sequential(article_indexes(root)), F.lit(False))
+    articles = F.when(_array_size(root, "articles") >= 0, F.when(ordered, 1.0).otherwise(0.5)).otherwise(0.0)
+    signed = F.coalesce(_array_size(root, "signatories") > 0, F.lit(False))
     score = (
-        has_structure(json).cast("double") * 0.30
-        + metadata_score(json) * 0.30
+        has_structure(root).cast("double") * 0.30
+        + metadata_score(root) * 0.30
         + articles * 0.30
         + signed.cast("double") * 0.10
     )
-    return F.when(_raw(json, "$").isNotNull(), score).otherwise(F.lit(0.0))
+    unusable = root.isNull() | _not_array(root, "articles") | _not_array(root, "signatories")
+    return F.when(unusable, F.lit(0.0)).otherwise(score)
 
 
-def model_reply_confidence(json: Column) -> Column:
+def model_reply_confidence(root: Column) -> Column:
     """Confidence of a structured reply in the French dialect."""
-    n_articles = F.coalesce(F.json_array_length(_raw(json, "$.articles")), F.lit(0))
-    n_signed = F.coalesce(F.json_array_length(_raw(json, "$.signataires")), F.lit(0))
-    present = [_raw(json, f"$.{f}").isNotNull().cast("int") for f in ("titre", "numero", "annee", "type")]
+    n_articles = F.coalesce(_array_size(root, "articles"), F.lit(0))
+    n_signed = F.coalesce(_array_size(root, "signataires"), F.lit(0))
+    present = [root[f].isNotNull().cast("int") for f in ("titre", "numero", "annee", "type")]
     score = (
         F.least(F.lit(1.0), n_articles / F.lit(10.0)) * 0.40
         + reduce(lambda a, b: a + b, present) / F.lit(4.0) * 0.30
         + (n_articles > 0).cast("double") * 0.20
         + (n_signed > 0).cast("double") * 0.10
     )
-    return F.when(_raw(json, "$").isNotNull(), F.least(F.lit(1.0), score)).otherwise(F.lit(0.0))
+    return F.when(root.isNotNull(), F.least(F.lit(1.0), score)).otherwise(F.lit(0.0))

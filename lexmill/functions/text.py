@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from lexmill.functions.rowwise import once
+
 # Article markers and numbers.
 ARTICLE_START = r"^\s*(Article|ARTICLE|Art\.)\s+"
 ARTICLE_NUMBER = r"(?i)(?:Article|Art\.)\s+(1er|premier|\d+)"
@@ -180,7 +182,7 @@ def articles_from_lines(text_lines: Column, accepted: Column) -> Column:
 def with_articles(df, text: str = "text", out: str = "articles", stop_at_footer: bool = False):
     """Add the extracted articles of each text.
 
-    Steps are separate projections so that the line array is split once per row. With
+    Lines, accepted markers and articles are each computed once per row. With
     `stop_at_footer` the closing block is kept out of the last article.
     """
     split = lines(F.col(text))
@@ -188,12 +190,11 @@ def with_articles(df, text: str = "text", out: str = "articles", stop_at_footer:
         whole = lines(F.col(text))
         footer = F.array_position(F.transform(whole, lambda s: s.rlike(FOOTER)), True)
         split = F.when(footer > 0, F.slice(whole, 1, footer.cast("int") - 1)).otherwise(whole)
-    return (
-        df.withColumn("__lines", split)
-        .withColumn("__accepted", accepted_markers(article_markers(F.col("__lines"))))
-        .withColumn(out, articles_from_lines(F.col("__lines"), F.col("__accepted")))
-        .drop("__lines", "__accepted")
-    )
+    cut = once(df, __lines=split)
+    found = once(cut, __accepted=accepted_markers(article_markers(F.col("__lines"))))
+    return once(
+        found, **{out: articles_from_lines(F.col("__lines"), F.col("__accepted"))}
+    ).drop("__lines", "__accepted")
 
 
 def law_title(text: Column, strict: bool = False) -> Column:
@@ -211,9 +212,10 @@ def french_date(text: Column, anchor_to_footer: bool = False) -> Column:
     """ISO text of the first French date in the text (or after the footer); null if impossible."""
     pattern = r"(?s)Fait\s+[aàâ].*?" + DATE if anchor_to_footer else DATE
     months = F.create_map(*[F.lit(x) for kv in MONTHS.items() for x in kv])
-    day = F.regexp_extract(text, pattern, 1)
-    month = months[F.regexp_extract(text, pattern, 3)]
-    year = F.regexp_extract(text, pattern, 4)
+    found = F.regexp_extract(text, pattern, 0)  # the parts are then read from the short match
+    day = F.regexp_extract(found, DATE, 1)
+    month = months[F.regexp_extract(found, DATE, 3)]
+    year = F.regexp_extract(found, DATE, 4)
     iso = F.concat_ws("-", year, F.lpad(month.cast("string"), 2, "0"), F.lpad(day, 2, "0"))
     return F.when(day != "", F.date_format(F.try_to_date(iso, "yyyy-MM-dd"), "yyyy-MM-dd"))
 

@@ -24,10 +24,9 @@ def parse(extractions: DataFrame, registry: DataFrame) -> DataFrame:
     A document is readable when it has a confidence, a source and an article array whose entries
     all carry an index.
     """
-    doc = jsondoc.normalize(F.col("json"))
+    joined = registry.join(extractions.select("document_id", "json"), "document_id")
     return (
-        registry.join(extractions.select("document_id", "json"), "document_id")
-        .withColumn("doc", doc)
+        jsondoc.with_document(joined)
         .withColumn(
             "readable",
             F.coalesce(
