@@ -182,7 +182,7 @@ class ExtractOptions:
 
 
 def extract_documents(texts: DataFrame, dictionary: DataFrame, as_of: str, options: ExtractOptions = ExtractOptions()) -> DataFrame:
-    """(document_id, type, year, number, json, confidence, source, n_articles) of each text.
+    """(document_id, type, year, number, json, confidence, source, n_articles, unknown_words) of each text.
 
     `texts` has document_id, type, year, number, text. Texts are hashed by document once; the word
     statistics and the articles then meet without moving again.
@@ -190,7 +190,9 @@ def extract_documents(texts: DataFrame, dictionary: DataFrame, as_of: str, optio
     if not options.strict:
         texts = texts.withColumn("text", text.apply_corrections(F.col("text"), list(options.corrections)))
     texts = texts.repartition("document_id")
-    scored = words.score_texts(texts, dictionary, variant=options.variant).select("document_id", "confidence")
+    scored = words.score_texts(texts, dictionary, variant=options.variant, with_words=True).select(
+        "document_id", "confidence", "unknown_words"
+    )
     docs = text.with_articles(texts, stop_at_footer=options.stop_at_footer)
     body = F.col("text")
     date = text.french_date(body, options.anchor_to_footer)
@@ -213,6 +215,7 @@ def extract_documents(texts: DataFrame, dictionary: DataFrame, as_of: str, optio
         "confidence",
         F.lit("OCR").alias("source"),
         F.size("articles").alias("n_articles"),
+        "unknown_words",
     )
 
 
@@ -251,7 +254,7 @@ def run_extract(
         .select("document_id", F.lit("FAILED").alias("__next"))
     )
     moved = known.join(done.unionByName(failed), "document_id", "left")
-    seen = words.unknown_words(input_.select("document_id", "text"), dictionary, "document_id", options.variant)
+    seen = extracted.select(F.explode("unknown_words").alias("word"))
     return {
         "extractions": upsert.keep_better(extractions, accepted).drop("change"),
         "registry": moved.withColumn("status", F.coalesce("__next", "status")).select(*registry.columns),
