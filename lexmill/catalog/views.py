@@ -11,6 +11,11 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lexmill.session import spread
+
+# Tables whose rows carry long texts, with the column to spread them by.
+_TEXT_KEYS = {"documents": "doc_id", "pages": "page_id"}
+
 BASE_URL = "https://laws.example.org/doc"
 
 # Signatory patterns used with the derived legal texts.
@@ -157,7 +162,8 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        return self.spark.read.parquet(f"{self.path}/{name}.parquet")
+        table = self.spark.read.parquet(f"{self.path}/{name}.parquet")
+        return spread(table, _TEXT_KEYS[name]) if name in _TEXT_KEYS else table
 
     @cached_property
     def legal_text(self) -> DataFrame:

@@ -63,10 +63,11 @@ LEGAL_TERMS = {
     ],
 }
 
-# Word separators and word runs of the two tokenizers.
-WORD_SEPARATOR = "[^a-zàâäéèêëïîôùûüÿçœæ]+"
-WORD_RUN = r"\p{L}+"
-MIN_WORD_CHARS = 3
+# Words of the two tokenizers, three letters at least.
+WORDS = {
+    "extractor": r"[a-zàâäéèêëïîôùûüÿçœæ]{3,}",
+    "qa": r"\p{L}{3,}",
+}
 
 # Patterns of the five sections, tolerant of common misreadings.
 SECTION_PATTERNS = {
@@ -240,14 +241,11 @@ def iso_date(value: Column) -> Column:
 
 
 def tokens(text: Column, variant: str = "extractor") -> Column:
-    """Lower-case words of at least three letters, in text order."""
-    lowered = F.lower(text)
-    words = (
-        F.split(lowered, WORD_SEPARATOR)
-        if variant == "extractor"
-        else F.regexp_extract_all(lowered, F.lit(WORD_RUN), F.lit(0))
-    )
-    return F.filter(words, lambda w: F.length(w) >= MIN_WORD_CHARS)
+    """Lower-case words of at least three letters, in text order.
+
+    Matching the words is several times faster than splitting at what lies between them.
+    """
+    return F.regexp_extract_all(F.lower(text), F.lit(WORDS[variant]), F.lit(0))
 
 
 def legal_term_count(text: Column, terms: Sequence[str] | None = None, variant: str = "extractor") -> Column:

@@ -55,3 +55,13 @@ def materialize(df, label: str = "stage"):
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df, key: str):
+    """Give a scan at least one partition per core before row-local work on large texts.
+
+    A table with as many splits as cores, which is any large one, is returned as it is; only a
+    table in few splits is hashed by `key` over the cores. Call it on plain scans.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
