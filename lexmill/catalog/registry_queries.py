@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lexmill.catalog import query
@@ -233,13 +234,12 @@ cand AS (SELECT c.cursor_pos, c.type, c.year, n.number FROM cursors c, LATERAL (
 
 
 def _cursors(t: Tables):
-    year = t.registry.agg(F.max("year").alias("year"))
-    return (
-        t.registry.groupBy(F.col("type").alias("document_type"))
-        .agg(F.max("number").alias("number"))
-        .join(F.broadcast(year))  # a single row
-        .select(F.when(F.col("document_type") == "loi", 0).otherwise(1).alias("cursor_pos"), "document_type", "year", "number")
+    tops = t.registry.groupBy(F.col("type").alias("document_type")).agg(
+        F.max("number").alias("number"), F.max("year").alias("own_year")
     )
+    year = F.max("own_year").over(Window.partitionBy(F.lit(0)))  # two rows
+    pos = F.when(F.col("document_type") == "loi", 0).otherwise(1)
+    return tops.select(pos.alias("cursor_pos"), "document_type", year.alias("year"), "number")
 
 
 def _missing(t: Tables):
@@ -661,3 +661,82 @@ def extraction_report(spark, path):
 )
 def report_totals(spark, path):
     return reports.report_totals(_report(Tables(spark, path)))
+
+
+# Single lookups of the read API; the wanted key is the smallest one, found in SQL as well.
+
+
+@query(
+    "document_exists",
+    ctes(REGISTRY) + "SELECT count(*) > 0 AS exists FROM registry WHERE type = 'decret' AND year = 1998 AND status = 'DOWNLOADED'",
+)
+def document_exists(spark, path):
+    return read.exists(Tables(spark, path).registry, type="decret", year=1998, status="DOWNLOADED")
+
+
+@query(
+    "articles_by_document",
+    ctes(REGISTRY, _ARTICLE_TABLE)
+    + "SELECT document_id, article_index, l_partkey FROM arts WHERE document_id = (SELECT min(document_id) FROM arts)",
+)
+def articles_by_document(spark, path):
+    articles = _articles(Tables(spark, path))
+    first = articles.agg(F.min("document_id")).first()[0]
+    return read.by_id(articles, first).orderBy("article_index").select("document_id", "article_index", "l_partkey")
+
+
+@query(
+    "metadata_by_type_year",
+    ctes(REGISTRY, _ARTICLE_TABLE)
+    + """SELECT document_id, document_number, count(*) AS total_articles, max(extraction_confidence) AS extraction_confidence FROM arts
+WHERE document_type = 'decret' AND document_year = 1999 GROUP BY 1, 2 HAVING max(extraction_confidence) >= 0.8""",
+)
+def metadata_by_type_year(spark, path):
+    metadata = (
+        read.where_equal(_articles(Tables(spark, path)), document_type="decret", document_year=1999)
+        .groupBy("document_id", "document_year", "document_number")
+        .agg(F.count(F.lit(1)).alias("total_articles"), F.max("extraction_confidence").alias("extraction_confidence"))
+    )
+    confident = read.min_confidence(metadata, 0.8)
+    return read.listing(confident, "document_year", "document_number").drop("document_year")
+
+
+@query(
+    "signatories_by_role",
+    "SELECT s_name AS name, s_suppkey FROM supplier JOIN nation ON n_nationkey = s_nationkey WHERE n_name = 'NATION_7'",
+)
+def signatories_by_role(spark, path):
+    t = Tables(spark, path)
+    signed = t.supplier.join(t.nation, F.col("n_nationkey") == F.col("s_nationkey"))
+    return read.where_equal(signed, n_name="NATION_7").select(F.col("s_name").alias("name"), "s_suppkey")
+
+
+@query(
+    "download_by_hash",
+    "SELECT page_id, sha256(html) AS sha256 FROM pages WHERE sha256(html) = (SELECT min(sha256(html)) FROM pages)",
+)
+def download_by_hash(spark, path):
+    hashed = Tables(spark, path).pages.select("page_id", text.payload_hash(F.encode("html", "UTF-8")).alias("sha256"))
+    return read.where_equal(hashed, sha256=hashed.agg(F.min("sha256")).first()[0])
+
+
+@query(
+    "ranges_containing_number",
+    ctes(REGISTRY, _RANGES)
+    + "SELECT * FROM merged WHERE document_type = 'loi' AND year = 1996 AND number_min <= (SELECT max(number) FROM pts WHERE document_type = 'loi' AND year = 1996) AND number_max >= (SELECT max(number) FROM pts WHERE document_type = 'loi' AND year = 1996)",
+)
+def ranges_containing_number(spark, path):
+    points = _points(Tables(spark, path), "EXTRACTED")
+    last = read.where_equal(points, document_type="loi", year=1996).agg(F.max("number")).first()[0]
+    return read.ranges_containing(ranges.numbers_to_ranges(points), "loi", 1996, last)
+
+
+@query(
+    "ranges_touching_number",
+    ctes(REGISTRY, _RANGES)
+    + "SELECT m.* FROM merged m, (SELECT max(number) + 1 AS n FROM pts WHERE document_type = 'loi' AND year = 1996) x WHERE document_type = 'loi' AND year = 1996 AND number_min <= n + 1 AND number_max >= n - 1",
+)
+def ranges_touching_number(spark, path):
+    points = _points(Tables(spark, path), "EXTRACTED")
+    last = read.where_equal(points, document_type="loi", year=1996).agg(F.max("number")).first()[0]
+    return read.ranges_touching(ranges.numbers_to_ranges(points), "loi", 1996, last + 1)

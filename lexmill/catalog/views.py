@@ -230,13 +230,14 @@ class Tables:
 
     @cached_property
     def presence(self) -> DataFrame:
-        """Registry with presence flags, joined on the order key (ids follow from it)."""
-        flags = self.inventory.groupBy("o_orderkey").agg(
-            *[F.bool_or(F.col("kind") == k).alias(f"has_{k}") for k in ("pdf", "ocr", "json")]
+        """Registry with presence flags; one pass over the lines, joined on the order key."""
+        kinds = {"has_pdf": "R", "has_ocr": "A", "has_json": "N"}
+        flags = self.lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
+            *[F.bool_or(F.col("l_returnflag") == flag).alias(name) for name, flag in kinds.items()],
+            F.bool_or(F.col("l_linestatus") == "F").alias("is_recorded"),
         )
-        seen = self.recorded.withColumn("is_recorded", F.lit(True))
-        joined = self.registry.join(flags, "o_orderkey", "left").join(seen, "o_orderkey", "left")
-        names = ["has_pdf", "has_ocr", "has_json", "is_recorded"]
+        names = [*kinds, "is_recorded"]
+        joined = self.registry.join(flags, "o_orderkey", "left")
         return joined.withColumns({n: F.coalesce(F.col(n), F.lit(False)) for n in names})
 
     @cached_property

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexmill.functions.rowwise import once
 from lexmill.schemas import ISSUE_TYPES, SEVERITIES
 
 # Thresholds of the quality checks.
@@ -107,9 +108,8 @@ def extra_issues() -> list[Column]:
 def detect(documents: DataFrame, detectors: list[Column]) -> DataFrame:
     """Add `issues`, an array in detector order with each issue's position."""
     found = F.array_compact(F.array(*detectors))
-    return documents.where(F.col("status") != "FAILED").withColumn(
-        "issues", F.transform(found, lambda i, k: i.withField("position", k))
-    )
+    placed = F.transform(found, lambda i, k: i.withField("position", k))
+    return once(documents.where(F.col("status") != "FAILED"), issues=placed)
 
 
 def issue_rows(detected: DataFrame, id_col: str = "document_id") -> DataFrame:
@@ -172,9 +172,8 @@ def plan_repairs(detected: DataFrame, critical_first: bool = False, route_incons
 
     folded = F.aggregate(repair_order(F.col("issues"), critical_first), start, apply)
     return (
-        detected.withColumn("__fold", folded)
-        .withColumn("fixes", F.col("__fold.fixes"))
-        .withColumn("final_status", F.col("__fold.status"))
+        once(detected, __fold=folded)
+        .withColumns({"fixes": F.col("__fold.fixes"), "final_status": F.col("__fold.status")})
         .drop("__fold")
     )
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.functions import jsondoc
+from lexmill.functions.rowwise import once
 from lexmill.operators.upsert import merge
 
 
@@ -67,26 +68,39 @@ def metadata_rows(gated: DataFrame, as_of: Column) -> DataFrame:
 
 
 def article_rows(gated: DataFrame, as_of: Column) -> DataFrame:
-    """One row per (document, index); of repeated indexes the last one counts."""
-    rows = gated.select(
-        "document_id", "type", "year", "number", "doc._metadata.confidence", "doc._metadata.source",
-        F.posexplode("doc.articles").alias("pos", "article"),
+    """One row per (document, index); of repeated indexes the last one counts.
+
+    A document's articles arrive in one array, so repeats are removed by sorting that array; no
+    shuffle is needed.
+    """
+    flat = gated.select(
+        "document_id",
+        "type",
+        "year",
+        "number",
+        F.col("doc._metadata.confidence").alias("confidence"),
+        F.col("doc._metadata.source").alias("source"),
+        F.col("doc.articles").alias("__articles"),
+    )
+    placed = F.array_sort(
+        F.transform(
+            "__articles",
+            lambda a, i: F.struct(a["index"].alias("index"), i.alias("pos"), a["content"].alias("content")),
+        )
     )
-    last = rows.groupBy("document_id", F.col("article.index").alias("article_index")).agg(
-        F.max_by(
-            F.struct(F.col("article.content").alias("content"), "type", "year", "number", "confidence", "source"),
-            "pos",
-        ).alias("r")
+    last = F.filter(
+        "__placed", lambda a, i: ~F.coalesce(F.get("__placed", i + 1)["index"] == a["index"], F.lit(False))
     )
-    return last.select(
+    rows = once(flat, __placed=placed).withColumn("a", F.explode(last))
+    return rows.select(
         "document_id",
-        "article_index",
-        F.col("r.content").alias("content"),
-        F.col("r.type").alias("document_type"),
-        F.col("r.year").alias("document_year"),
-        F.col("r.number").alias("document_number"),
-        F.col("r.confidence").alias("extraction_confidence"),
-        F.col("r.source").alias("extraction_method"),
+        F.col("a.index").alias("article_index"),
+        F.col("a.content").alias("content"),
+        F.col("type").alias("document_type"),
+        F.col("year").alias("document_year"),
+        F.col("number").alias("document_number"),
+        F.col("confidence").alias("extraction_confidence"),
+        F.col("source").alias("extraction_method"),
         as_of.alias("consolidated_at"),
     )
 
