@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from lexmill.catalog import query
 from lexmill.catalog.views import ARTICLES, LEGAL_TEXT, Tables, ctes
 from lexmill.functions import jsondoc, text
-from lexmill.operators import chunking
+from lexmill.operators import chunking, transform
 
 SIZE, OVERLAP = 1000, 100
 
@@ -260,3 +260,25 @@ def model_reply_confidence(spark, path):
     return replies.select(
         "conv_id", "turn", F.round(jsondoc.model_reply_confidence(F.col("root")), 6).alias("confidence")
     )
+
+
+def _titles(batch):
+    """First line of each text; blank first lines give no row."""
+    first = batch["text"].str.split("\n", n=1).str[0]
+    return batch[["doc_id"]].assign(title=first.where(first.str.strip() != "", None))
+
+
+transform.register(
+    transform.Transformation(
+        "first-line", _titles, "doc_id long, title string", accepts=lambda: F.col("lang") == "fr", required="title"
+    )
+)
+
+
+@query(
+    "user_transformation",
+    "SELECT doc_id, split_part(text, chr(10), 1) AS title FROM documents WHERE lang = 'fr' AND trim(split_part(text, chr(10), 1), ' ' || chr(9)) <> ''",
+)
+def user_transformation(spark, path):
+    docs = Tables(spark, path).documents.select("doc_id", "lang", "text")
+    return transform.named("first-line").apply(docs)

@@ -88,8 +88,10 @@ def insert_ignore(spark, path):
     stored = t.registry.where("status = 'FETCHED'").select(*key, F.lit("2024-01-01").alias("detected"))
     incoming = (
         t.lineitem.where("l_returnflag = 'R'")
+        .groupBy("l_orderkey")  # repeats of an order combine before the join
+        .agg(F.min("l_shipdate").alias("shipped"))
         .join(t.registry, F.col("o_orderkey") == F.col("l_orderkey"))
-        .select(*key, F.date_format("l_shipdate", "yyyy-MM-dd").alias("detected"))
+        .select(*key, F.date_format("shipped", "yyyy-MM-dd").alias("detected"))
     )
     return upsert.insert_ignore(stored, incoming, key)
 

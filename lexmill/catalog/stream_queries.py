@@ -40,10 +40,11 @@ def stream_throttle(spark, path):
 )
 def stream_novelty(spark, path):
     t = Tables(spark, path)
-    words = novelty.new_words(stream_of(t, "documents"), dictionary_of(t.conversations))
-    out = scratch_path(spark, "new-words")
-    novelty.write_words(words, out, scratch_path(spark, "new-words-checkpoint")).awaitTermination()
-    return spark.read.schema("word string").parquet(out)
+    log = BatchLog(spark, scratch_path(spark, "new-words"), novelty.WORD_SCHEMA)
+    checkpoint = scratch_path(spark, "new-words-checkpoint")
+    known = dictionary_of(t.conversations)
+    novelty.new_words(stream_of(t, "documents"), known, log, checkpoint).awaitTermination()
+    return log.read().select("word")
 
 
 @query(

@@ -72,7 +72,8 @@ def ordered(
     The rows per key are counted once (a narrow aggregate that combines before its shuffle). If no
     key exceeds `max_rows`, the rows are hashed by key and every later window reuses that layout.
     Otherwise rows of a large key get a range number `__seg`, a monotone function of `lead`, and
-    are hashed by (key, range). At most rows / max_rows keys are large, which bounds the broadcast
+    are hashed by (key, range); choose a `lead` with many distinct values, as equal ones stay
+    together. At most rows / max_rows keys are large, which bounds the broadcast
     of their statistics. `sized_by` may name a cheaper table with the same keys and `lead`.
     """
     keys = list(keys)

@@ -10,7 +10,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.functions import ids, jsondoc, text
+from lexmill.functions import ids, jsondoc, scoring, text
 from lexmill.operators import audit, consolidate, select, upsert, words
 from lexmill.operators import enumerate as cursors_
 from lexmill.plans import cascade
@@ -285,15 +285,22 @@ def run_consolidate(
     return out
 
 
-def quality_figures(extractions: DataFrame) -> DataFrame:
-    """confidence, sequence_issues, unknown_rate and n_articles as written in the stored JSON."""
+def quality_figures(extractions: DataFrame, derive: bool = True) -> DataFrame:
+    """confidence, sequence_issues, unknown_rate and n_articles of the stored JSON.
+
+    With `derive`, sequence issues that are not written there are counted from the article indexes.
+    """
     rooted = jsondoc.with_root(extractions.select("document_id", "json"))
     meta = F.from_json(F.col("root")["_metadata"], "map<string,string>")
     issues = F.from_json(meta["sequenceIssues"], "gaps int, duplicates int, outOfOrder int")
+    written = issues["gaps"] + issues["duplicates"] + issues["outOfOrder"]
+    if derive:
+        counts = scoring.sequence_counts(jsondoc.article_indexes(F.col("root")))
+        written = F.coalesce(written, counts["gaps"] + counts["duplicates"] + counts["inversions"])
     return rooted.select(
         "document_id",
         meta["confidence"].try_cast("double").alias("confidence"),
-        (issues["gaps"] + issues["duplicates"] + issues["outOfOrder"]).alias("sequence_issues"),
+        written.alias("sequence_issues"),
         meta["unrecognizedWordsRate"].try_cast("double").alias("unknown_rate"),
         F.coalesce(F.json_array_length(F.col("root")["articles"]), F.lit(0)).alias("n_articles"),
     )

@@ -25,6 +25,12 @@ class BatchLog:
             f"{self.root}/batch=*"
         )
 
+    def before(self, batch_id: int) -> DataFrame:
+        """Rows of earlier batches, so that a repeated batch does not see its own first attempt."""
+        if batch_id == 0:
+            return self.spark.createDataFrame([], f"{self.schema}, batch long")
+        return self.read().where(F.col("batch") < batch_id)
+
     def best(self, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
         """The largest row per key in `order`; repeats combine before the shuffle."""
         rows = self.read()

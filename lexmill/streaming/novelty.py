@@ -6,25 +6,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.functions import text
-from lexmill.operators.skew import lookup_join
+from lexmill.streaming.logs import BatchLog
 
+WORD_SCHEMA = "word string"
 
-def new_words(texts: DataFrame, known: DataFrame, variant: str = "extractor") -> DataFrame:
-    """Stream of words seen for the first time and absent from `known`.
 
-    Repeats inside a text go first, then a lookup of known words, then the stateful filter; its
-    state is the vocabulary.
+def new_words(texts: DataFrame, known: DataFrame, log: BatchLog, checkpoint: str, variant: str = "extractor", **trigger):
+    """Write, batch by batch, the words that are neither in `known` nor in an earlier batch.
+
+    The words of a batch are made distinct by an aggregate that combines before its shuffle, so the
+    commonest words cost one row per task; a streaming duplicate filter would ship every
+    occurrence of such a word to one task. The memory is the log itself.
     """
-    words = texts.select(F.explode(F.array_distinct(text.tokens(F.col("text"), variant))).alias("word"))
-    return lookup_join(words, known.select("word"), ["word"], "left_anti").dropDuplicates(["word"])
 
+    def step(batch: DataFrame, batch_id: int) -> None:
+        found = batch.select(F.explode(text.tokens(F.col("text"), variant)).alias("word")).distinct()
+        fresh = found.join(known.select("word"), "word", "left_anti").join(
+            log.before(batch_id).select("word"), "word", "left_anti"
+        )
+        log.write(fresh, batch_id)
 
-def write_words(words: DataFrame, path: str, checkpoint: str, **trigger):
-    """Append new words to a Parquet table; the checkpoint resumes the known set."""
     return (
-        words.writeStream.outputMode("append")
-        .format("parquet")
-        .option("path", path)
+        texts.writeStream.foreachBatch(step)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
         .start()

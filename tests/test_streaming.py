@@ -7,14 +7,15 @@ from lexmill.streaming.logs import BatchLog
 
 
 def test_novelty_keeps_its_memory_over_restarts(spark, tmp_path):
-    source, out, checkpoint = f"{tmp_path}/in", f"{tmp_path}/out", f"{tmp_path}/cp"
+    source, checkpoint = f"{tmp_path}/in", f"{tmp_path}/cp"
+    log = BatchLog(spark, f"{tmp_path}/out", novelty.WORD_SCHEMA)
     known = spark.createDataFrame([("connu",)], "word string")
 
     def drain(*bodies):
         spark.createDataFrame([(b,) for b in bodies], "text string").write.mode("append").parquet(source)
         stream = spark.readStream.schema("text string").parquet(source)
-        novelty.write_words(novelty.new_words(stream, known), out, checkpoint).awaitTermination()
-        return sorted(r["word"] for r in spark.read.parquet(out).collect())
+        novelty.new_words(stream, known, log, checkpoint).awaitTermination()
+        return sorted(r["word"] for r in log.read().collect())
 
     assert drain("connu nouveau", "nouveau mot") == ["mot", "nouveau"]
     assert drain("mot encore") == ["encore", "mot", "nouveau"]
