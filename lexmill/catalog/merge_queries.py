@@ -10,6 +10,7 @@ from lexmill.catalog.views import ARTICLES, LEGAL_TEXT, PROBES, REGISTRY, Tables
 from lexmill.functions import ids
 from lexmill.operators import consolidate as cons
 from lexmill.operators import upsert
+from lexmill.session import materialize
 
 # Stored results: orders that are F (fetched) or P (rate-limited); every probed order comes in again.
 _FETCH = """stored AS (SELECT document_id, CASE status WHEN 'FETCHED' THEN 'FETCHED' ELSE 'RATE_LIMITED' END AS status, status = 'FETCHED' AS exists
@@ -235,7 +236,7 @@ def consolidation(t: Tables, prune_stale: bool = False):
         F.to_date(F.lit("2001-02-03")).alias("mandate_start"), F.to_date(F.lit("2002-02-03")).alias("mandate_end"),
         F.col("type").alias("document_type"), F.col("year").alias("document_year"), as_of.alias("consolidated_at"),
     )
-    parsed = cons.parse(built_json(t), registry)
+    parsed = materialize(cons.parse(built_json(t), registry), "parsed")  # all three tables read it
     return parsed, metadata, articles, signatories, as_of
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 BLOCK = 4096
+MAX_CURSORS = 100
 
 
 def start_cursors(stored: DataFrame, spark, cursor_type: str, year: int, max_number: int) -> DataFrame:
@@ -28,6 +29,15 @@ def start_cursors(stored: DataFrame, spark, cursor_type: str, year: int, max_num
     )
 
 
+def pinned(cursors: DataFrame) -> DataFrame:
+    """The cursors as a local table. There is one per document type, so the rows are few; every
+    later use then costs nothing."""
+    rows = cursors.limit(MAX_CURSORS + 1).collect()
+    if len(rows) > MAX_CURSORS:
+        raise ValueError(f"more than {MAX_CURSORS} cursors; one per document type is expected")
+    return cursors.sparkSession.createDataFrame(rows, cursors.schema)
+
+
 def candidates(
     cursors: DataFrame,
     not_found: DataFrame,
@@ -37,20 +47,25 @@ def candidates(
 ) -> DataFrame:
     """Numbers from each cursor down to 1 that are not known to be missing, newest first.
 
-    Missing numbers do not use up the quota. Numbers are counted in blocks first: block totals
-    decide which blocks are needed, only those are expanded, and the quota is cut inside a block.
-    So neither a long cursor nor a long missing list lands in one task.
+    Missing numbers do not use up the quota. Numbers are handled in blocks: the missing numbers of
+    a block form one array of at most `block` entries, block totals decide which blocks are needed,
+    and only those are expanded, each by array operations up to its share of the quota. So neither
+    a long cursor nor a long missing list lands in one task.
     """
-    cur = F.broadcast(cursors)  # one row per document type
+    cursors = pinned(cursors)
+    keys = ["document_type", "year", "b"]
+    tops = cursors.select("document_type", "year", F.col("number").alias("top"))
     missing = (
-        not_found.select("document_type", "year", F.col("number").alias("missing"))
-        .join(cur.select("document_type", "year", F.col("number").alias("top")), ["document_type", "year"])
+        not_found.select("document_type", "year", F.col("number").cast("long").alias("missing"))
+        .join(F.broadcast(tops), ["document_type", "year"])
         .where((F.col("missing") <= F.col("top")) & (F.col("missing") > 0))
-        .select("document_type", "year", "missing", F.floor((F.col("top") - F.col("missing")) / block).alias("b"))
-        .distinct()
+        .withColumn("b", F.floor((F.col("top") - F.col("missing")) / block))
+        .groupBy(*keys)
+        .agg(F.collect_set("missing").alias("missing"))
     )
     blocks = (
         cursors.where("number > 0")
+        .withColumn("number", F.col("number").cast("long"))
         .withColumn("b", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("number") - 1) / block))))
         .withColumn("hi", F.col("number") - F.col("b") * block)
         .withColumn("lo", F.greatest(F.col("hi") - block + 1, F.lit(1)))
@@ -59,43 +74,34 @@ def candidates(
     if max_per_cursor is None and max_total is None:
         kept = blocks.withColumn("take", F.lit(block))
     else:
-        lost = missing.groupBy("document_type", "year", "b").agg(F.count("missing").alias("lost"))
-        free = blocks.join(lost, ["document_type", "year", "b"], "left").withColumn(
+        lost = missing.select(*keys, F.size("missing").alias("lost"))
+        free = blocks.join(lost, keys, "left").withColumn(
             "free", F.col("hi") - F.col("lo") + 1 - F.coalesce("lost", F.lit(0))
         )
         huge = F.lit(2**62).cast("long")
         per_cursor = F.lit(max_per_cursor).cast("long") if max_per_cursor else huge
         overall = F.lit(max_total).cast("long") if max_total else huge
-        # Cursor totals are one row per document type; their running sum shares out the overall quota.
-        totals = free.groupBy("cursor_pos").agg(F.sum("free").alias("free_total"))
-        totals = totals.withColumn("can", F.least(F.col("free_total"), per_cursor))
+        # The windows see one narrow row per block; the last one sees one row per document type.
+        earlier = Window.partitionBy("cursor_pos").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
+        free = free.withColumn("before", F.coalesce(F.sum("free").over(earlier), F.lit(0)))
+        can = F.least(F.sum("free"), per_cursor).alias("can")
         upto = F.sum("can").over(Window.partitionBy(F.lit(0)).orderBy("cursor_pos"))
-        quota = totals.withColumn("upto", upto).select(
-            "cursor_pos",
-            (F.least(overall, F.col("upto")) - F.least(overall, F.col("upto") - F.col("can"))).alias("quota"),
+        share = F.least(overall, F.col("upto")) - F.least(overall, F.col("upto") - F.col("can"))
+        quota = (
+            free.groupBy("cursor_pos").agg(can).withColumn("upto", upto).select("cursor_pos", share.alias("quota"))
         )
-        earlier = Window.partitionBy("cursor_pos").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
         kept = (
-            free.withColumn("before", F.coalesce(F.sum("free").over(earlier), F.lit(0)))
-            .join(F.broadcast(quota), "cursor_pos")
-            .withColumn("take", F.col("quota") - F.col("before"))
+            free.join(F.broadcast(quota), "cursor_pos")
+            .withColumn("take", F.least(F.col("quota") - F.col("before"), F.lit(block)).cast("int"))
             .where("take > 0 and free > 0")
         )
-    numbers = (
-        kept.select("cursor_pos", "document_type", "year", "b", "hi", "lo", "take")
-        .repartition("document_type", "b")
-        .withColumn("number", F.explode(F.expr("sequence(hi, lo, -1)")))
-        .join(
-            missing.withColumnRenamed("missing", "number"),
-            ["document_type", "year", "b", "number"],
-            "left_anti",
-        )
-    )
-    in_block = Window.partitionBy("document_type", "year", "b").orderBy(F.col("number").desc())
+    gaps = F.coalesce("missing", F.array().cast("array<bigint>"))
+    numbers = F.slice(F.array_except(F.expr("sequence(hi, lo, -1)"), gaps), F.lit(1), F.col("take"))
     return (
-        numbers.withColumn("rank", F.row_number().over(in_block))
-        .where("rank <= take")
-        .select("cursor_pos", "document_type", "year", F.col("number").cast("int").alias("number"))
+        kept.select("cursor_pos", *keys, "hi", "lo", "take")
+        .repartition("document_type", "year", "b")
+        .join(missing, keys, "left")
+        .select("cursor_pos", "document_type", "year", F.explode(numbers.cast("array<int>")).alias("number"))
     )
 
 

@@ -99,7 +99,6 @@ def score_texts(
     id_col: str = "document_id",
     variant: str = "extractor",
     keep: Sequence[str] = (),
-    with_words: bool = False,
 ) -> DataFrame:
     """Extraction confidence of each text with its parts.
 
@@ -131,5 +130,4 @@ def score_texts(
             scoring.unknown_penalty(F.col("unknown_rate"), n_distinct, variant),
             F.col("n_terms"),
         ).alias("confidence"),
-        *(["unknown_words"] if with_words else []),
     )

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.functions import ids, jsondoc, scoring, text
+from lexmill.functions.rowwise import once
 from lexmill.operators import audit, consolidate, select, upsert, words
 from lexmill.operators import enumerate as cursors_
 from lexmill.plans import cascade
@@ -185,14 +186,15 @@ def extract_documents(texts: DataFrame, dictionary: DataFrame, as_of: str, optio
     """(document_id, type, year, number, json, confidence, source, n_articles, unknown_words) of each text.
 
     `texts` has document_id, type, year, number, text. Texts are hashed by document once; the word
-    statistics and the articles then meet without moving again.
+    statistics and the articles both start from that layout and meet without moving again.
     """
     if not options.strict:
         texts = texts.withColumn("text", text.apply_corrections(F.col("text"), list(options.corrections)))
     texts = texts.repartition("document_id")
-    scored = words.score_texts(texts, dictionary, variant=options.variant, with_words=True).select(
-        "document_id", "confidence", "unknown_words"
-    )
+    # The other columns travel as grouping columns, which keeps both sides of the join on one exchange.
+    stats = words.word_quality(
+        texts, dictionary, "document_id", ["type", "year", "number"], variant=options.variant
+    ).select("document_id", "unknown_rate", "unknown_words")
     docs = text.with_articles(texts, stop_at_footer=options.stop_at_footer)
     body = F.col("text")
     date = text.french_date(body, options.anchor_to_footer)
@@ -201,7 +203,15 @@ def extract_documents(texts: DataFrame, dictionary: DataFrame, as_of: str, optio
     )
     if not options.signatories:
         signed = F.array().cast("array<struct<role:string,name:string,mandate_start:date,mandate_end:date,order:int>>")
-    joined = docs.join(scored, "document_id")
+    indexes = F.transform("articles", lambda a: a["index"])
+    score = scoring.confidence(
+        F.size("articles"),
+        scoring.sequence_score(indexes, options.variant),
+        F.length("text"),
+        scoring.unknown_penalty(F.col("unknown_rate"), F.size("unknown_words"), options.variant),
+        text.legal_term_count(body, variant=options.variant),
+    )
+    joined = once(docs.join(stats, "document_id"), confidence=score)
     return joined.select(
         "document_id",
         "type",
