@@ -214,7 +214,7 @@ walk AS (
 )
 def adaptive_delay(spark, path):
     paced = throttle.adaptive_delay(
-        Tables(spark, path).events,
+        Tables(spark, path).events.select("user_id", "event_id", "ts", "event_type", "value"),
         ["user_id"],
         "ts",
         [F.col("event_id")],

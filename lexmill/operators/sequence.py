@@ -24,7 +24,9 @@ def sequence_counts(
     Only the neighbour of each row is needed, so documents are never collected; the counts are
     plain sums and combine before the shuffle.
     """
-    stepped = running(articles, [key], order, {"__prev": ("previous", F.col(index))}, max_rows)
+    places = [f"__o{i}" for i in range(len(order))]
+    narrow = articles.select(key, index, *[c.alias(p) for c, p in zip(order, places)])
+    stepped = running(narrow, [key], [F.col(p) for p in places], {"__prev": ("previous", F.col(index))}, max_rows)
     step = F.col(index) - F.col("__prev")
     zero = F.lit(0).cast("long")
     out = stepped.groupBy(key).agg(

@@ -53,11 +53,15 @@ def _order_key(order: Sequence[Column]) -> Column:
 
 @dataclass(frozen=True)
 class Ordered:
-    """Rows prepared for running values: `split` says whether large keys were cut into ranges."""
+    """Rows prepared for running values.
+
+    `split` says whether large keys were cut into ranges, `stored` whether `df` is a table already.
+    """
 
     df: DataFrame
     keys: tuple[str, ...]
     split: bool
+    stored: bool = False
 
 
 def ordered(
@@ -95,7 +99,7 @@ def ordered(
     )
     cut = df.join(F.broadcast(stats), keys, "left").withColumn("__seg", F.coalesce(seg, F.lit(-1).cast("long")))
     cut = cut.drop("__n", "__lo", "__hi").repartition(*keys, "__seg")
-    return Ordered(materialize(cut, "ranges"), tuple(keys), True)
+    return Ordered(materialize(cut, "ranges"), tuple(keys), True, stored=True)
 
 
 def running_values(
@@ -113,6 +117,8 @@ def running_values(
     For split keys the windows run per range, one summary row per range is carried forward, and
     the carry is joined back.
     """
+    if rows.split and not rows.stored:  # a split table is read twice below
+        rows = replace(rows, df=materialize(rows.df, "running"), stored=True)
     df, keys = rows.df, [*rows.keys, *within]
     part_by = [*keys, "__seg"] if rows.split else keys
     upto = Window.partitionBy(*part_by).orderBy(*order)
@@ -162,8 +168,7 @@ def running_values(
         else:
             both = F.coalesce(part, total)
         out.append((both["v"] if kind == "previous" else both).alias(name))
-    result = result.select(*df.columns, *out)
-    return replace(rows, df=materialize(result, "running") if rows.split else result)
+    return replace(rows, df=result.select(*df.columns, *out), stored=False)
 
 
 def running(

@@ -62,7 +62,7 @@ def adaptive_delay(
         .withColumn("__set", delay_reset(F.col("rate")).cast("long"))
     )
     decay = F.col("__set").isNull().cast("long")
-    rows = running_values(replace(rows, df=rated), by_time, {"__decays": ("sum", decay)})
+    rows = running_values(replace(rows, df=rated, stored=False), by_time, {"__decays": ("sum", decay)})
     lifted = F.when(F.col("__set").isNotNull(), F.col("__set") + F.col("__decays") * DELAY_STEP_MS)
     held = running_values(rows, by_time, {"__level": ("last", lifted)}).df
     delay = F.greatest(F.lit(0), F.coalesce("__level", F.lit(0)) - F.col("__decays") * DELAY_STEP_MS)
