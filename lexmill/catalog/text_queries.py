@@ -397,3 +397,24 @@ def token_estimates(spark, path):
         scoring.window_chunk_estimate(n, 1000, 100).alias("n_chunks"),
         scoring.window_chunk_estimate(n, 1000, 100, subtract=False).alias("n_chunks_upper"),
     )
+
+
+_PROBES = {
+    "n_years": text.YEAR, "n_space_runs": text.SPACES, "n_blank_runs": text.BLANK_LINES,
+    "n_pipe_words": text.PIPE_IN_WORD, "n_artefacts": text.ARTEFACT,
+}
+
+
+@query(
+    "text_probes",
+    "SELECT doc_id, "
+    + ", ".join(f"CAST(len(regexp_extract_all(text, '{p}')) AS INTEGER) AS {n}" for n, p in _PROBES.items())
+    + f", coalesce(regexp_matches(split_part(text, ' ', 1) || '@example.org', '{text.EMAIL}'), false) AS email_like FROM documents",
+)
+def text_probes(spark, path):
+    first = F.split_part(F.col("text"), F.lit(" "), F.lit(1))
+    return Tables(spark, path).documents.select(
+        "doc_id",
+        text.probe_counts(F.col("text")).alias("p"),
+        text.is_email(F.concat(first, F.lit("@example.org"))).alias("email_like"),
+    ).select("doc_id", "p.*", "email_like")

@@ -95,7 +95,8 @@ CLEANING = [
 
 # Probes for suspicious text.
 EMAIL = r"^[A-Za-z0-9+_.-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}$"
-YEAR = r"\b(19|20)\d{2}\b"
+YEAR = r"\b(?:19|20)\d{2}\b"
+SPACES, BLANK_LINES = r"[ \t]{2,}", r"\n{3,}"
 PIPE_IN_WORD = r"[a-zA-Zàâäéèêëïîôùûüÿæœç]+\|[a-zA-Zàâäéèêëïîôùûüÿæœç]+"
 ARTEFACT = r"[a-zA-Zàâäéèêëïîôùûüÿæœç]*[€îïË][a-zA-Zàâäéèêëïîôùûüÿæœç]+"
 SUSPECT_WORD = r"[a-zàâäéèêëïôùûüÿæœç]*[|€][a-zàâäéèêëïôùûüÿæœç]+"
@@ -301,6 +302,22 @@ def defect_flags(text: Column, extracted_date: Column | None = None) -> Column:
     return F.array_compact(F.array(*probes))
 
 
+def probe_counts(text: Column) -> Column:
+    """struct of how often each cleaning probe matches."""
+    probes = {
+        "n_years": YEAR,
+        "n_space_runs": SPACES,
+        "n_blank_runs": BLANK_LINES,
+        "n_pipe_words": PIPE_IN_WORD,
+        "n_artefacts": ARTEFACT,
+    }
+    return F.struct(*[F.regexp_count(text, F.lit(p)).alias(name) for name, p in probes.items()])
+
+
+def is_email(value: Column) -> Column:
+    return F.coalesce(value.rlike(EMAIL), F.lit(False))
+
+
 def signatories(text: Column, patterns: Sequence[dict], promulgated: Column | None = None) -> Column:
     """array(struct(order, role, name, mandate_start, mandate_end)) of patterns found, in list order.
 

@@ -21,9 +21,7 @@ class BatchLog:
         batch.write.mode("overwrite").parquet(f"{self.root}/batch={batch_id}")
 
     def read(self) -> DataFrame:
-        return self.spark.read.schema(f"{self.schema}, batch long").option("basePath", self.root).parquet(
-            f"{self.root}/batch=*"
-        )
+        return self.spark.read.schema(f"{self.schema}, batch long").parquet(self.root)
 
     def before(self, batch_id: int) -> DataFrame:
         """Rows of earlier batches, so that a repeated batch does not see its own first attempt."""
