@@ -15,7 +15,7 @@ from lexmill.functions.rowwise import once
 from lexmill.operators import audit, consolidate, select, upsert, words
 from lexmill.operators import enumerate as cursors_
 from lexmill.plans import cascade
-from lexmill.session import materialize
+from lexmill.session import hashed, materialize
 
 
 def _stamp(as_of: str) -> Column:
@@ -190,7 +190,7 @@ def extract_documents(texts: DataFrame, dictionary: DataFrame, as_of: str, optio
     """
     if not options.strict:
         texts = texts.withColumn("text", text.apply_corrections(F.col("text"), list(options.corrections)))
-    texts = texts.repartition("document_id")
+    texts = hashed(texts, "document_id")
     # The other columns travel as grouping columns, which keeps both sides of the join on one exchange.
     stats = words.word_quality(
         texts, dictionary, "document_id", ["type", "year", "number"], variant=options.variant
@@ -211,7 +211,7 @@ def extract_documents(texts: DataFrame, dictionary: DataFrame, as_of: str, optio
         scoring.unknown_penalty(F.col("unknown_rate"), F.size("unknown_words"), options.variant),
         text.legal_term_count(body, variant=options.variant),
     )
-    joined = once(docs.join(stats, "document_id"), confidence=score)
+    joined = once(docs.join(stats, "document_id"), confidence=score, signatories=signed)
     return joined.select(
         "document_id",
         "type",
@@ -219,7 +219,7 @@ def extract_documents(texts: DataFrame, dictionary: DataFrame, as_of: str, optio
         "number",
         jsondoc.build_document(
             F.col("document_id"), F.col("type"), F.col("year"), F.col("number"), F.col("confidence"),
-            F.lit("OCR"), F.lit(as_of), F.col("articles"), signed,
+            F.lit("OCR"), F.lit(as_of), F.col("articles"), F.col("signatories"),
             text.law_title(body, options.strict), date, text.promulgation_city(body),
         ).alias("json"),
         "confidence",

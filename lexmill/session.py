@@ -65,3 +65,14 @@ def spread(df, key: str):
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+
+
+def hashed(df, key: str):
+    """Hash long texts by `key` for CPU-heavy work.
+
+    The explicit number keeps adaptive execution from merging partitions that are small in bytes
+    but costly to process.
+    """
+    spark = df.sparkSession
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return df.repartition(n, key)
