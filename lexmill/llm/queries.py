@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.llm import content_sort, mixing
+from lexmill.llm import content_sort, langid, mixing, packing, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -42,6 +42,26 @@ def exact_dedup(spark, path):
     return content_sort.exact_groups(_table(spark, path, "documents"))
 
 
+@query("op3_language_id")
+def language_id(spark, path):
+    docs = _table(spark, path, "documents")
+    held = langid.held_out(F.col("doc_id"))
+    model = langid.fit(docs, learn=~held)
+    found = model.predict(docs.select("doc_id", "text"))
+    # The text has served its purpose; id and predictions are all that is left of a row.
+    return found.select("doc_id", held.alias("held_out"), "lang_pred", "score")
+
+
+@query("op5_pack_best_fit")
+def pack_best_fit(spark, path):
+    return packing.pack(_table(spark, path, "documents"))
+
+
+@query("op7_simhash_groups")
+def simhash_groups(spark, path):
+    return simhash.near_duplicates(_table(spark, path, "documents"))
+
+
 @query(
     "op10_mix_sources",
     r"""
