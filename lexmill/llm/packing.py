@@ -11,9 +11,13 @@ its place from its rank among the pieces of its length.
 from __future__ import annotations
 
 import bisect
+import os
+import re
 import zlib
+from array import array
 from collections import defaultdict
 from collections.abc import Iterator
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -25,44 +29,69 @@ from lexmill.session import materialize
 CAPACITY = 2048
 TOKENIZER = "word_bpe_49k.json"
 # Words remembered by a task; it only saves encoding them again.
-CACHED_WORDS = 400_000
+CACHED_WORDS = 800_000
 SLICE_CHARS = 1 << 20
+DOCS_AT_ONCE = 1000
+
+
+# Trailing ASCII marks other than the apostrophe, after a letter or digit: always a piece of their own.
+MARKS_BEHIND = re.compile(rb"([^<|]*[a-z0-9])([!-&(-/:-@\[-`{-~]+)")
+
+# How byte-level vocabularies write bytes: printable characters as they are, the rest from 256 on.
+_PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
+BYTE_LETTERS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTED)}
 
 
 def _tokenizer(name: str):
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark already runs a task per core
     import public_tokenizers
     from tokenizers import Tokenizer
 
     return Tokenizer.from_file(name if "/" in name else public_tokenizers.path(name))
 
 
+def words_of(text: str) -> list[bytes]:
+    """Words between ASCII white space, A-Z in lower case unless the text may name a special token."""
+    data = text.encode("utf-8", "surrogatepass")
+    return (data if b"<|" in data else data.lower()).split()
+
+
 class WordEncoder(dict):
-    """Ids of white-space-delimited words as little-endian 32-bit bytes.
+    """Ids of words as little-endian 32-bit bytes.
 
-    The vocabulary splits at white space before anything else and drops it, so the ids of a text are
-    those of its words one after another.
+    The vocabulary lower-cases, splits at white space before anything else and drops it, so the ids
+    of a text are those of its words one after another, and a word that ends in marks is the word
+    and the marks. Letters that normalising leaves alone are one piece and go to the model directly.
     """
 
     def __init__(self, tokenizer):
-        self.encode = tokenizer.encode_batch_fast
+        self.encode, self.merge = tokenizer.encode_batch_fast, tokenizer.model.tokenize
 
-    def add(self, words: list[str]) -> None:
-        new = [w for w in dict.fromkeys(words) if w not in self]
+    def add(self, words: set[bytes]) -> None:
+        """Learn the words that are not known yet."""
+        new = words.difference(self)
         if len(self) + len(new) > CACHED_WORDS:
             self.clear()
-            new = list(dict.fromkeys(words))
-        for w, e in zip(new, self.encode(new, add_special_tokens=False), strict=True):
-            self[w] = np.asarray(e.ids, "<u4").tobytes()
-
-
-def ascii_words(text: str) -> list[str]:
-    """Words between ASCII white space; a faster form of a split by that class."""
-    if text.isascii() and not any(c in text for c in "\x1c\x1d\x1e\x1f"):
-        return text.split()
-    return text.translate(_SPACES).split(" ")
-
+            new = words
+        marked = {w: m.groups() for w in new if (m := MARKS_BEHIND.fullmatch(w))}
+        plain = {p for pair in marked.values() for p in pair}.union(new.difference(marked)).difference(self)
+        rest = []
+        for p in plain:
+            text = p.decode("utf-8", "replace")
+            if text.isalpha() and text == text.lower() and is_normalized("NFC", text):
+                tokens = self.merge(p.decode("latin-1").translate(BYTE_LETTERS))
+                self[p] = array("I", [t.id for t in tokens]).tobytes()
+            else:
+                rest.append((p, text))
+        for at in range(0, len(rest), 4096):
+            part = rest[at : at + 4096]
+            for (p, _), e in zip(part, self.encode([t for _, t in part], add_special_tokens=False), strict=True):
+                self[p] = array("I", e.ids).tobytes()
+        for w, (head, marks) in marked.items():
+            self[w] = self[head] + self[marks]
 
-_SPACES = {ord(c): " " for c in "\t\n\x0b\x0c\r"}
+    def ids(self, words: list[bytes]) -> bytes:
+        return b"".join(map(self.__getitem__, words))
 
 
 def slices(text: str, size: int = SLICE_CHARS) -> Iterator[str]:
@@ -97,27 +126,27 @@ def token_pieces(docs: DataFrame, id_col: str, text_col: str, capacity: int, tok
                 if with_ids:
                     kept.append(data)
 
-            for i, value in enumerate(batch.column(1)):
-                rest, n, at = b"", 0, 0
-                for part in slices(value.as_py() or ""):
-                    words = ascii_words(part)
-                    try:
-                        data = b"".join(map(known.__getitem__, words))
-                    except KeyError:
-                        known.add(words)
-                        data = b"".join(map(known.__getitem__, words))
-                    rest += data
-                    while len(rest) > width:  # the end is still to come, so a full piece is not the last
+            for first in range(0, batch.num_rows, DOCS_AT_ONCE):
+                texts = [t.as_py() or "" for t in batch.column(1).slice(first, DOCS_AT_ONCE)]
+                short = [words_of(t) if len(t) <= SLICE_CHARS else None for t in texts]
+                known.add(set().union(*filter(None, short)))
+                for i, (text, words) in enumerate(zip(texts, short, strict=True), first):
+                    rest, n, at = b"", 0, 0
+                    for part in [words] if words is not None else map(words_of, slices(text)):
+                        if words is None:
+                            known.add(set(part))
+                        rest += known.ids(part)
+                        while len(rest) > width:  # the end is still to come, so a full piece is not the last
+                            put(i, rest[:width], n, at)
+                            rest, n, at = rest[width:], n + 1, at + width
+                    rest += bytes(4)
+                    while rest:
                         put(i, rest[:width], n, at)
                         rest, n, at = rest[width:], n + 1, at + width
-                rest += bytes(4)
-                while rest:
-                    put(i, rest[:width], n, at)
-                    rest, n, at = rest[width:], n + 1, at + width
-                if len(index) >= 20_000 or sum(map(len, kept)) > 1 << 24:
-                    yield _piece_batch(ids, index, piece, start, length, crc, kept, with_ids)
-                    for x in (index, piece, start, length, crc, kept):
-                        x.clear()
+                    if len(index) >= 20_000 or sum(map(len, kept)) > 1 << 24:
+                        yield _piece_batch(ids, index, piece, start, length, crc, kept, with_ids)
+                        for x in (index, piece, start, length, crc, kept):
+                            x.clear()
             yield _piece_batch(ids, index, piece, start, length, crc, kept, with_ids)
 
     return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(run, schema)
