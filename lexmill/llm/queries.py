@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.llm import content_sort, knn, langid, mixing, packing, simhash, warc
+from lexmill.llm import chat, content_sort, knn, langid, licenses, lm, mixing, packing, simhash, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -27,6 +27,12 @@ def _table(spark: SparkSession, path: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{path}/{name}.parquet")
 
 
+@query("op1_lattice_scores")
+def lattice_scores(spark, path):
+    held = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(7)) == 2
+    return lm.lattice_scores(_table(spark, path, "documents"), held)
+
+
 @query(
     "op2_exact_dedup",
     r"""
@@ -52,11 +58,34 @@ def language_id(spark, path):
     return found.select("doc_id", held.alias("held_out"), "lang_pred", "score")
 
 
+@query(
+    "op4_chat_snapshots",
+    """
+WITH t AS (
+  SELECT conv_id, role, text, row_number() OVER w AS n, count(*) OVER (PARTITION BY conv_id) AS total FROM conversations
+  WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS LAST, role NULLS LAST, text NULLS LAST)),
+p AS (
+  SELECT *, string_agg(coalesce('r' || role, 'n') || chr(1) || coalesce('t' || text, 'n'), chr(2)) OVER (PARTITION BY conv_id ORDER BY n) AS prefix FROM t),
+e AS (SELECT prefix, min(conv_id) AS conv_id FROM p WHERE n = total GROUP BY prefix),
+k AS (SELECT conv_id FROM e WHERE prefix NOT IN (SELECT prefix FROM p WHERE n < total))
+SELECT conv_id, CAST((n - 1) // 256 AS INTEGER) AS part, count(*) AS n_turns,
+  string_agg('<|im_start|>' || coalesce(role, 'user') || chr(10) || coalesce(text, '') || '<|im_end|>' || chr(10), '' ORDER BY n) AS text
+FROM t JOIN k USING (conv_id) GROUP BY 1, 2""",
+)
+def chat_snapshots(spark, path):
+    return chat.format_chats(_table(spark, path, "conversations"))
+
+
 @query("op5_pack_best_fit")
 def pack_best_fit(spark, path):
     return packing.pack(_table(spark, path, "documents"))
 
 
+@query("op6_license_scan")
+def license_scan(spark, path):
+    return licenses.scan(_table(spark, path, "documents"))
+
+
 @query("op7_simhash_groups")
 def simhash_groups(spark, path):
     return simhash.near_duplicates(_table(spark, path, "documents"))
