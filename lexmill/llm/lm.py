@@ -7,6 +7,9 @@ the text count. The sum runs forward over the word's bytes in log space. Whole w
 discount each; that mass belongs to the pieces, which start from the order of the vocabulary and
 are weighted by expected counts over all distinct training words.
 
+Scores are kept for each class of texts (the languages of the training texts). Which class a text
+belongs to is one more open choice: its probability is the sum over the classes, at their shares.
+
 Tokens meet corpus counts block by block: a block of documents asks once for each of its words, with
 a list of the documents and how often they use it, and only those lists cross the shuffles. A
 frequent word is one row per block.
@@ -35,7 +38,8 @@ CELLS_AT_ONCE = 1 << 21
 SLOTS = 22
 BASE = np.uint64(0x100000001B3)
 TURN = np.uint64(0x9E3779B97F4A7C15)
-END_SHARE = 0.01  # of the pieces' mass, for an end that no training text has
+# Shares of the discounts' mass: for words as counted in any class, and for an end that no training text has.
+ANYWHERE, END_SHARE = 0.1, 0.01
 LN10 = float(np.log(10))
 
 
@@ -95,76 +99,80 @@ class PieceTable:
         return out
 
 
+Weights = tuple[np.ndarray, np.ndarray]  # logs: pieces that begin a word, pieces within with the stop last
+
+
 @dataclass
 class Lattice:
-    """Piece vocabulary with log weights: pieces that begin a word, pieces within, and the stop."""
+    """Piece vocabulary with log weights for each class."""
 
     first: PieceTable
     inner: PieceTable
-    first_weight: np.ndarray
-    inner_weight: np.ndarray  # the stop is the last
+    weights: list[Weights]
 
     @classmethod
-    def of(cls, first: list[bytes], inner: list[bytes]) -> Lattice:
+    def of(cls, first: list[bytes], inner: list[bytes], classes: int = 1) -> Lattice:
         tables = PieceTable(first), PieceTable(inner)
         # The vocabulary's order is all its scores say: weights fall with rank, bytes are rarest.
         starts = [np.concatenate((np.full(256, 0.1 / len(t.pieces)), 1 / (100.0 + np.arange(len(t.pieces) - 256)))) for t in tables]
-        return cls(*tables, *cls.weights(starts[0], np.append(starts[1], starts[1].sum() / 2)))
+        return cls(*tables, [cls.normal(starts[0], np.append(starts[1], starts[1].sum() / 2))] * classes)
 
     @staticmethod
-    def weights(first: np.ndarray, inner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def normal(first: np.ndarray, inner: np.ndarray) -> Weights:
         return np.log(first / first.sum()), np.log(inner / inner.sum())
 
-    def edges(self, data: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-        """For each piece length: numbers and log weights by start, for words of one length (rows)."""
-        n, size = data.shape
+    def numbers(self, data: np.ndarray) -> list[np.ndarray]:
+        """For each piece length the piece that begins at each byte, for words of one length (rows)."""
+        size = data.shape[1]
         hashes = _hash(data)
-        weights = np.append(self.first_weight, -np.inf), np.append(self.inner_weight[:-1], -np.inf)
         out = []
         for length in range(1, min(size, max(self.first.longest, self.inner.longest)) + 1):
             power = np.uint64(pow(int(BASE), length, 1 << 64))
             part = hashes[:, length:] - hashes[:, : size + 1 - length] * power
-            numbers = np.empty(part.shape, np.int32)
-            numbers[:, 0] = self.first.find(part[:, 0])
-            numbers[:, 1:] = self.inner.find(part[:, 1:])
-            value = np.empty(part.shape)
-            value[:, 0] = weights[0][numbers[:, 0]]
-            value[:, 1:] = weights[1][numbers[:, 1:]]
-            out.append((numbers, value))
+            found = np.empty(part.shape, np.int32)
+            found[:, 0] = self.first.find(part[:, 0])
+            found[:, 1:] = self.inner.find(part[:, 1:])
+            out.append(found)
         return out
 
-    def forward(self, data: np.ndarray, edges) -> np.ndarray:
+    @staticmethod
+    def values(numbers: list[np.ndarray], weights: Weights) -> list[np.ndarray]:
+        """Log weights of the pieces in `numbers`; minus infinity where there is none."""
+        first, inner = np.append(weights[0], -np.inf), np.append(weights[1][:-1], -np.inf)
+        return [np.concatenate((first[n[:, :1]], inner[n[:, 1:]]), axis=1) for n in numbers]
+
+    @staticmethod
+    def forward(values: list[np.ndarray]) -> np.ndarray:
         """Log probability of all readings of the first j bytes, by j."""
-        n, size = data.shape
+        n, size = values[0].shape
         alpha = np.full((n, size + 1), -np.inf)
         alpha[:, 0] = 0
         for j in range(1, size + 1):
-            terms = np.stack([alpha[:, j - m] + edges[m - 1][1][:, j - m] for m in range(1, min(j, len(edges)) + 1)])
-            alpha[:, j] = _log_sum(terms)
+            alpha[:, j] = _log_sum(np.stack([alpha[:, j - m] + values[m - 1][:, j - m] for m in range(1, min(j, len(values)) + 1)]))
         return alpha
 
     def log_probability(self, data: np.ndarray) -> np.ndarray:
-        """Marginal natural-log probability of words of one length, given as a byte matrix."""
-        return self.forward(data, self.edges(data))[:, -1] + self.inner_weight[-1]
+        """Marginal natural-log probability, by class, of words of one length given as a byte matrix."""
+        numbers = self.numbers(data)
+        return np.stack([self.forward(self.values(numbers, w))[:, -1] + w[1][-1] for w in self.weights], axis=1)
 
-    def expected(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Expected uses of first pieces, inner pieces and the stop, over all readings of the words."""
+    def expected(self, data: np.ndarray, k: int = 0) -> tuple[np.ndarray, np.ndarray]:
+        """Expected uses of first pieces, inner pieces and the stop, over all readings of words of class k."""
         n, size = data.shape
-        edges = self.edges(data)
-        alpha = self.forward(data, edges)
+        numbers, stop = self.numbers(data), self.weights[k][1][-1]
+        values = self.values(numbers, self.weights[k])
+        alpha = self.forward(values)
         beta = np.full((n, size + 1), -np.inf)
-        beta[:, size] = self.inner_weight[-1]
+        beta[:, size] = stop
         for i in range(size - 1, -1, -1):
-            terms = np.stack([edges[m - 1][1][:, i] + beta[:, i + m] for m in range(1, min(size - i, len(edges)) + 1)])
-            beta[:, i] = _log_sum(terms)
-        total = beta[:, :1]
-        first, inner = np.zeros(len(self.first_weight) + 1), np.zeros(len(self.inner_weight))
-        for m, (numbers, value) in enumerate(edges, 1):
-            share = np.exp(alpha[:, : size + 1 - m] + value + beta[:, m:] - total)
-            first += np.bincount(numbers[:, 0], share[:, 0], len(first))
-            inner += np.bincount(numbers[:, 1:].ravel(), share[:, 1:].ravel(), len(inner))
-        inner[-1] = n  # the slot of unknown pieces holds nothing; every word stops once
-        return first[:-1], inner
+            beta[:, i] = _log_sum(np.stack([values[m - 1][:, i] + beta[:, i + m] for m in range(1, min(size - i, len(values)) + 1)]))
+        first, inner = (np.zeros(len(w) + 1) for w in self.weights[k])
+        for m, (found, value) in enumerate(zip(numbers, values, strict=True), 1):
+            share = np.exp(alpha[:, : size + 1 - m] + value + beta[:, m:] - beta[:, :1])
+            first += np.bincount(found[:, 0], share[:, 0], len(first))
+            inner += np.bincount(found[:, 1:].ravel(), share[:, 1:].ravel(), len(inner))
+        inner[-2] = n  # the number after the last piece means none and has no share; every word stops once
+        return first[:-1], inner[:-1]
 
 
 def _log_sum(terms: np.ndarray) -> np.ndarray:
@@ -187,13 +195,16 @@ def by_length(words: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
                 yield rows, np.frombuffer(b"".join([words[i] for i in rows]), np.uint8).reshape(len(rows), size)
 
 
-def token_blocks(docs: DataFrame, id_col: str, text_col: str, held: Column) -> DataFrame:
-    """Blocks of documents: a row per document (block, doc, id, held, n_tokens) and a row per word of a
-    block (block, word, docs, uses, trained), told apart by `word` being null."""
+def token_blocks(docs: DataFrame, id_col: str, text_col: str, held: Column, kind: Column, classes: int) -> DataFrame:
+    """Blocks of documents: a row per document (block, doc, id, held, n_tokens, kind) and a row per word of
+    a block (block, word, docs, uses, and its training count c0, c1, ... in each class); there `doc` is null."""
     id_type = docs.schema[id_col].dataType.simpleString()
-    schema = f"block string, word binary, doc int, id {id_type}, held boolean, n_tokens long, docs array<int>, uses array<int>, trained long"
-    kinds = [pa.string(), pa.binary(), pa.int32(), None, pa.bool_(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.int64()]
-    names = [c.split()[0] for c in schema.split(", ")]
+    fixed = {
+        "block": ("string", pa.string()), "word": ("binary", pa.binary()), "doc": ("int", pa.int32()), "id": (id_type, None),
+        "held": ("boolean", pa.bool_()), "n_tokens": ("long", pa.int64()), "kind": ("int", pa.int32()),
+        "docs": ("array<int>", pa.list_(pa.int32())), "uses": ("array<int>", pa.list_(pa.int32())),
+    }
+    columns = fixed | {f"c{k}": ("long", pa.int64()) for k in range(classes)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -206,126 +217,182 @@ def token_blocks(docs: DataFrame, id_col: str, text_col: str, held: Column) -> D
                     texts, at, size = [], i + 1, 0
 
     def block(batch, texts):
-        name = uuid.uuid4().hex
+        name, n = uuid.uuid4().hex, len(texts)
         number = defaultdict(count().__next__)
-        sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+        sizes = np.fromiter(map(len, texts), np.int64, n)
         words = np.fromiter((number[w] for words in texts for w in words), np.int64, int(sizes.sum()))
         held = batch.column(2).to_numpy(zero_copy_only=False).astype(bool)
-        n = len(texts)
-        pairs, uses = np.unique(words * n + np.repeat(np.arange(n), sizes), return_counts=True)
-        word, doc = pairs // n, pairs % n
-        starts = np.append(np.flatnonzero(np.diff(word, prepend=-1)), len(word))
-        trained = np.bincount(word, uses * ~held[doc], len(number)).astype(np.int64) if len(word) else np.zeros(0, np.int64)
-        lists = [pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(x, pa.int32())) for x in (doc, uses)]
-        none = [pa.nulls(n, k or batch.column(0).type) for k in kinds]
-        yield make({0: [name] * n, 2: np.arange(n), 3: batch.column(0), 4: held, 5: sizes + 1}, none)
+        kind = batch.column(3).to_numpy()
+        yield make(n, batch, block=[name] * n, doc=np.arange(n), id=batch.column(0), held=held, n_tokens=sizes + 1, kind=kind)
         if len(number):
-            none = [pa.nulls(len(number), k or batch.column(0).type) for k in kinds]
-            yield make({0: [name] * len(number), 1: list(number), 6: lists[0], 7: lists[1], 8: trained}, none)
-
-    def make(given, columns):
-        columns = list(columns)
-        for i, x in given.items():
-            columns[i] = x if isinstance(x, pa.Array) else pa.array(x, kinds[i])
-        return pa.RecordBatch.from_arrays(columns, names)
-
-    rows = docs.select(F.col(id_col), F.col(text_col), F.coalesce(held, F.lit(False)).alias("held"))
-    return rows.mapInArrow(run, schema)
+            pairs, uses = np.unique(words * n + np.repeat(np.arange(n), sizes), return_counts=True)
+            word, doc = pairs // n, pairs % n
+            starts = pa.array(np.append(np.flatnonzero(np.diff(word, prepend=-1)), len(word)), pa.int32())
+            lists = [pa.ListArray.from_arrays(starts, pa.array(x, pa.int32())) for x in (doc, uses)]
+            trained = np.bincount(word * classes + kind[doc], uses * ~held[doc], len(number) * classes).reshape(-1, classes)
+            counts = {f"c{k}": trained[:, k].astype(np.int64) for k in range(classes)}
+            yield make(len(number), batch, block=[name] * len(number), word=list(number), docs=lists[0], uses=lists[1], **counts)
+
+    def make(n, batch, **given):
+        kinds = {c: kind or batch.column(0).type for c, (_, kind) in columns.items()}
+        arrays = [
+            pa.nulls(n, kind) if (x := given.get(c)) is None else x if isinstance(x, pa.Array) else pa.array(x, kind)
+            for c, kind in kinds.items()
+        ]
+        return pa.RecordBatch.from_arrays(arrays, list(columns))
+
+    rows = docs.select(F.col(id_col), F.col(text_col), F.coalesce(held, F.lit(False)).alias("held"), kind.alias("kind"))
+    return rows.mapInArrow(run, ", ".join(f"{c} {kind}" for c, (kind, _) in columns.items()))
 
 
 def fit_pieces(words: DataFrame, lattice: Lattice, rounds: int) -> Lattice:
-    """Weights from expected counts over all distinct words (column `word`), once per round."""
-    n_first = len(lattice.first_weight)
+    """Weights from expected counts over all distinct words of each class (columns word, c0, ...), once per round."""
+    classes = len(lattice.weights)
+    n_first, n_inner = map(len, lattice.weights[0])
     for _ in range(rounds):
 
         def run(batches: Iterator[pa.RecordBatch], lattice=lattice) -> Iterator[pa.RecordBatch]:
-            first, inner = np.zeros(n_first), np.zeros(len(lattice.inner_weight))
+            sums = np.zeros((classes, n_first + n_inner))
             for batch in batches:
-                for _, data in by_length(batch.column(0).to_pylist()):
-                    a, b = lattice.expected(data)
-                    first, inner = first + a, inner + b
-            all_counts = np.concatenate((first, inner))
-            used = np.flatnonzero(all_counts)
-            yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(all_counts[used])], ["piece", "n"])
-
-        sums = words.select("word").mapInArrow(run, "piece int, n double").groupBy("piece").agg(F.sum("n").alias("n"))
-        counts = np.zeros(n_first + len(lattice.inner_weight))
-        for r in sums.collect():  # at most one row per piece of the vocabulary
+                words = batch.column(0).to_pylist()
+                for k in range(classes):
+                    own = np.flatnonzero(batch.column(k + 1).to_numpy() > 0)
+                    for _, data in by_length([words[i] for i in own]):
+                        sums[k] += np.concatenate(lattice.expected(data, k))
+            used = np.flatnonzero(sums.ravel())
+            yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(sums.ravel()[used])], ["piece", "n"])
+
+        sums = words.mapInArrow(run, "piece int, n double").groupBy("piece").agg(F.sum("n").alias("n"))
+        counts = np.zeros(classes * (n_first + n_inner))
+        for r in sums.collect():  # at most a row for each piece of the vocabulary and class
             counts[r["piece"]] = r["n"]
-        if not counts.any():
-            return lattice
-        counts += 0.01
-        weights = Lattice.weights(counts[:n_first], counts[n_first:])
-        lattice = Lattice(lattice.first, lattice.inner, *weights)
+        counts = counts.reshape(classes, -1)
+        weights = [Lattice.normal(c[:n_first] + 0.01, c[n_first:] + 0.01) if c.any() else w for c, w in zip(counts, lattice.weights, strict=True)]
+        lattice = Lattice(lattice.first, lattice.inner, weights)
     return lattice
 
 
+@dataclass
+class TokenModel:
+    """Natural-log probabilities of tokens in each class, from counts (rows by class) and pieces."""
+
+    total: np.ndarray  # training tokens by class, ends among them
+    distinct: np.ndarray
+    discount: np.ndarray
+    ends: np.ndarray
+
+    def tokens(self, c: np.ndarray, pieces: np.ndarray) -> np.ndarray:
+        """The whole word in its class, the whole word anywhere, or pieces; `pieces` are logs."""
+        escape = (self.discount * self.distinct + 1) / (self.total + 1)
+        with np.errstate(divide="ignore"):
+            own = np.log(np.maximum(c - self.discount, 0) / (self.total + 1))
+            anywhere = np.log(escape * ANYWHERE * c.sum(axis=1, keepdims=True) / max(self.total.sum(), 1))
+        spelled = np.log(escape * (1 - ANYWHERE - END_SHARE)) + pieces
+        return np.logaddexp(np.logaddexp(own, anywhere), spelled)
+
+    def end(self) -> np.ndarray:
+        escape = (self.discount * self.distinct + 1) / (self.total + 1)
+        anywhere = ANYWHERE * self.ends.sum() / max(self.total.sum(), 1)
+        return np.log(np.maximum(self.ends - self.discount, 0) / (self.total + 1) + escape * (anywhere + END_SHARE))
+
+    def shares(self) -> np.ndarray:
+        return np.log((self.ends + 1) / (self.ends + 1).sum())
+
+
 def lattice_scores(
     docs: DataFrame,
     held: Column,
     id_col: str = "doc_id",
     text_col: str = "text",
+    class_col: str | None = None,
     vocabulary_file: str = VOCABULARY,
-    rounds: int = 2,
+    rounds: int = 3,
+    max_classes: int = 8,
 ) -> DataFrame:
     """One row per row of `docs`: id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
-    Learns from the rows where `held` is not true and scores all. Words are what ASCII white space
-    separates, with A-Z lower-cased; every text ends with one end token. `base_score` is the sum of
-    log10((c + 1) / (N + V + 1)); `score` the log10 probability of the text under the lattice. Null
-    and empty texts are an end alone; repeated rows count and are scored each; without training rows
-    the pieces keep the weights of the vocabulary's order. An empty table gives no rows.
+    Learns from the rows where `held` is not true and scores all, by their texts alone. Words are
+    what ASCII white space separates, with A-Z lower-cased; every text ends with one end token.
+    `base_score` is the sum of log10((c + 1) / (N + V + 1)); `score` the log10 probability of the
+    text under the lattice. `class_col` tells classes of training texts apart: the `max_classes` most
+    frequent values, and one class for all others and null. Null and empty texts are an end alone;
+    repeated rows count and are scored each; without training rows the pieces keep the weights of the
+    vocabulary's order. An empty table gives no rows.
     """
-    blocks = materialize(token_blocks(docs, id_col, text_col, held), "blocks")
-    asked = blocks.where("word is not null").select("block", "word", "docs", "uses", "trained")
-    words = materialize(asked.groupBy("word").agg(F.sum("trained").alias("c")), "words")
-    facts = words.agg(
-        F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count_if(F.col("c") > 0).alias("v"),
-        F.count_if(F.col("c") == 1).alias("n1"), F.count_if(F.col("c") == 2).alias("n2"),
-    ).first()
-    ends = blocks.where("word is null and not held").count()
-    total, distinct = facts["n"] + ends, facts["v"] + (ends > 0)
-    discount = facts["n1"] / max(facts["n1"] + 2 * facts["n2"], 1) or 0.5
-    lattice = fit_pieces(words.where("c > 0"), Lattice.of(*vocabulary(vocabulary_file)), rounds)
-    mass = discount * distinct + 1  # what whole words give up, and one
+    held = F.coalesce(held, F.lit(False))
+    names = []
+    if class_col:  # bounded: max_classes rows
+        common = docs.where(~held & F.col(class_col).isNotNull()).groupBy(F.col(class_col).cast("string").alias("k")).count()
+        names = [r["k"] for r in common.orderBy(F.col("count").desc(), "k").limit(max_classes).collect()]
+    classes = len(names) + 1
+    place = F.array_position(F.array(*[F.lit(n) for n in names]), F.col(class_col).cast("string")) if names else F.lit(0)
+    kind = F.coalesce(F.when(place > 0, place - 1), F.lit(len(names))).cast("int")
+    blocks = materialize(token_blocks(docs, id_col, text_col, held, kind, classes), "blocks")
+    each = [f"c{k}" for k in range(classes)]
+    asked = blocks.where("word is not null").select("block", "word", "docs", "uses", *each)
+    words = materialize(asked.groupBy("word").agg(*[F.sum(c).alias(c) for c in each]), "words")
+    c = sum((F.col(x) for x in each), F.lit(0).cast("long"))
+    known = [F.count_if(c > 0).alias("v")]
+    known += [f(F.col(x)).alias(f"{n}_{x}") for x in each for n, f in (
+        ("n", lambda x: F.coalesce(F.sum(x), F.lit(0))), ("v", lambda x: F.count_if(x > 0)),
+        ("one", lambda x: F.count_if(x == 1)), ("two", lambda x: F.count_if(x == 2)))]
+    facts = words.agg(*known).first()
+    ends = np.zeros(classes)
+    for r in blocks.where("word is null and not held").groupBy("kind").count().collect():  # a row per class
+        ends[r["kind"]] = r["count"]
+
+    def fact(name):
+        return np.array([facts[f"{name}_{x}"] for x in each], float)
+
+    one, two = fact("one"), fact("two")
+    discount = np.where(one > 0, one / np.maximum(one + 2 * two, 1), 0.5)
+    model = TokenModel(fact("n") + ends, fact("v") + (ends > 0), discount, ends)
+    total, distinct = int(model.total.sum()), facts["v"] + int(ends.any())
+    lattice = fit_pieces(words.where(c > 0), Lattice.of(*vocabulary(vocabulary_file), classes), rounds)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            c = batch.column(1).to_numpy()
-            pieces = np.empty(len(c))
+            counts = np.stack([batch.column(k + 1).to_numpy() for k in range(classes)], axis=1).astype(float)
+            pieces = np.empty(counts.shape)
             for rows, data in by_length(batch.column(0).to_pylist()):
                 pieces[rows] = lattice.log_probability(data)
-            with np.errstate(divide="ignore"):
-                whole = np.log(np.maximum(c - discount, 0))
-            value = np.logaddexp(whole, np.log(mass * (1 - END_SHARE)) + pieces) - np.log(total + 1)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(value / LN10)], ["word", "c", "value"])
-
-    values = materialize(words.mapInArrow(score, "word binary, c long, value double"), "word-scores")
-    answered = asked.drop("trained").join(values, "word").drop("word")
-    kinds = {f.name: f.dataType.simpleString() for f in blocks.schema.fields}
+            values = model.tokens(counts, pieces)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(counts.sum(axis=1).astype(np.int64)), *[pa.array(values[:, k]) for k in range(classes)]],
+                ["word", "c", *value_names],
+            )
+
+    value_names = [f"p{k}" for k in range(classes)]
+    value_types = ", ".join(f"{x} double" for x in value_names)
+    values = materialize(words.mapInArrow(score, f"word binary, c long, {value_types}"), "word-scores")
+    answered = asked.drop(*each).join(values, "word").drop("word")
     heads = blocks.where("word is null").select("block", "doc", "id", "held", "n_tokens")
     both = heads.unionByName(answered, allowMissingColumns=True)
-    end_base = np.log10((ends + 1) / (total + distinct + 1))
-    end_score = np.log10((max(ends - discount, 0) + mass * END_SHARE) / (total + 1))
+    end_base = np.log10((int(ends.sum()) + 1) / (total + distinct + 1))
 
     def fold(table: pa.Table) -> pa.Table:
         docs_part = table.filter(pa.compute.is_valid(table["doc"]))
         word_part = table.filter(pa.compute.is_valid(table["docs"])).combine_chunks()
         n = docs_part.num_rows
-        base, value, known = np.full(n, end_base), np.full(n, end_score), np.full(n, int(ends > 0), np.int64)
+        base, found = np.full(n, end_base), np.full(n, int(ends.any()), np.int64)
+        value = np.tile(model.end() + model.shares(), (n, 1))
         if word_part.num_rows:
-            lists = [x.combine_chunks() if isinstance(x, pa.ChunkedArray) else x for x in (word_part["docs"], word_part["uses"])]
+            lists = [word_part[x].combine_chunks() for x in ("docs", "uses")]
+            lists = [x.chunk(0) if isinstance(x, pa.ChunkedArray) else x for x in lists]
             doc, uses = (x.flatten().to_numpy() for x in lists)
             sizes = np.diff(lists[0].offsets.to_numpy())
-            c, v = word_part["c"].to_numpy(), word_part["value"].to_numpy()
+            c = word_part["c"].to_numpy()
             base += np.bincount(doc, uses * np.repeat(np.log10((c + 1) / (total + distinct + 1)), sizes), n)
-            value += np.bincount(doc, uses * np.repeat(v, sizes), n)
-            known += np.bincount(doc, uses * np.repeat(c > 0, sizes), n).astype(np.int64)
+            found += np.bincount(doc, uses * np.repeat(c > 0, sizes), n).astype(np.int64)
+            for k, x in enumerate(value_names):
+                value[:, k] += np.bincount(doc, uses * np.repeat(word_part[x].to_numpy(), sizes), n)
         at = docs_part["doc"].to_numpy()
         return pa.table(
-            [docs_part["id"], docs_part["held"], docs_part["n_tokens"], pa.array(known[at]), pa.array(np.full(n, total, np.int64)), pa.array(base[at]), pa.array(value[at])],
+            [docs_part["id"], docs_part["held"], docs_part["n_tokens"], pa.array(found[at]), pa.array(np.full(n, total, np.int64)),
+             pa.array(base[at]), pa.array(np.logaddexp.reduce(value, axis=1)[at] / LN10)],
             names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
-        )
+        )
 
-    schema = f"doc_id {kinds['id']}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+    id_type = blocks.schema["id"].dataType.simpleString()
+    schema = f"doc_id {id_type}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     return both.groupBy("block").applyInArrow(fold, schema)

@@ -30,7 +30,7 @@ def _table(spark: SparkSession, path: str, name: str) -> DataFrame:
 @query("op1_lattice_scores")
 def lattice_scores(spark, path):
     held = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(7)) == 2
-    return lm.lattice_scores(_table(spark, path, "documents"), held)
+    return lm.lattice_scores(_table(spark, path, "documents"), held, class_col="lang")
 
 
 @query(
