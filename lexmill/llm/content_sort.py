@@ -48,7 +48,8 @@ def exact_groups(
     carry: Sequence[str] = (),
     per_task: int | None = None,
 ) -> DataFrame:
-    """One row per row of `docs`: id, keep_id, group_size, kept, text_sha256 and the `carry` columns.
+    """One row per row of `docs`: id, keep_id, group_size, kept, text_sha256, and the struct `row` of the
+    `carry` columns if there are any.
 
     Texts are equal when they are identical after deleting white space; null counts as empty. Of
     equal texts the one with the most code points stays, then the smallest id (null last). Of rows
@@ -56,11 +57,14 @@ def exact_groups(
     columns outside the arguments are not touched, so their names cannot clash.
     """
     hot = materialize(hot_texts(docs, id_col, text_col, per_task), "hot-texts")
-    norm = without_space(F.col("__text"))
+    # A text that is carried anyway crosses the shuffle there, and only there.
+    carry, inside = list(carry), text_col in carry
+    text = F.col("__carry")[text_col] if inside else F.col("__text")
+    norm = without_space(text)
     rows = docs.select(
         F.col(id_col).alias("__id"),
-        F.col(text_col).alias("__text"),
         F.struct(*[F.col(c) for c in carry]).alias("__carry") if carry else F.lit(None).alias("__carry"),
+        *[F.col(text_col).alias("__text")] * (not inside),
     )
     rows = rows.select("*", F.sha2(norm, 256).alias("__sha"), F.substring(norm, 1, PREFIX_CHARS).alias("__prefix"))
     # Bounded: a few rows for each shuffle partition, see hot_texts.
@@ -69,10 +73,9 @@ def exact_groups(
     salt = F.coalesce(F.pmod(F.xxhash64("__id"), F.col("__salts")), F.lit(0))
     rows = rows.withColumn("__salt", salt.cast("long")).drop("__salts")
     ranged = rows.repartitionByRange("__prefix", "__sha", "__salt")
-    # The text crosses the shuffle once; its normalised form is computed again on the other side.
-    ranged = ranged.select(
-        "*", norm.alias("__norm"), F.length(F.coalesce("__text", F.lit(""))).alias("__n")
-    ).drop("__text")
+    # The normalised form does not cross the shuffle; it is computed again on the other side.
+    ranged = ranged.select("*", norm.alias("__norm"), F.length(F.coalesce(text, F.lit(""))).alias("__n"))
+    ranged = ranged.drop("__text")
     same = Window.partitionBy("__prefix", "__sha", "__salt", "__norm")
     first = same.orderBy(F.col("__n").desc(), F.col("__id").asc_nulls_last())
     found = ranged.select(
@@ -90,11 +93,11 @@ def exact_groups(
         F.coalesce("__hot_size", "__size").cast("long").alias("group_size"),
         kept.alias("kept"),
         F.col("__sha").alias("text_sha256"),
-        *[F.col("__carry")[c].alias(c) for c in carry],
+        *[F.col("__carry").alias("row")] * bool(carry),
     )
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of `docs` that stay, with all their columns."""
-    names = [c for c in docs.columns if c != id_col]
-    return exact_groups(docs, id_col, text_col, carry=names).where("kept").select(*docs.columns)
+    found = exact_groups(docs, id_col, text_col, carry=docs.columns)
+    return found.where("kept").select("row.*")
