@@ -12,7 +12,34 @@ from lexmill.operators import chunking, transform
 SIZE, OVERLAP = 1000, 100
 
 
-@query("paragraph_chunks")
+def _pack_sql(pieces: str, sep: str, extra: int, large: str, n: int) -> str:
+    """A fold over a list of texts: state and items are (chunks, current)."""
+    a, x = f"a{n}", f"x{n}"
+    closed = f"CASE WHEN {a}.current = '' THEN {a}.chunks ELSE list_append({a}.chunks, {a}.current) END"
+    return f"""list_reduce(list_transform({pieces}, lambda p{n}: {{'chunks': CAST([] AS VARCHAR[]), 'current': p{n}}}),
+  lambda {a}, {x}: CASE
+    WHEN length({x}.current) > {SIZE} THEN {{'chunks': list_concat({closed}, {large.replace('PIECE', f'{x}.current')}), 'current': ''}}
+    WHEN {a}.current <> '' AND length({a}.current) + length({x}.current) + {extra} > {SIZE} THEN {{'chunks': {closed},
+      'current': CASE WHEN length({a}.current) > {OVERLAP} THEN right({a}.current, {OVERLAP}) || {sep} || {sep} ELSE '' END || {x}.current}}
+    ELSE {{'chunks': {a}.chunks, 'current': CASE WHEN {a}.current = '' THEN {x}.current ELSE {a}.current || {sep} || {x}.current END}} END,
+  {{'chunks': CAST([] AS VARCHAR[]), 'current': ''}})"""
+
+
+_FIXED = f"list_transform(generate_series(0, length(PIECE) - 1, {SIZE - OVERLAP}), lambda i: substr(PIECE, CAST(i AS INTEGER) + 1, {SIZE}))"
+_TEXT_PIECES = "list_slice(string_split({0}, {1}), 1, greatest(1, len(string_split(regexp_replace({0}, '({2})+$', ''), {1}))))"
+_LINES = _TEXT_PIECES.format("PIECE", "chr(10)", "\\n")
+_BY_LINES = f"""(CASE WHEN len({_LINES}) > 1 THEN list_transform([{_pack_sql(_LINES, 'chr(10)', 1, _FIXED, 2)}],
+  lambda f: CASE WHEN f.current = '' THEN f.chunks ELSE list_append(f.chunks, f.current) END)[1] ELSE {_FIXED} END)"""
+
+
+@query(
+    "paragraph_chunks",
+    f"""WITH p AS (SELECT doc_id, text, {_TEXT_PIECES.format("text", "chr(10) || chr(10)", "\\n\\n")} AS pieces FROM documents WHERE text IS NOT NULL),
+f AS (SELECT doc_id, text, {_pack_sql("pieces", "chr(10) || chr(10)", 2, _BY_LINES, 1)} AS f FROM p),
+c AS (SELECT doc_id, CASE WHEN length(text) <= {SIZE} THEN [text] WHEN f.current = '' THEN f.chunks ELSE list_append(f.chunks, f.current) END AS chunks FROM f)
+SELECT doc_id, CAST(k - 1 AS INTEGER) AS chunk_index, CAST(len(chunks) AS INTEGER) AS total_chunks, chunks[k] AS chunk
+FROM (SELECT doc_id, chunks, unnest(generate_series(1, len(chunks))) AS k FROM c)""",
+)
 def paragraph_chunks(spark, path):
     return chunking.paragraph_chunks(Tables(spark, path).documents, "doc_id", SIZE, OVERLAP)
 

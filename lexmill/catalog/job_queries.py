@@ -27,7 +27,7 @@ job AS (SELECT r.document_id, r.type, r.year, r.number, f.code FROM registry r J
   WHERE r.year = (SELECT year FROM top) AND NOT EXISTS (SELECT 1 FROM missing m WHERE m.type = r.type AND m.year = r.year AND m.number = r.number))"""
 
 
-def _fetch_run(spark, path):
+def _fetch_run(spark, path, mode="previous"):
     t = Tables(spark, path)
     registry = t.registry.withColumn("number", F.col("number").cast("int"))
     top = registry.agg(F.max("year")).first()[0]
@@ -35,7 +35,7 @@ def _fetch_run(spark, path):
         registry.groupBy(F.col("type").alias("document_type"))
         .agg(F.max("number").alias("current_number"))
         .select(
-            F.lit("fetch-previous").alias("cursor_type"), "document_type", F.lit(top).alias("current_year"),
+            F.lit(f"fetch-{mode}").alias("cursor_type"), "document_type", F.lit(top).alias("current_year"),
             "current_number", F.lit(None).cast("timestamp_ntz").alias("updated_at"),
         )
     )
@@ -49,7 +49,8 @@ def _fetch_run(spark, path):
     missing = _missing(t).select(
         "document_type", "year", F.col("number").cast("int").alias("number"), F.lit(AS_OF).cast("timestamp_ntz").alias("detected_at")
     )
-    options = jobs.FetchOptions(year=top + 1, max_number=1_000_000, max_per_run=None, base_url=BASE_URL)
+    year = top if mode == "current" else top + 1
+    options = jobs.FetchOptions(mode=mode, year=year, max_per_run=None, base_url=BASE_URL)
     return jobs.run_fetch(
         empty(spark, "registry"), empty(spark, "fetch_results"), cursors, missing, probes, AS_OF, options
     )
@@ -65,6 +66,18 @@ def fetch_run_results(spark, path):
     return _fetch_run(spark, path)["fetch_results"].drop("fetched_at", "error_message")
 
 
+@query(
+    "fetch_current_results",
+    ctes(REGISTRY, PROBES, _CURSORS, _LOG.split("\njob AS")[0].rstrip(","))
+    + f"""SELECT document_id, type AS document_type, year, CAST(number AS INTEGER) AS number, '{BASE_URL}/' || document_id AS url,
+  CASE code WHEN 200 THEN 'FETCHED' WHEN 429 THEN 'RATE_LIMITED' ELSE 'FAILED' END AS status, code = 200 AS exists
+FROM registry JOIN final USING (document_id) WHERE year = (SELECT year FROM top)""",
+)
+def fetch_current_results(spark, path):
+    """A current-year run looks at numbers known to be missing again."""
+    return _fetch_run(spark, path, "current")["fetch_results"].drop("fetched_at", "error_message")
+
+
 @query(
     "fetch_run_not_found",
     ctes(REGISTRY, PROBES, _CURSORS, _LOG)

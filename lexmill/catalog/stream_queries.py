@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from lexmill.catalog import query
 from lexmill.catalog.chunk_queries import json_parts_sql
-from lexmill.catalog.registry_queries import _THROTTLE, _text_window
+from lexmill.catalog.registry_queries import _ADAPTIVE, _THROTTLE, _text_window
 from lexmill.catalog.views import ARTICLES, LEGAL_TEXT, LEGAL_TEXT_SPARK, Tables, ctes
 from lexmill.catalog.word_queries import _CHAT, _WORDS
 from lexmill.operators.words import dictionary_of
@@ -28,12 +28,35 @@ def stream_of(t: Tables, name: str):
 )
 def stream_throttle(spark, path):
     t = Tables(spark, path)
-    stats = throttle.windows(stream_of(t, "events"), "ts", F.col("event_type") == "error", lateness="60 days")
     log = BatchLog(spark, scratch_path(spark, "throttle"), throttle.WINDOW_SCHEMA)
-    current = throttle.run_windows(stats, log, scratch_path(spark, "throttle-checkpoint"))
+    current = throttle.run_windows(
+        stream_of(t, "events"), "ts", F.col("event_type") == "error", log, scratch_path(spark, "throttle-checkpoint")
+    )
     return _text_window(current.withColumn("rate", F.round("rate", 6)))
 
 
+@query(
+    "stream_pacing",
+    ctes(_ADAPTIVE, recursive=True)
+    + "SELECT user_id, event_id, round(rate, 6) AS rate, CAST(delay_ms AS INTEGER) AS delay_ms FROM walk",
+)
+def stream_pacing(spark, path):
+    t = Tables(spark, path)
+    events = stream_of(t, "events").select("user_id", "event_id", "ts", "event_type", "value")
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in events.schema.fields)
+    out = BatchLog(
+        spark, scratch_path(spark, "pauses"), f"{schema}, n_requests long, n_throttled long, rate double, delay_ms int"
+    )
+    states = BatchLog(
+        spark, scratch_path(spark, "paces"), "user_id long, span long, requests long, throttled long, delay_ms int"
+    )
+    hit = (F.col("event_type") == "error") & (F.col("value") > 20)
+    paced = throttle.run_pacing(
+        events, ["user_id"], "ts", [F.col("event_id")], hit, states, out, scratch_path(spark, "pace-checkpoint"), 864_000
+    )
+    return paced.select("user_id", "event_id", F.round("rate", 6).alias("rate"), "delay_ms")
+
+
 @query(
     "stream_novelty",
     ctes(_WORDS, _CHAT) + "SELECT DISTINCT word FROM words WHERE word NOT IN (SELECT word FROM known)",

@@ -2,96 +2,95 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 PARAGRAPH, LINE = "\n\n", "\n"
 
 
-def _pack(pieces: list[str], sep: str, projected_extra: int, size: int, overlap: int, split_large) -> list[str]:
+def _pieces(text: Column, sep: str) -> Column:
+    """Parts between separators; empty ones at the end are dropped, but never the first."""
+    parts = F.split(text, sep, -1)
+    filled = F.transform(parts, lambda p, i: F.when(p != "", i + 1))
+    return F.slice(parts, F.lit(1), F.greatest(F.coalesce(F.array_max(filled), F.lit(1)), F.lit(1)))
+
+
+def _cut(text: Column, size: int, overlap: int) -> Column:
+    """Fixed windows over a text that has at least one character."""
+    starts = F.sequence(F.lit(0), F.length(text) - 1, F.lit(size - overlap))
+    return F.transform(starts, lambda i: F.substring(text, i + 1, F.lit(size)))
+
+
+def _pack(pieces: Column, sep: str, extra: int, size: int, overlap: int, split_large) -> Column:
     """Fill chunks up to `size` with whole pieces; larger pieces go to `split_large`."""
-    chunks: list[str] = []
-    current = ""
-    for piece in pieces:
-        if len(piece) > size:
-            chunks += [current] if current else []
-            chunks += split_large(piece)
-            current = ""
-            continue
-        if current and len(current) + len(piece) + projected_extra > size:
-            chunks.append(current)
-            tail = current[-overlap:] if 0 < overlap < len(current) else ""
-            current = tail + sep if tail else ""
-        current = current + sep + piece if current else piece
-    return chunks + ([current] if current else [])
-
-
-def _pieces(text: str, sep: str) -> list[str]:
-    parts = text.split(sep)
-    while len(parts) > 1 and parts[-1] == "":
-        parts.pop()
-    return parts
-
-
-def split_paragraphs(text: str, size: int, overlap: int) -> list[str]:
-    """Chunks of one text: paragraphs first, then lines, then fixed cuts."""
-    if len(text) <= size:
-        return [text]
+    none = F.array().cast("array<string>")
+
+    def state(chunks: Column, current: Column) -> Column:
+        return F.struct(chunks.alias("chunks"), current.alias("current"))
+
+    def closed(acc: Column) -> Column:
+        return F.when(acc["current"] == "", acc["chunks"]).otherwise(F.concat(acc["chunks"], F.array(acc["current"])))
+
+    def step(acc: Column, piece: Column) -> Column:
+        current = acc["current"]
+        tail = F.when((F.length(current) > overlap) & (F.lit(overlap) > 0), F.concat(F.right(current, F.lit(overlap)), F.lit(2 * sep)))
+        longer = F.when(current == "", piece).otherwise(F.concat(current, F.lit(sep), piece))
+        full = (current != "") & (F.length(current) + F.length(piece) + extra > size)
+        return (
+            F.when(F.length(piece) > size, state(F.concat(closed(acc), split_large(piece)), F.lit("")))
+            .when(full, state(closed(acc), F.concat(F.coalesce(tail, F.lit("")), piece)))
+            .otherwise(state(acc["chunks"], longer))
+        )
+
+    return F.aggregate(pieces, state(none, F.lit("")), step, closed)
 
-    def cut(line: str) -> list[str]:
-        return [line[i : i + size] for i in range(0, len(line), size - overlap)]
 
-    def by_lines(paragraph: str) -> list[str]:
+def split_paragraphs(text: Column, size: int, overlap: int) -> Column:
+    """Chunks of one text: paragraphs first, then lines, then fixed cuts."""
+
+    def by_lines(paragraph: Column) -> Column:
         rows = _pieces(paragraph, LINE)
-        return _pack(rows, LINE, 1, size, overlap, cut) if len(rows) > 1 else cut(paragraph)
+        packed = _pack(rows, LINE, 1, size, overlap, lambda line: _cut(line, size, overlap))
+        return F.when(F.size(rows) > 1, packed).otherwise(_cut(paragraph, size, overlap))
 
-    return _pack(_pieces(text, PARAGRAPH), PARAGRAPH, len(PARAGRAPH), size, overlap, by_lines)
+    packed = _pack(_pieces(text, PARAGRAPH), PARAGRAPH, len(PARAGRAPH), size, overlap, by_lines)
+    return F.when(F.length(text) <= size, F.array(text)).otherwise(packed)
 
 
 def paragraph_chunks(texts: DataFrame, id_col: str, size: int, overlap: int, text_col: str = "text") -> DataFrame:
-    """(id, chunk_index, total_chunks, chunk) of every text.
-
-    The packing is a fold over one row's text with string state, so it runs as an Arrow-batched
-    function; only texts longer than `size` are sent to Python.
-    """
+    """(id, chunk_index, total_chunks, chunk) of every text; the packing is a fold over its pieces."""
     if not 0 <= overlap < size:
         raise ValueError("overlap must be at least 0 and below size")
-
-    @F.pandas_udf(T.ArrayType(T.StringType()))
-    def split(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in batches:
-            yield batch.map(lambda t: None if t is None else split_paragraphs(t, size, overlap))
-
-    long = F.length(text_col) > size
-    chunks = F.coalesce(split(F.when(long, F.col(text_col))), F.array(F.col(text_col)))
     return (
         texts.where(F.col(text_col).isNotNull())
-        .select(id_col, chunks.alias("chunks"))
+        .select(id_col, split_paragraphs(F.col(text_col), size, overlap).alias("chunks"))
         .select(id_col, F.size("chunks").alias("total_chunks"), F.posexplode("chunks").alias("chunk_index", "chunk"))
         .select(id_col, "chunk_index", "total_chunks", "chunk")
     )
 
 
 def window_chunks(texts: DataFrame, id_col: str, size: int, overlap: int, text_col: str = "text") -> DataFrame:
-    """Fixed windows with overlap: (id, chunk_index, total_chunks, start, end, chunk)."""
+    """Fixed windows with overlap: (id, chunk_index, total_chunks, start, end, chunk).
+
+    An empty text is one empty chunk, a null text one null chunk. The windows of a text become an
+    array before they become rows, so no row carries the whole text.
+    """
     if not 0 <= overlap < size:
         raise ValueError("overlap must be at least 0 and below size")
     step = size - overlap
-    n = F.length(text_col)
-    count = F.greatest(F.lit(1), F.ceil((n - overlap) / F.lit(step))).cast("int")
-    return (
-        texts.where(n > 0)
-        .select(id_col, text_col, n.alias("__n"), count.alias("total_chunks"))
-        .withColumn("chunk_index", F.explode(F.sequence(F.lit(1), F.col("total_chunks"))))
-        .withColumn("start", (F.col("chunk_index") - 1) * step)
-        .withColumn("end", F.least(F.col("start") + size, F.col("__n")))
-        .withColumn("chunk", F.substring(F.col(text_col), F.col("start") + 1, F.lit(size)))
-        .select(id_col, "chunk_index", "total_chunks", "start", "end", "chunk")
-    )
+    text, n = F.col(text_col), F.length(text_col)
+    count = F.greatest(F.lit(1), F.coalesce(F.ceil((n - overlap) / F.lit(step)), F.lit(1))).cast("int")
+
+    def window(i: Column) -> Column:
+        start = (i - 1) * step
+        return F.struct(
+            i.alias("chunk_index"), count.alias("total_chunks"), start.alias("start"),
+            F.least(start + size, F.coalesce(n, start + size)).alias("end"), F.substring(text, start + 1, F.lit(size)).alias("chunk"),
+        )
+
+    return texts.select(id_col, F.inline(F.transform(F.sequence(F.lit(1), count), window)))
 
 
 def whole_text(texts: DataFrame, id_col: str, text_col: str = "text") -> DataFrame:
@@ -156,18 +155,13 @@ def article_chunks(
         sizes = F.transform(articles, lambda a: F.length(F.to_json(a)).cast("long"))
     whole = head + F.aggregate(sizes, F.lit(0).cast("long"), lambda acc, x: acc + x) <= limit
     numbers = F.when(whole, F.transform(articles, lambda a: F.lit(0))).otherwise(chunk_numbers(sizes, head, limit))
-    return (
-        docs.select(id_col, F.col(articles).alias("__all"), numbers.alias("__no"))
-        .withColumn("chunk_index", F.explode(F.array_distinct("__no")))
-        .select(
-            id_col,
-            "chunk_index",
-            F.transform(
-                F.filter(F.arrays_zip(F.col("__all").alias("a"), F.col("__no").alias("n")), lambda z: z["n"] == F.col("chunk_index")),
-                lambda z: z["a"],
-            ).alias("articles"),
-        )
-    )
+    # Chunk numbers never fall, so a chunk is one slice; no row carries the other chunks' articles.
+    def chunk(k: Column) -> Column:
+        size = F.size(F.filter(F.col("__no"), lambda n: n == k))
+        return F.struct(k.alias("chunk_index"), F.slice("__all", F.array_position("__no", k).cast("int"), size).alias("articles"))
+
+    numbered = docs.select(id_col, F.col(articles).alias("__all"), numbers.alias("__no"))
+    return numbered.select(id_col, F.inline(F.transform(F.array_distinct("__no"), chunk)))
 
 
 def merge_chunk_articles(articles: DataFrame, id_col: str, index: str, order: Sequence[Column]) -> DataFrame:

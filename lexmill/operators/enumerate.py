@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lexmill.session import materialize
+
 BLOCK = 4096
-MAX_CURSORS = 100
 
 
 def start_cursors(stored: DataFrame, spark, cursor_type: str, year: int, max_number: int) -> DataFrame:
@@ -29,15 +30,6 @@ def start_cursors(stored: DataFrame, spark, cursor_type: str, year: int, max_num
     )
 
 
-def pinned(cursors: DataFrame) -> DataFrame:
-    """The cursors as a local table. There is one per document type, so the rows are few; every
-    later use then costs nothing."""
-    rows = cursors.limit(MAX_CURSORS + 1).collect()
-    if len(rows) > MAX_CURSORS:
-        raise ValueError(f"more than {MAX_CURSORS} cursors; one per document type is expected")
-    return cursors.sparkSession.createDataFrame(rows, cursors.schema)
-
-
 def candidates(
     cursors: DataFrame,
     not_found: DataFrame,
@@ -52,12 +44,12 @@ def candidates(
     and only those are expanded, each by array operations up to its share of the quota. So neither
     a long cursor nor a long missing list lands in one task.
     """
-    cursors = pinned(cursors)
+    cursors = materialize(cursors, "cursors")  # a row per document type, read three times
     keys = ["document_type", "year", "b"]
     tops = cursors.select("document_type", "year", F.col("number").alias("top"))
     missing = (
         not_found.select("document_type", "year", F.col("number").cast("long").alias("missing"))
-        .join(F.broadcast(tops), ["document_type", "year"])
+        .join(tops, ["document_type", "year"])
         .where((F.col("missing") <= F.col("top")) & (F.col("missing") > 0))
         .withColumn("b", F.floor((F.col("top") - F.col("missing")) / block))
         .groupBy(*keys)
@@ -91,7 +83,7 @@ def candidates(
             free.groupBy("cursor_pos").agg(can).withColumn("upto", upto).select("cursor_pos", share.alias("quota"))
         )
         kept = (
-            free.join(F.broadcast(quota), "cursor_pos")
+            free.join(quota, "cursor_pos")
             .withColumn("take", F.least(F.col("quota") - F.col("before"), F.lit(block)).cast("int"))
             .where("take > 0 and free > 0")
         )
@@ -120,7 +112,7 @@ def advance_cursors(
     that had no quota left stays where it is.
     """
     seen = taken.groupBy("cursor_pos").agg(F.min("number").alias("last"), F.count(F.lit(1)).alias("n"))
-    joined = cursors.join(F.broadcast(seen), "cursor_pos", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    joined = cursors.join(seen, "cursor_pos", "left").withColumn("n", F.coalesce("n", F.lit(0)))
     huge = F.lit(2**62).cast("long")
     earlier = Window.partitionBy(F.lit(0)).orderBy("cursor_pos").rowsBetween(Window.unboundedPreceding, -1)
     used = F.coalesce(F.sum("n").over(earlier), F.lit(0))
@@ -152,3 +144,21 @@ def not_yet_seen(candidates_: DataFrame, results: DataFrame, on: list[str]) -> D
     """Candidates without a recorded result; a rate-limited result counts as not seen."""
     seen = results.where(F.col("status") != "RATE_LIMITED").select(*on)
     return candidates_.join(seen, on, "left_anti")
+
+
+def hold_at_unprobed(moved: DataFrame, candidates_: DataFrame, probed: DataFrame) -> DataFrame:
+    """Cursors after a run, held at the highest candidate that has no outcome yet.
+
+    `candidates_` has type, year, number, document_id; `probed` has document_id. Numbers are taken
+    downwards, so a held cursor meets everything below again and no id is passed over.
+    """
+    waiting = candidates_.join(probed.select("document_id").distinct(), "document_id", "left_anti")
+    first = waiting.groupBy(F.col("type").alias("document_type")).agg(
+        F.max_by("year", "number").alias("__year"), F.max("number").cast("int").alias("__number")
+    )
+    held = F.col("__number").isNotNull()
+    return moved.join(first, "document_type", "left").select(
+        "cursor_type", "document_type",
+        F.when(held, F.col("__year")).otherwise(F.col("current_year")).alias("current_year"),
+        F.when(held, F.col("__number")).otherwise(F.col("current_number")).alias("current_number"),
+    )

@@ -24,7 +24,7 @@ def merge_ranges(ranges: DataFrame, keys: Sequence[str] = KEYS, max_rows: int =
         F.sum("document_count").alias("document_count")
     )
     order = [F.col("number_min"), F.col("number_max")]
-    rows = ordered(merged, keys, order[0], max_rows, sized_by=ranges)
+    rows = ordered(merged, keys, order, max_rows)
     rows = running_values(rows, order, {"__reach": ("max_before", F.col("number_max"))})
     opens = F.coalesce(F.col("number_min") > F.col("__reach") + 1, F.lit(True)).cast("long")
     rows = running_values(rows, order, {"__island": ("sum", opens)})

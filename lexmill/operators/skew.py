@@ -8,7 +8,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexmill.session import materialize
+from lexmill.session import materialize, materialize_measured
 
 # Rows of one key that a single task may order. A key above it is cut into ranges.
 MAX_ROWS_PER_TASK = 1_000_000
@@ -17,33 +17,45 @@ MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 SALTS = 64
 
 
-def measured_bytes(df: DataFrame) -> int:
-    """Size of a lookup, measured by one distributed aggregate (only the sum reaches the driver)."""
-    row = F.lit(16)
-    for name in df.columns:
-        row = row + F.coalesce(F.octet_length(F.col(name).cast("string")), F.lit(0)) + F.lit(8)
-    return df.agg(F.sum(row).alias("bytes")).first()["bytes"] or 0
+@dataclass(frozen=True)
+class Lookup:
+    """A lookup that is stored once, with its measured size; see `stored_lookup`."""
+
+    df: DataFrame
+    size: int
+
+
+def stored_lookup(df: DataFrame, label: str = "lookup") -> Lookup:
+    """Compute a lookup once, for every later join and size check."""
+    return Lookup(*materialize_measured(df, label))
 
 
 def lookup_join(
     df: DataFrame,
-    lookup: DataFrame,
+    lookup: DataFrame | Lookup,
     on: Sequence[str],
     how: str = "inner",
     max_bytes: int = MAX_BROADCAST_BYTES,
     salts: int = SALTS,
+    hot_rows: int = MAX_ROWS_PER_TASK,
 ) -> DataFrame:
     """Join a large side with a lookup whose keys may be very unevenly used.
 
-    A lookup measured below `max_bytes` is broadcast. A larger one is repeated once per salt and
-    joined on (key, salt), so the rows of a hot key spread over `salts` tasks.
+    The lookup is stored once and measured by the same job. Below `max_bytes` it is broadcast. A
+    larger one is joined by key; keys that more than `hot_rows` rows of the large side use, at most
+    rows / hot_rows of them, are dealt over `salts` tasks, and only their lookup rows are repeated.
     """
     on = list(on)
-    if measured_bytes(lookup) <= max_bytes:
-        return df.join(F.broadcast(lookup), on, how)
-    salted = df.withColumn("__salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)))
-    repeated = lookup.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    repeated = repeated.withColumn("__salt", F.col("__salt").cast("long"))
+    lookup = lookup if isinstance(lookup, Lookup) else stored_lookup(lookup)
+    if lookup.size <= max_bytes:
+        return df.join(F.broadcast(lookup.df), on, how)
+    hot = df.groupBy(*on).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > hot_rows).select(*on)
+    hot = materialize(hot.withColumn("__hot", F.lit(True)), "hot-keys")
+    spread = F.when(F.col("__hot"), F.pmod(F.monotonically_increasing_id(), F.lit(salts))).otherwise(F.lit(0))
+    salted = df.join(F.broadcast(hot), on, "left").withColumn("__salt", spread.cast("long")).drop("__hot")
+    copies = F.when(F.col("__hot"), F.lit(salts - 1)).otherwise(F.lit(0))
+    repeated = lookup.df.join(F.broadcast(hot), on, "left")
+    repeated = repeated.withColumn("__salt", F.explode(F.sequence(F.lit(0), copies).cast("array<bigint>"))).drop("__hot")
     return salted.join(repeated, on + ["__salt"], how).drop("__salt")
 
 
@@ -67,39 +79,31 @@ class Ordered:
 def ordered(
     df: DataFrame,
     keys: Sequence[str],
-    lead: Column,
+    order: Sequence[Column],
     max_rows: int = MAX_ROWS_PER_TASK,
     sized_by: DataFrame | None = None,
 ) -> Ordered:
-    """Prepare `df` for running values per key, ordered by the integral column `lead` first.
-
-    The rows per key are counted once (a narrow aggregate that combines before its shuffle). If no
-    key exceeds `max_rows`, the rows are hashed by key and every later window reuses that layout.
-    Otherwise rows of a large key get a range number `__seg`, a monotone function of `lead`, and
-    are hashed by (key, range); choose a `lead` with many distinct values, as equal ones stay
-    together. At most rows / max_rows keys are large, which bounds the broadcast
-    of their statistics. `sized_by` may name a cheaper table with the same keys and `lead`.
+    """Prepare `df` for running values per key in ascending `order`.
+
+    `df` is stored once (unless `sized_by` names a cheaper table with the same keys), and the rows
+    per key are counted by a narrow aggregate. If no key exceeds `max_rows`, the rows are hashed by
+    key and every later window reuses that layout. Otherwise the rows are range-partitioned by key
+    and the whole order, with splitters sampled from the rows, so ranges hold about equal numbers
+    whatever the values; the number of its range becomes the column `__seg` of a row. Only rows that
+    agree in every order column stay together.
     """
     keys = list(keys)
-    stats = (
-        (df if sized_by is None else sized_by)
-        .groupBy(*keys)
-        .agg(
-            F.count(F.lit(1)).alias("__n"),
-            F.min(lead).cast("double").alias("__lo"),
-            F.max(lead).cast("double").alias("__hi"),
-        )
-        .where(F.col("__n") > max_rows)
-    )
-    if stats.isEmpty():
+    if sized_by is None:
+        df = sized_by = materialize(df, "unordered")
+    sizes = sized_by.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    found = sizes.agg(F.max("n").alias("most"), F.sum("n").alias("all")).first()
+    if (found["most"] or 0) <= max_rows:
         return Ordered(df.repartition(*keys), tuple(keys), False)
-    width = (F.col("__hi") - F.col("__lo") + 1) / F.ceil(F.col("__n") / max_rows)
-    seg = F.when(F.col("__n").isNull(), F.lit(-1).cast("long")).otherwise(
-        F.floor((lead.cast("double") - F.col("__lo")) / width)
-    )
-    cut = df.join(F.broadcast(stats), keys, "left").withColumn("__seg", F.coalesce(seg, F.lit(-1).cast("long")))
-    cut = cut.drop("__n", "__lo", "__hi").repartition(*keys, "__seg")
-    return Ordered(materialize(cut, "ranges"), tuple(keys), True, stored=True)
+    # Half as many rows as allowed are aimed at, since sampled ranges are not exact.
+    parts = -(-2 * found["all"] // max_rows)
+    placed = {f"__by{i}": c for i, c in enumerate(order)}
+    cut = df.withColumns(placed).repartitionByRange(parts, *keys, *placed).withColumn("__seg", F.spark_partition_id().cast("long"))
+    return Ordered(materialize(cut.drop(*placed), "ranges"), tuple(keys), True, stored=True)
 
 
 def running_values(
@@ -151,8 +155,12 @@ def running_values(
 
     result = df.select("*", *local)
     if rows.split:
-        # Summary rows: rows / max_rows per split key at most, so the broadcast is bounded.
-        totals = df.where("__seg >= 0").groupBy(*part_by).agg(*summary).select(*part_by, *carry)
+        # Summary rows carry something only for keys that lie in several ranges; every range has one
+        # such key at each end at most, so two rows per range bound the broadcast.
+        totals = df.groupBy(*part_by).agg(*summary).select(
+            *part_by, *carry, F.count(F.lit(1)).over(Window.partitionBy(*keys)).alias("__ranges")
+        )
+        totals = totals.where(F.col("__ranges") > 1).drop("__ranges")
         result = result.join(F.broadcast(totals), part_by, "left")
     out = []
     for name, (kind, _) in values.items():
@@ -180,7 +188,7 @@ def running(
     sized_by: DataFrame | None = None,
 ) -> DataFrame:
     """One round of running values; see `ordered` and `running_values`."""
-    rows = running_values(ordered(df, keys, order[0], max_rows, sized_by), order, values)
+    rows = running_values(ordered(df, keys, order, max_rows, sized_by), order, values)
     return rows.df.drop("__seg")
 
 

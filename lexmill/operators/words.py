@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexmill.functions import scoring, text
-from lexmill.operators.skew import lookup_join, measured_bytes
+from lexmill.operators.skew import Lookup, lookup_join, stored_lookup
 
 
 def word_rows(texts: DataFrame, id_col: str, text_col: str = "text", variant: str = "extractor") -> DataFrame:
@@ -21,9 +21,14 @@ def dictionary_of(texts: DataFrame, text_col: str = "text", variant: str = "extr
     return texts.select(F.explode(text.tokens(F.col(text_col), variant)).alias("word")).distinct()
 
 
+def stored_dictionary(dictionary: DataFrame) -> Lookup:
+    """The words, computed once for every use; one job stores and measures them."""
+    return stored_lookup(dictionary.select("word", F.lit(True).alias("known")), "dictionary")
+
+
 def word_quality(
     texts: DataFrame,
-    dictionary: DataFrame,
+    dictionary: DataFrame | Lookup,
     id_col: str,
     carry: Sequence[str] = (),
     text_col: str = "text",
@@ -36,10 +41,11 @@ def word_quality(
     """
     keys = [id_col, *carry]
     words = texts.select(*keys, F.explode_outer(text.tokens(F.col(text_col), variant)).alias("word"))
-    if measured_bytes(dictionary) == 0:
+    known = dictionary if isinstance(dictionary, Lookup) else stored_dictionary(dictionary)
+    if known.size == 0:
         flagged = words.withColumn("known", F.lit(True))
     else:
-        flagged = lookup_join(words, dictionary.select("word", F.lit(True).alias("known")), ["word"], "left")
+        flagged = lookup_join(words, known, ["word"], "left")
     unknown = F.col("word").isNotNull() & F.col("known").isNull()
     out = flagged.groupBy(*keys).agg(
         F.count("word").alias("n_tokens"),
@@ -50,7 +56,7 @@ def word_quality(
     return out.withColumn("unknown_rate", rate)
 
 
-def unknown_words(texts: DataFrame, dictionary: DataFrame, id_col: str, variant: str = "extractor") -> DataFrame:
+def unknown_words(texts: DataFrame, dictionary: DataFrame | Lookup, id_col: str, variant: str = "extractor") -> DataFrame:
     """Distinct (id, word) pairs that are not in the dictionary."""
     words = texts.select(
         id_col, F.explode(F.array_distinct(text.tokens(F.col("text"), variant))).alias("word")
@@ -95,7 +101,7 @@ def document_top_words(texts: DataFrame, id_col: str, k: int = 10, variant: str
 
 def score_texts(
     texts: DataFrame,
-    dictionary: DataFrame,
+    dictionary: DataFrame | Lookup,
     id_col: str = "document_id",
     variant: str = "extractor",
     keep: Sequence[str] = (),

@@ -28,9 +28,12 @@ def with_ids(registry: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class FetchOptions:
+    """`max_number` is where a new cursor starts; `per_cursor` and `max_per_run` limit a run, None not at all."""
+
     mode: str = "previous"  # or "current"
     year: int = 2025
     max_number: int = 2000
+    per_cursor: int | None = None
     max_per_run: int | None = 8000
     min_year: int = 1960
     base_url: str = ""
@@ -50,9 +53,9 @@ def plan_fetch(cursors: DataFrame, not_found: DataFrame, options: FetchOptions)
     start = start.where(ids.type_filter(F.col("document_type"), options.type_))
     quota = None if current else options.max_per_run
     skip = not_found.limit(0) if current else not_found
-    chosen = materialize(cursors_.candidates(start, skip, options.max_number, quota), "candidates")
+    chosen = materialize(cursors_.candidates(start, skip, options.per_cursor, quota), "candidates")
     moved = cursors_.advance_cursors(
-        start, chosen, options.max_number, options.min_year, options.max_number, quota
+        start, chosen, options.max_number, options.min_year, options.per_cursor, quota
     ).select(F.lit(cursor_type).alias("cursor_type"), "document_type", "current_year", "current_number")
     key = (F.col("document_type"), F.col("year"), F.col("number"))
     candidates = chosen.select(
@@ -97,8 +100,12 @@ def run_fetch(
     as_of: str,
     options: FetchOptions = FetchOptions(),
 ) -> dict[str, DataFrame]:
-    """Enumerate, classify, upsert. A rate-limited id is neither final nor counted as missing."""
+    """Enumerate, classify, upsert. A rate-limited id is neither final nor counted as missing.
+
+    A candidate without a probe has no result; its cursor waits for it.
+    """
     candidates, moved = plan_fetch(cursors, not_found, options)
+    moved = cursors_.hold_at_unprobed(moved, candidates, probes)
     outcomes = materialize(probe_outcomes(candidates, probes), "outcomes")
     results = outcomes.select(
         "document_id",

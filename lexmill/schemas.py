@@ -67,6 +67,7 @@ TABLES = {
     "name string, mandate_start date, mandate_end date, document_type string, "
     "document_year int, consolidated_at timestamp_ntz",
     "unrecognized_words": "word string",
+    "daily_runs": "job string, day string",
     "fix_results": "document_id string, position int, issue_type string, severity string, "
     "fix_status string, status_before string, status_after string",
 }
@@ -85,6 +86,7 @@ KEYS = {
     "consolidated_articles": ["document_id", "article_index"],
     "consolidated_signatories": ["document_id", "signatory_order"],
     "unrecognized_words": ["word"],
+    "daily_runs": ["job", "day"],
 }
 
 # One extraction document. The reader accepts three dialects (see functions.jsondoc.normalize):

@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def build_session(app: str = "lexmill", master: str | None = None, **conf: str) -> SparkSession:
@@ -30,13 +31,16 @@ def build_session(app: str = "lexmill", master: str | None = None, **conf: str)
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by `spark.checkpoint.dir`.
 
-    Where the setting is absent (local tests) a temporary folder is made once per session and
-    remembered in the session configuration.
+    Where the setting is absent in local mode (tests) a temporary folder is made once per session.
+    On a cluster its absence is an error: executors would write to disks the others cannot see.
     """
     for key in ("spark.checkpoint.dir", "spark.lexmill.scratch.dir"):
         value = spark.conf.get(key, None)
         if value:
             return value.rstrip("/")
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise ValueError(f"set spark.checkpoint.dir to a folder that all executors share (master is {master})")
     value = tempfile.mkdtemp(prefix="spark-lexmill-")
     spark.conf.set("spark.lexmill.scratch.dir", value)
     return value
@@ -57,6 +61,16 @@ def materialize(df, label: str = "stage"):
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def materialize_measured(df, label: str = "stage"):
+    """`materialize` and the size of the rows in bytes, both from one job."""
+    size = F.lit(16)
+    for name in df.columns:
+        size = size + F.coalesce(F.octet_length(F.col(f"`{name}`").cast("string")), F.lit(0)) + F.lit(8)
+    seen = Observation()
+    stored = materialize(df.observe(seen, F.sum(size).alias("bytes")), label)
+    return stored, seen.get["bytes"] or 0
+
+
 def spread(df, key: str):
     """Give a scan at least one partition per core before row-local work on large texts.
 

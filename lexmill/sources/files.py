@@ -30,25 +30,23 @@ def read_texts(spark: SparkSession, root: str) -> DataFrame:
     return _located(raw, "path").select("document_id", "type", "text")
 
 
+def _json_files(spark: SparkSession, root: str) -> DataFrame:
+    """All JSON files with their parsed form and whether they can be used."""
+    files = spark.read.format("binaryFile").load(_glob(root, "json"))
+    raw = files.select(F.col("content").cast("string").alias("json"), "path")
+    docs = jsondoc.with_document(_located(raw, "path").select("document_id", "type", "json"))
+    usable = F.col("doc._metadata.confidence").isNotNull() | F.col("doc._metadata.source").isNotNull()
+    return docs.withColumn("__usable", F.coalesce(usable, F.lit(False)))
+
+
 def read_json(spark: SparkSession, root: str) -> DataFrame:
-    """(document_id, type, json, doc) of readable documents; see `unreadable_json` for the rest."""
-    raw = spark.read.text(_glob(root, "json"), wholetext=True).select(
-        F.col("value").alias("json"), F.col("_metadata.file_path").alias("path")
-    )
-    return jsondoc.with_document(_located(raw, "path").select("document_id", "type", "json")).where(
-        F.col("doc._metadata.confidence").isNotNull() | F.col("doc._metadata.source").isNotNull()
-    )
+    """(document_id, type, json, doc) of documents whose `_metadata` has a confidence or a source."""
+    return _json_files(spark, root).where("__usable").drop("__usable")
 
 
 def unreadable_json(spark: SparkSession, root: str) -> DataFrame:
-    """Quarantine: files that are not JSON objects or carry no `_metadata`."""
-    raw = spark.read.text(_glob(root, "json"), wholetext=True).select(
-        F.col("value").alias("json"), F.col("_metadata.file_path").alias("path")
-    )
-    rooted = jsondoc.with_root(_located(raw, "path"))
-    return rooted.where(
-        F.col("root").isNull() | ~F.coalesce(F.map_contains_key("root", "_metadata"), F.lit(False))
-    ).select("document_id", "type", "json")
+    """Quarantine: every file that `read_json` leaves out. (Spark's file sources do not list files of zero bytes.)"""
+    return _json_files(spark, root).where("not __usable").select("document_id", "type", "json")
 
 
 def read_inventory(spark: SparkSession, root: str) -> DataFrame:

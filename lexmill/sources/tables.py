@@ -2,52 +2,108 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from lexmill.schemas import TABLES
 
 
 class TableStore:
-    """Each table is a folder of numbered snapshots; the newest complete one is current.
+    """Tables as folders of data, and numbered commits that say which folder is current.
 
-    A snapshot counts only once Spark's `_SUCCESS` marker exists, so a failed write changes
-    nothing, and writing the same number again replaces it, which makes repeated micro-batches
-    harmless.
+    Data always goes to a folder of its own, so nothing that can be read is ever overwritten. A
+    commit lists the folder of every table and counts once Spark's `_SUCCESS` marker stands in it:
+    a failed write changes nothing, and steps that belong together become visible together.
     """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
 
-    def _path(self, name: str, version: int) -> str:
-        return f"{self.root}/{name}/snapshot-{version:012d}"
-
-    def current_version(self, name: str) -> int | None:
+    def _fs(self, path: str):
         jvm = self.spark.sparkContext._jvm
-        base = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
-        fs = base.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        return place.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), place, jvm
+
+    def versions(self) -> list[int]:
+        """Numbers of the complete commits, ascending."""
+        fs, base, jvm = self._fs(f"{self.root}/_commits")
         if not fs.exists(base):
-            return None
-        found = []
-        for status in fs.listStatus(base):
-            folder = status.getPath()
-            done = jvm.org.apache.hadoop.fs.Path(folder, "_SUCCESS")
-            if folder.getName().startswith("snapshot-") and fs.exists(done):
-                found.append(int(folder.getName().split("-")[1]))
-        return max(found, default=None)
+            return []
+        done = [s.getPath() for s in fs.listStatus(base) if fs.exists(jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS"))]
+        return sorted(int(p.getName()) for p in done)
+
+    def folders(self, below: int | None = None) -> dict[str, str]:
+        """The current folder of each table, as of the newest commit, or the newest before `below`."""
+        numbers = [v for v in self.versions() if below is None or v < below]
+        if not numbers:
+            return {}
+        # One short row per table.
+        rows = self.spark.read.schema("name string, folder string").json(f"{self.root}/_commits/{numbers[-1]:012d}").collect()
+        return {r["name"]: r["folder"] for r in rows}
 
     def read(self, name: str) -> DataFrame:
-        version = self.current_version(name)
-        if version is None:
+        return self._read(name, self.folders())
+
+    def _read(self, name: str, folders: dict[str, str]) -> DataFrame:
+        if name not in folders:
             return self.spark.createDataFrame([], TABLES[name])
-        return self.spark.read.parquet(self._path(name, version))
-
-    def write(self, name: str, df: DataFrame, version: int | None = None) -> DataFrame:
-        """Write the next snapshot (or the given one) and return it as read back."""
-        if version is None:
-            version = (self.current_version(name) or 0) + 1
-        path = self._path(name, version)
-        df.write.mode("overwrite").parquet(path)
-        return self.spark.read.parquet(path)
+        return self.spark.read.parquet(f"{self.root}/{folders[name]}")
+
+    def write(self, name: str, df: DataFrame) -> DataFrame:
+        """Write and commit one table; returns it as read back."""
+        run = self.begin()
+        out = run.write(name, df)
+        run.commit()
+        return out
+
+    def begin(self, version: int | None = None) -> Run:
+        """A run that becomes visible when it commits.
+
+        With the same `version` again, it starts from the commit before and replaces what the first
+        attempt committed, which makes repeated micro-batches harmless.
+        """
+        return Run(self, (self.versions() or [0])[-1] + 1 if version is None else version)
+
+    def vacuum(self, keep: int = 2) -> None:
+        """Delete all commits but the newest `keep`, and the data none of those lists.
+
+        Call it when no run is open and nobody reads an older state.
+        """
+        numbers = self.versions()
+        listed = set()
+        for v in numbers[-keep:]:
+            listed |= set(self.folders(below=v + 1).values())
+        for v in numbers[:-keep]:
+            fs, place, _ = self._fs(f"{self.root}/_commits/{v:012d}")
+            fs.delete(place, True)
+        fs, base, jvm = self._fs(self.root)
+        for table in fs.listStatus(base) if fs.exists(base) else []:
+            name = table.getPath().getName()
+            for data in fs.listStatus(table.getPath()) if name != "_commits" else []:
+                if f"{name}/{data.getPath().getName()}" not in listed:
+                    fs.delete(data.getPath(), True)
+
+
+class Run:
+    """Tables written together; later steps of the run read what earlier ones wrote."""
+
+    def __init__(self, store: TableStore, version: int):
+        self.store, self.version = store, version
+        self.folders = store.folders(below=version)
+
+    def read(self, name: str) -> DataFrame:
+        return self.store._read(name, self.folders)
+
+    def write(self, name: str, df: DataFrame) -> DataFrame:
+        folder = f"{name}/{self.version:012d}-{uuid.uuid4().hex}"
+        df.write.parquet(f"{self.store.root}/{folder}")
+        self.folders = self.folders | {name: folder}
+        return self.read(name)
+
+    def commit(self) -> None:
+        rows = self.store.spark.createDataFrame(sorted(self.folders.items()), "name string, folder string")
+        rows.coalesce(1).write.mode("overwrite").json(f"{self.store.root}/_commits/{self.version:012d}")
 
 
 def read_jdbc(spark: SparkSession, url: str, table: str, key: str, low: int, high: int, parts: int, **options) -> DataFrame:

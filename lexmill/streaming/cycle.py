@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.plans import jobs
-from lexmill.sources.tables import TableStore
+from lexmill.schemas import TABLES
+from lexmill.sources.tables import Run, TableStore
 from lexmill.streaming.logs import BatchLog
 
 EXTRACTION_SCHEMA = (
@@ -50,23 +51,35 @@ def due_today(state: DataFrame, job: str, today: str) -> bool:
     return state.where((F.col("job") == job) & (F.col("day") == today)).isEmpty()
 
 
-def run_cycle(
-    store: TableStore,
-    steps: list[tuple[str, Callable[[TableStore], dict[str, DataFrame]]]],
-    version: int | None = None,
-) -> dict[str, str]:
-    """Run the steps in order and store what they return; a failing step does not stop the rest.
+Step = tuple[str, Callable[[Run], dict[str, DataFrame]]]
 
-    Returns the outcome per step: "ok" or the error text.
+
+def run_cycle(store: TableStore, steps: list[Step], version: int | None = None, today: str | None = None) -> dict[str, str]:
+    """Run the steps in order and publish what they return; a failing step does not stop the rest.
+
+    A step reads what the steps before it wrote, others see the whole cycle at once when it ends.
+    Repeating a `version` starts from the state before it. Steps whose name begins with "daily-"
+    run once for each `today`. Returns the outcome per step: "ok", "not due" or the error text.
     """
     outcome: dict[str, str] = {}
+    run = store.begin(version)
     for name, step in steps:
+        daily = name.startswith("daily-") and today is not None
+        if daily and not due_today(run.read("daily_runs"), name, today):
+            outcome[name] = "not due"
+            continue
+        before = run.folders
         try:
-            for table, df in step(store).items():
-                store.write(table, df, version)
+            for table, df in step(run).items():
+                run.write(table, df)
+            if daily:
+                row = store.spark.createDataFrame([(name, today)], TABLES["daily_runs"])
+                run.write("daily_runs", run.read("daily_runs").unionByName(row))
             outcome[name] = "ok"
         except Exception as error:  # isolated like any other bad input; reported to the caller
+            run.folders = before  # a step counts as a whole
             outcome[name] = f"{type(error).__name__}: {error}"
+    run.commit()
     return outcome
 
 
@@ -76,8 +89,11 @@ def default_steps(
     fetch: jobs.FetchOptions = jobs.FetchOptions(),
     extract: jobs.ExtractOptions = jobs.ExtractOptions(),
     fetch_current: bool = True,
-) -> list[tuple[str, Callable[[TableStore], dict[str, DataFrame]]]]:
-    """The six jobs in order; `feeds` has probe_results, payloads, texts, inventory, dictionary."""
+) -> list[Step]:
+    """The six jobs in order; `feeds` has probe_results, payloads, texts, inventory, dictionary.
+
+    The current year is fetched once a day.
+    """
 
     def fetch_step(mode: str):
         options = jobs.FetchOptions(**{**fetch.__dict__, "mode": mode})
@@ -86,7 +102,7 @@ def default_steps(
             feeds["probe_results"], as_of, options,
         )
 
-    steps = [("fetch-current", fetch_step("current"))] if fetch_current else []
+    steps = [("daily-fetch-current", fetch_step("current"))] if fetch_current else []
     return steps + [
         ("fetch-previous", fetch_step("previous")),
         (

@@ -2,93 +2,64 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from lexmill.functions.scoring import DELAY_STEP_MS
-from lexmill.operators.skew import micros
-from lexmill.operators.throttle import throttle_windows
+from lexmill.operators.throttle import PACE, adaptive_delay, pace_state, throttle_windows
 from lexmill.streaming.logs import BatchLog
 
 WINDOW_SCHEMA = "window_start timestamp_ntz, n_requests long, n_throttled long, rate double"
 
 
-def windows(log: DataFrame, ts: str, throttled: Column, interval: str = "5 minutes", lateness: str = "10 minutes") -> DataFrame:
-    """Tumbling statistics; rows later than the watermark are dropped.
+def run_windows(
+    log: DataFrame, ts: str, throttled: Column, out: BatchLog, checkpoint: str, interval: str = "5 minutes"
+) -> DataFrame:
+    """Drain the available input and return the statistics of every tumbling interval.
 
-    Event time must be an instant, so the zone-less `ts` is read as UTC and the window start is
-    turned back, whatever the session zone is.
+    Each batch writes its own counts and they are added up when read, so a row may come as late as
+    it likes; no watermark drops it.
     """
-    timed = log.withColumn("__at", F.timestamp_micros(micros(F.col(ts)))).withWatermark("__at", lateness)
-    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    return throttle_windows(timed, "__at", throttled, interval).withColumn(
-        "window_start", F.timestamp_add("MICROSECOND", F.unix_micros("window_start"), epoch)
-    )
-
-
-def run_windows(stats: DataFrame, log: BatchLog, checkpoint: str) -> DataFrame:
-    """Drain the available input and return the current row of every window."""
     query = (
-        stats.writeStream.outputMode("update")
-        .foreachBatch(lambda batch, batch_id: log.write(batch, batch_id))
+        log.writeStream.foreachBatch(lambda batch, n: out.write(throttle_windows(batch, ts, throttled, interval), n))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
-    return log.best(["window_start"], [F.col("batch")])
-
-
-PACE_SCHEMA = "host string, ts timestamp, rate double, delay_ms int"
-
-
-class AdaptiveDelay(StatefulProcessor):
-    """Pause per host. State: start of the counting interval, requests, throttled replies, pause.
-
-    Replies are taken in order of arrival and read batch by batch, never gathered.
+    sums = out.read().groupBy("window_start").agg(F.sum("n_requests").alias("n_requests"), F.sum("n_throttled").alias("n_throttled"))
+    return sums.withColumn("rate", F.col("n_throttled") / F.col("n_requests"))
+
+
+def run_pacing(
+    log: DataFrame,
+    keys: Sequence[str],
+    ts: str,
+    order: Sequence[Column],
+    throttled: Column,
+    states: BatchLog,
+    out: BatchLog,
+    checkpoint: str,
+    interval_seconds: int = 300,
+) -> DataFrame:
+    """Drain the available input and return the pauses; the same rule as the batch form.
+
+    Between batches a key is one row of `states` (the keys and the columns of PACE). Rows are
+    ordered within a batch; where batches follow each other in time, the result is that of one run
+    over the whole log. A repeated batch starts from the state before it.
     """
-
-    def __init__(self, interval_seconds: int = 300):
-        self.interval = interval_seconds
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("pace", "start double, requests long, throttled long, delay int")
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timers) -> Iterator[pd.DataFrame]:
-        start, requests, throttled, delay = self.state.get() if self.state.exists() else (None, 0, 0, 0)
-        for frame in rows:
-            out = []
-            for ts, code in zip(frame["ts"], frame["code"]):
-                now = ts.timestamp()
-                if start is None or now - start > self.interval:
-                    start, requests, throttled = now, 0, 0
-                requests += 1
-                if code != 429:
-                    continue
-                throttled += 1
-                rate = throttled / requests
-                steps = [(0.5, 5000), (0.3, 2000)]
-                fixed = next((ms for bar, ms in steps if rate >= bar), 1000 if rate > 0.1 else None)
-                delay = fixed if fixed is not None else max(0, delay - DELAY_STEP_MS)
-                out.append((key[0], ts, rate, delay))
-            if out:
-                yield pd.DataFrame(out, columns=["host", "ts", "rate", "delay_ms"])
-        if start is not None:
-            self.state.update((start, requests, throttled, delay))
-
-    def close(self) -> None:
-        pass
-
-
-def adaptive_delay(log: DataFrame, interval_seconds: int = 300) -> DataFrame:
-    """`log` has host, ts, code. Needs the RocksDB state store."""
-    return log.groupBy("host").transformWithStateInPandas(
-        statefulProcessor=AdaptiveDelay(interval_seconds),
-        outputStructType=PACE_SCHEMA,
-        outputMode="Append",
-        timeMode="None",
-    )
+    keys = list(keys)
+
+    def step(batch: DataFrame, number: int) -> None:
+        rest = F.struct(*PACE)
+        before = states.before(number).groupBy(*keys).agg(F.max_by(rest, "batch").alias("s")).select(*keys, "s.*")
+        before = before.join(batch.select(*keys).distinct(), keys, "left_semi")
+        paced = adaptive_delay(batch, keys, ts, order, throttled, interval_seconds, state=before)
+        out.write(paced, number)
+        paced = out.read().where(F.col("batch") == number)
+        states.write(pace_state(batch, paced, keys, ts, order, throttled, interval_seconds, before), number)
+
+    query = log.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+    return out.read().drop("batch")

@@ -27,11 +27,13 @@ def test_files(spark, tmp_path):
     write(f"{root}/articles/loi/loi-2020-2.json", "{broken")
     write(f"{root}/articles/decret/decret-2020-3.json", '{"articles": []}')
     write(f"{root}/pdfs/loi/loi-2020-1.pdf", "%PDF-1.4")
+    for n, body in ((4, '{"_metadata": {}}'), (5, '{"_metadata": {"timestamp": "x"}}'), (6, "[1]"), (7, " ")):
+        write(f"{root}/articles/loi/loi-2020-{n}.json", body)
     assert [tuple(r) for r in files.read_texts(spark, root).collect()] == [("loi-2020-1", "loi", "ligne 1\nligne 2")]
     assert [r["document_id"] for r in files.read_json(spark, root).collect()] == ["loi-2020-1"]
-    assert {r["document_id"] for r in files.unreadable_json(spark, root).collect()} == {"loi-2020-2", "decret-2020-3"}
+    assert {r["document_id"] for r in files.unreadable_json(spark, root).collect()} == {"loi-2020-2", "decret-2020-3", "loi-2020-4", "loi-2020-5", "loi-2020-6", "loi-2020-7"}
     kinds = {(r["document_id"], r["kind"]) for r in files.read_inventory(spark, root).collect()}
-    assert ("loi-2020-1", "pdf") in kinds and len(kinds) == 5
+    assert ("loi-2020-1", "pdf") in kinds and len(kinds) == 9
     assert bytes(files.read_payloads(spark, root).first()["content"]) == b"%PDF-1.4"
 
 
@@ -64,9 +66,70 @@ def test_store(spark, tmp_path):
     assert store.read("unrecognized_words").count() == 0
     store.write("unrecognized_words", spark.createDataFrame([("a",)], "word string"))
     store.write("unrecognized_words", store.read("unrecognized_words").union(spark.createDataFrame([("b",)], "word string")))
-    assert store.current_version("unrecognized_words") == 2
-    os.remove(f"{tmp_path}/unrecognized_words/snapshot-{2:012d}/_SUCCESS")
+    assert store.versions() == [1, 2] and store.read("unrecognized_words").count() == 2
+    os.remove(f"{tmp_path}/_commits/{2:012d}/_SUCCESS")  # a commit that did not end
     assert {r["word"] for r in store.read("unrecognized_words").collect()} == {"a"}
+    store.write("unrecognized_words", spark.createDataFrame([("c",)], "word string"))
+    store.write("daily_runs", spark.createDataFrame([("j", "d")], TABLES["daily_runs"]))
+    store.vacuum(keep=1)
+    assert len(store.versions()) == 1 and {r["word"] for r in store.read("unrecognized_words").collect()} == {"c"}
+    assert store.read("daily_runs").count() == 1 and len(os.listdir(f"{tmp_path}/unrecognized_words")) == 1
+
+
+def test_steps_of_a_batch_share_a_table_and_a_repeat_loses_nothing(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path))
+
+    def add(word):
+        row = spark.createDataFrame([(word,)], "word string")
+        return lambda s: {"unrecognized_words": s.read("unrecognized_words").unionByName(row)}
+
+    def words():
+        return sorted(r["word"] for r in store.read("unrecognized_words").collect())
+
+    assert set(cycle.run_cycle(store, [("one", add("a")), ("two", add("b"))], version=5).values()) == {"ok"}
+    assert words() == ["a", "b"]
+    cycle.run_cycle(store, [("one", add("c")), ("two", add("d"))], version=6)
+    cycle.run_cycle(store, [("one", add("c")), ("two", add("d"))], version=6)
+    assert words() == ["a", "b", "c", "d"]
+
+
+def test_daily_steps_run_once_a_day(spark, tmp_path):
+    store, runs = TableStore(spark, str(tmp_path)), []
+    steps = [("daily-x", lambda s: runs.append(1) or {}), ("always", lambda s: {})]
+    for version, today in enumerate(["2025-01-01", "2025-01-01", "2025-01-02"]):
+        outcome = cycle.run_cycle(store, steps, version, today)
+    assert len(runs) == 2 and outcome == {"daily-x": "ok", "always": "ok"}
+
+
+def test_started_cycle_drives_the_steps(spark, tmp_path):
+    store = TableStore(spark, f"{tmp_path}/store")
+    spark.createDataFrame([("n1",), ("n2",)], "word string").coalesce(1).write.parquet(f"{tmp_path}/in")
+    arrivals = spark.readStream.schema("word string").parquet(f"{tmp_path}/in")
+
+    def on_batch(batch, n):
+        step = lambda s: {"unrecognized_words": s.read("unrecognized_words").unionByName(batch)}
+        assert cycle.run_cycle(store, [("words", step)], n + 1) == {"words": "ok"}
+
+    cycle.start_cycle(arrivals, on_batch, f"{tmp_path}/cp", availableNow=True).awaitTermination()
+    assert store.read("unrecognized_words").count() == 2
+
+
+def test_cursor_waits_for_ids_without_a_probe(spark):
+    fetch = jobs.FetchOptions(year=2025, max_number=3, base_url="http://x", max_per_run=None)
+    probes = spark.createDataFrame([("loi-2024-3", 1, 200, False), ("loi-2024-1", 1, 200, False)], "document_id string, attempt int, code int, padded boolean")
+    state = {t: empty(spark, t) for t in ("registry", "fetch_results", "cursors", "not_found")}
+    out = jobs.run_fetch(*state.values(), probes, AS_OF, fetch)
+    assert {r["document_id"] for r in out["fetch_results"].collect()} == {"loi-2024-3", "loi-2024-1"}
+    at = {r["document_type"]: (r["current_year"], r["current_number"]) for r in out["cursors"].collect()}
+    assert at == {"loi": (2024, 2), "decret": (2024, 3)}
+
+
+def test_cursor_above_a_million(spark):
+    cursors = spark.createDataFrame([("fetch-previous", "loi", 2024, 1_500_000, None)], TABLES["cursors"])
+    found, moved = jobs.plan_fetch(cursors, empty(spark, "not_found"), jobs.FetchOptions(year=2025, max_number=2, max_per_run=None))
+    top = found.where("type = 'loi'").agg(F.min("number"), F.max("number"), F.count("*")).first()
+    assert tuple(top) == (1, 1_500_000, 1_500_000)
+    assert {(r["document_type"], r["current_year"], r["current_number"]) for r in moved.collect()} == {("loi", 2023, 2), ("decret", 2023, 2)}
 
 
 def feeds(spark):

@@ -69,6 +69,12 @@ def test_start_cursors_reset_on_a_new_year(spark):
     assert back == {"loi": (2024, 2000), "decret": (1999, 7)}
 
 
+def test_window_chunks_of_empty_texts(spark):
+    df = spark.createDataFrame([(1, ""), (2, None), (3, "x" * 25)], "id int, text string")
+    rows = chunking.window_chunks(df, "id", 10, 2).orderBy("id", "chunk_index").collect()
+    assert [(r["id"], r["chunk_index"], r["chunk"]) for r in rows] == [(1, 1, ""), (2, 1, None), (3, 1, "x" * 10), (3, 2, "x" * 10), (3, 3, "x" * 9)]
+
+
 def test_paragraph_chunks(spark):
     def chunks(body, size, overlap):
         df = spark.createDataFrame([(1, body)], "id int, text string")

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lexmill.operators import ranges, sequence, throttle
-from lexmill.operators.skew import lookup_join, running
+from lexmill.operators.skew import lookup_join, ordered, running
 
 
 @pytest.fixture(scope="module")
@@ -46,11 +46,20 @@ def test_running_values(rows, max_rows):
     assert have == want
 
 
+@pytest.mark.parametrize("place", [lambda i: 10**9 if i == 7 else i, lambda i: i // 5000])
+def test_ranges_of_a_large_key_hold_equal_numbers(spark, place):
+    """One outlier, or thousands of equal leading values: the cut follows the number of rows."""
+    data = [("hot", place(i), i) for i in range(20_000)] + [("cold", i, i) for i in range(50)]
+    df = spark.createDataFrame(data, "k string, pos long, tie long").repartition(8)
+    cut = ordered(df, ["k"], [F.col("pos"), F.col("tie")], 1000)
+    assert cut.split and cut.df.groupBy("k", "__seg").count().agg(F.max("count")).first()[0] <= 2000
+
+
 @pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
 def test_salted_lookup_equals_broadcast(spark, rows, how):
     lookup = spark.createDataFrame([("hot", 1), ("k1", 2), ("k2", 3)], "k string, w int")
     small = lookup_join(rows, lookup, ["k"], how)
-    salted = lookup_join(rows, lookup, ["k"], how, max_bytes=1, salts=5)
+    salted = lookup_join(rows, lookup, ["k"], how, max_bytes=1, salts=5, hot_rows=30)
     assert sorted(map(repr, small.collect())) == sorted(map(repr, salted.collect()))
 
 
