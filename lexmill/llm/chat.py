@@ -45,7 +45,7 @@ def prefix_hashes(
 
     rows = materialize(rows, "turns").withColumn("row", F.monotonically_increasing_id())
     plain = [F.col(c) for c in ("turn",)] + [F.struct(F.col(c).isNull(), F.col(c)) for c in ("role", "text")] + [F.col("row")]
-    cut = ordered(rows, ["conv"], F.col("turn"), **limits)
+    cut = ordered(rows, ["conv"], plain, **limits)
     counted = running_values(cut, plain, {"position": ("sum", F.lit(1).cast("long"))})
     lanes = {f"lane{i}": ("sum", c) for i, c in enumerate(_lanes(F.col("position"), F.col("role"), F.col("text")))}
     hashed = running_values(counted, plain, lanes).df
