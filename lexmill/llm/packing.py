@@ -29,7 +29,7 @@ from lexmill.session import materialize
 CAPACITY = 2048
 TOKENIZER = "word_bpe_49k.json"
 # Words remembered by a task; it only saves encoding them again.
-CACHED_WORDS = 800_000
+CACHED_WORDS = 500_000
 SLICE_CHARS = 1 << 20
 DOCS_AT_ONCE = 1000
 
