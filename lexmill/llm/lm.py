@@ -35,7 +35,7 @@ VOCABULARY = "piece_bpe_32k.model"
 BLOCK_BYTES = 4 << 20
 BLOCK_DOCS = 20_000
 CELLS_AT_ONCE = 1 << 21
-SLOTS = 22
+SLOTS = 18
 BASE = np.uint64(0x100000001B3)
 TURN = np.uint64(0x9E3779B97F4A7C15)
 # Shares of the discounts' mass: for words as counted in any class, and for an end that no training text has.
@@ -71,23 +71,30 @@ def _hash(data: np.ndarray) -> np.ndarray:
 
 
 class PieceTable:
-    """Numbers of pieces by hash: two slots for each piece to be in, then a sorted rest."""
+    """Numbers of pieces by hash: as many slot tables as it takes for every piece to have a slot.
+
+    It travels to the tasks as its list of pieces and is built there.
+    """
 
     def __init__(self, pieces: list[bytes]):
         known = list(dict.fromkeys([*(bytes([b]) for b in range(256)), *pieces]))
         self.pieces, self.longest = known, max(map(len, known))
-        hashes = np.array([int(_hash(np.frombuffer(p, np.uint8)[None, :])[0, -1]) for p in known], np.uint64)
-        if len(np.unique(hashes)) != len(hashes):
+        self.hashes = np.zeros(len(known), np.uint64)
+        for rows, data in by_length(known):
+            self.hashes[rows] = _hash(data)[:, -1]
+        if len(np.unique(self.hashes)) != len(known):
             raise ValueError("two pieces share a hash")
         self.tables, left = [], np.arange(len(known))
         while len(left):
-            slot = (hashes[left] * (TURN + np.uint64(2 * len(self.tables)))) >> np.uint64(64 - SLOTS)
+            slot = (self.hashes[left] * (TURN + np.uint64(2 * len(self.tables)))) >> np.uint64(64 - SLOTS)
             _, at = np.unique(slot, return_index=True)
             table = np.full(1 << SLOTS, -1, np.int32)
             table[slot[at]] = left[at]
             self.tables.append(table)
             left = np.delete(left, at)
-        self.hashes = hashes
+
+    def __reduce__(self):
+        return PieceTable, (self.pieces[256:],)
 
     def find(self, hashes: np.ndarray) -> np.ndarray:
         """Number of the piece with each hash, or the number of pieces where there is none."""
