@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexmill.llm.texts import n_words, unit_hash
-from lexmill.operators.skew import lookup_join
+from lexmill.operators.skew import Lookup, lookup_join, stored_lookup
 from lexmill.session import materialize
 
 CELLS = 1024
@@ -95,19 +95,19 @@ def fixed_size_cut(ranked: DataFrame, quota: DataFrame, levels: int = 2) -> Data
             F.coalesce(F.min(F.when(over, F.col("upto") - F.col("size"))), F.max("upto")).alias("before"),
         )
         # A source that has no row left in its cell ends where that cell begins.
-        kept = state.select("__source", "rest", F.col("before").alias("b"), (F.col("cell") * CELLS).alias("c"))
+        kept = _df(state).select("__source", "rest", F.col("before").alias("b"), (F.col("cell") * CELLS).alias("c"))
         state = kept.join(found, "__source", "left").select(
             "__source", "rest", F.coalesce("before", "b").alias("before"), F.coalesce("cell", "c").alias("cell")
         )
-        state = materialize(state, "mix-cut")
-    last = lookup_join(ranked, state, ["__source"])
+        state = stored_lookup(state, "mix-cut")
+    last, state = lookup_join(ranked, state, ["__source"]), state.df
     place = F.struct(F.col("rank").alias("rank"), F.col("__id").alias("id"))
     in_cell = last.where(_cell(F.col("rank"), levels - 1) == F.col("cell"))
     order = Window.partitionBy("__source").orderBy("rank", "__id")
     upto = F.col("before") + F.sum("size").over(order)
     fits = in_cell.withColumn("upto", upto).where(F.col("upto") <= F.col("rest"))
     cut = fits.groupBy("__source").agg(F.max(place).alias("cut"), F.max("upto").alias("filled"))
-    state = materialize(
+    state = stored_lookup(
         state.join(cut, "__source", "left").withColumn("gap", F.col("rest") - F.coalesce("filled", "before")), "mix-cut"
     )
     behind = lookup_join(ranked, state, ["__source"]).where(~_below(levels))
@@ -117,7 +117,11 @@ def fixed_size_cut(ranked: DataFrame, quota: DataFrame, levels: int = 2) -> Data
         .groupBy("__source")
         .agg(F.min(F.struct(short.alias("short"), F.col("rank").alias("rank"), F.col("__id").alias("id"))).alias("filler"))
     )
-    return materialize(state.join(filler, "__source", "left").select("__source", "cell", "cut", "filler"), "mix-cut")
+    return materialize(state.df.join(filler, "__source", "left").select("__source", "cell", "cut", "filler"), "mix-cut")
+
+
+def _df(state: DataFrame | Lookup) -> DataFrame:
+    return state.df if isinstance(state, Lookup) else state
 
 
 def _below(levels: int = 2) -> Column:
@@ -133,7 +137,7 @@ def _id_key(id_col: Column) -> Column:
 class Mix:
     """A mix of sources, planned once from the sizes; see `plan`."""
 
-    def __init__(self, sizes: DataFrame, sources: DataFrame, seed: int):
+    def __init__(self, sizes: DataFrame, sources: Lookup, seed: int):
         self.sizes, self.sources, self.seed = sizes, sources, seed
 
     def copies(self, df: DataFrame, id_col: str = "doc_id", source_col: str = "source") -> DataFrame:
@@ -180,7 +184,7 @@ def plan(
         "__source", "__id", "size", pareto_rank(unit_hash(F.col("__id"), seed), F.col("fraction")).alias("rank")
     )
     cuts = fixed_size_cut(materialize(ranked, "mix-ranks"), targets.select("__source", "rest"))
-    sources = materialize(targets.join(cuts, "__source", "left"), "mix-sources")
+    sources = stored_lookup(targets.join(cuts, "__source", "left"), "mix-sources")
     return Mix(sizes, sources, seed)
 
 
