@@ -35,6 +35,7 @@ DOCS_AT_ONCE = 1000
 
 
 # Trailing ASCII marks other than the apostrophe, after a letter or digit: always a piece of their own.
+MARKS = frozenset(b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~")
 MARKS_BEHIND = re.compile(rb"([^<|]*[a-z0-9])([!-&(-/:-@\[-`{-~]+)")
 
 # How byte-level vocabularies write bytes: printable characters as they are, the rest from 256 on.
@@ -73,10 +74,13 @@ class WordEncoder(dict):
         if len(self) + len(new) > CACHED_WORDS:
             self.clear()
             new = words
-        marked = {w: m.groups() for w in new if (m := MARKS_BEHIND.fullmatch(w))}
+        marked = {w: m.groups() for w in new if w[-1] in MARKS and (m := MARKS_BEHIND.fullmatch(w))}
         plain = {p for pair in marked.values() for p in pair}.union(new.difference(marked)).difference(self)
         rest = []
         for p in plain:
+            if p.isalpha() and p.islower():  # bytes: a-z
+                self[p] = array("I", [t.id for t in self.merge(p.decode())]).tobytes()
+                continue
             text = p.decode("utf-8", "replace")
             if text.isalpha() and text == text.lower() and is_normalized("NFC", text):
                 tokens = self.merge(p.decode("latin-1").translate(BYTE_LETTERS))
