@@ -28,6 +28,7 @@ def load() -> None:
     from lexmill.catalog import (  # noqa: F401
         audit_queries,
         chunk_queries,
+        io_queries,
         job_queries,
         merge_queries,
         registry_queries,

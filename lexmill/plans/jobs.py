@@ -218,7 +218,8 @@ def extract_documents(texts: DataFrame, dictionary: DataFrame, as_of: str, optio
         scoring.unknown_penalty(F.col("unknown_rate"), F.size("unknown_words"), options.variant),
         text.legal_term_count(body, variant=options.variant),
     )
-    joined = once(docs.join(stats, "document_id"), confidence=score, signatories=signed)
+    # The narrow side becomes the hash table, so whole texts are never sorted.
+    joined = once(docs.join(stats.hint("shuffle_hash"), "document_id"), confidence=score, signatories=signed)
     return joined.select(
         "document_id",
         "type",
