@@ -16,7 +16,7 @@ from lexmill.catalog.views import (
 )
 from lexmill.functions import text
 from lexmill.plans import cascade, jobs
-from lexmill.schemas import empty
+from lexmill.schemas import TABLES, empty
 
 AS_OF = "2025-01-01 00:00:00"
 
@@ -230,3 +230,25 @@ def cascade_quality(spark, path):
     return best.select(
         "document_id", "source", F.round("confidence", 6).alias("confidence"), F.round("quality", 6).alias("quality"), "accepted"
     )
+
+
+@query(
+    "full_run",
+    ctes(LEGAL_TEXT, ARTICLES, json_parts_sql(), recursive=True)
+    + """SELECT t.document_id, CASE WHEN t.number % 4 = 0 THEN 'FAILED' WHEN t.number % 4 = 1 THEN 'RATE_LIMITED'
+  WHEN p.document_id IS NULL THEN 'FAILED' ELSE 'CONSOLIDATED' END AS status FROM legal_text t LEFT JOIN parts p USING (document_id)""",
+)
+def full_run(spark, path):
+    """Named documents through every job: some do not exist, some are turned away by the server."""
+    t = Tables(spark, path)
+    texts = t.legal_text
+    code = F.when(F.col("number") % 4 == 0, 404).when(F.col("number") % 4 == 1, 429).otherwise(200)
+    tables = {name: empty(spark, name) for name in TABLES} | {
+        "probe_results": texts.select("document_id", F.lit(1).alias("attempt"), code.alias("code"), F.lit(False).alias("padded")),
+        "payloads": texts.select("document_id", F.encode("text", "UTF-8").alias("content")),
+        "texts": texts.select("document_id", "type", "text"),
+        "dictionary": t.dictionary,
+    }
+    options = jobs.ExtractOptions(signatories=tuple(_patterns()))
+    out = jobs.run_full(tables, texts.select("document_id"), AS_OF, options)["registry"]
+    return jobs.with_ids(out).select("document_id", "status")
