@@ -10,14 +10,16 @@ are weighted by expected counts over all distinct training words.
 Scores are kept for each class of texts (the languages of the training texts). Which class a text
 belongs to is one more open choice: its probability is the sum over the classes, at their shares.
 
-Tokens meet corpus counts block by block: a block of documents asks once for each of its words, with
-a list of the documents and how often they use it, and only those lists cross the shuffles. A
-frequent word is one row per block.
+Tokens meet corpus counts block by block. A block of documents keeps who uses which word how often,
+and asks for each of its words once; words are dealt over parts by hash, and a block and a part share
+one packed row. A part adds up the counts of all blocks, scores each distinct word once, and answers
+every block in one row. A frequent word is one entry per block, so no task holds more than its share.
 """
 
 from __future__ import annotations
 
 import uuid
+import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -32,7 +34,7 @@ from pyspark.sql import functions as F
 from lexmill.session import materialize
 
 VOCABULARY = "piece_bpe_32k.model"
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 16 << 20
 BLOCK_DOCS = 20_000
 CELLS_AT_ONCE = 1 << 21
 SLOTS = 18
@@ -202,16 +204,30 @@ def by_length(words: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
                 yield rows, np.frombuffer(b"".join([words[i] for i in rows]), np.uint8).reshape(len(rows), size)
 
 
-def token_blocks(docs: DataFrame, id_col: str, text_col: str, held: Column, kind: Column, classes: int) -> DataFrame:
-    """Blocks of documents: a row per document (block, doc, id, held, n_tokens, kind) and a row per word of
-    a block (block, word, docs, uses, and its training count c0, c1, ... in each class); there `doc` is null."""
+def pack(array: np.ndarray | list[bytes], kind: str = "") -> bytes:
+    """Numbers, or words (which hold no space), as compressed bytes."""
+    return zlib.compress(b" ".join(array) if isinstance(array, list) else array.astype(kind).tobytes(), 1)
+
+
+def unpack_words(data: bytes) -> list[bytes]:
+    return zlib.decompress(data).split(b" ")
+
+
+def unpack(data: bytes, kind: str) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(data), kind)
+
+
+def token_blocks(
+    docs: DataFrame, id_col: str, text_col: str, held: Column, kind: Column, classes: int, parts: int
+) -> DataFrame:
+    """Blocks of documents: a row per document (block, doc, id, held, n_tokens), and a row per part of the
+    words (block, part, words, counts by class in training documents, postings); there `doc` is null."""
     id_type = docs.schema[id_col].dataType.simpleString()
-    fixed = {
-        "block": ("string", pa.string()), "word": ("binary", pa.binary()), "doc": ("int", pa.int32()), "id": (id_type, None),
-        "held": ("boolean", pa.bool_()), "n_tokens": ("long", pa.int64()), "kind": ("int", pa.int32()),
-        "docs": ("array<int>", pa.list_(pa.int32())), "uses": ("array<int>", pa.list_(pa.int32())),
+    columns = {
+        "block": ("long", pa.int64()), "doc": ("int", pa.int32()), "id": (id_type, None), "held": ("boolean", pa.bool_()),
+        "n_tokens": ("long", pa.int64()), "kind": ("int", pa.int32()), "part": ("int", pa.int32()),
+        "words": ("binary", pa.binary()), "counts": ("binary", pa.binary()), "postings": ("binary", pa.binary()),
     }
-    columns = fixed | {f"c{k}": ("long", pa.int64()) for k in range(classes)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -224,21 +240,38 @@ def token_blocks(docs: DataFrame, id_col: str, text_col: str, held: Column, kind
                     texts, at, size = [], i + 1, 0
 
     def block(batch, texts):
-        name, n = uuid.uuid4().hex, len(texts)
-        number = defaultdict(count().__next__)
-        sizes = np.fromiter(map(len, texts), np.int64, n)
-        words = np.fromiter((number[w] for words in texts for w in words), np.int64, int(sizes.sum()))
+        # Written once to a table, so a random name is as good as any.
+        name, n = uuid.uuid4().int >> 65, len(texts)
         held = batch.column(2).to_numpy(zero_copy_only=False).astype(bool)
         kind = batch.column(3).to_numpy()
+        sizes = np.fromiter(map(len, texts), np.int64, n)
         yield make(n, batch, block=[name] * n, doc=np.arange(n), id=batch.column(0), held=held, n_tokens=sizes + 1, kind=kind)
-        if len(number):
-            pairs, uses = np.unique(words * n + np.repeat(np.arange(n), sizes), return_counts=True)
-            word, doc = pairs // n, pairs % n
-            starts = pa.array(np.append(np.flatnonzero(np.diff(word, prepend=-1)), len(word)), pa.int32())
-            lists = [pa.ListArray.from_arrays(starts, pa.array(x, pa.int32())) for x in (doc, uses)]
-            trained = np.bincount(word * classes + kind[doc], uses * ~held[doc], len(number) * classes).reshape(-1, classes)
-            counts = {f"c{k}": trained[:, k].astype(np.int64) for k in range(classes)}
-            yield make(len(number), batch, block=[name] * len(number), word=list(number), docs=lists[0], uses=lists[1], **counts)
+        number = defaultdict(count().__next__)
+        words = np.fromiter((number[w] for words in texts for w in words), np.int64, int(sizes.sum()))
+        known = list(number)
+        if not known:
+            return
+        # Numbers in the order of (part, word): neighbours pack well, and a part is one slice.
+        part = np.fromiter((zlib.crc32(w) % parts for w in known), np.int64, len(known))
+        order = sorted(range(len(known)), key=lambda i: (part[i], known[i]))
+        place = np.empty(len(known), np.int64)
+        place[order] = np.arange(len(known))
+        pairs, uses = np.unique(place[words] * n + np.repeat(np.arange(n), sizes), return_counts=True)
+        word, doc = pairs // n, pairs % n
+        trained = np.bincount(word * classes + kind[doc], uses * ~held[doc], len(known) * classes).reshape(-1, classes)
+        first = np.append(np.flatnonzero(np.diff(word, prepend=-1)), len(word))
+        part = part[order]
+        cuts = np.append(np.flatnonzero(np.diff(part, prepend=-1)), len(part))
+        rows = {c: [] for c in ("block", "part", "words", "counts", "postings")}
+        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            x, y = first[a], first[b]
+            postings = [np.diff(first[a : b + 1]), doc[x:y], uses[x:y]]
+            rows["block"].append(name)
+            rows["part"].append(part[a])
+            rows["words"].append(pack([known[i] for i in order[a:b]]))
+            rows["counts"].append(pack(trained[a:b].ravel(), "<i4"))
+            rows["postings"].append(pack(np.concatenate(postings), "<i4"))
+        yield make(len(rows["part"]), batch, **rows)
 
     def make(n, batch, **given):
         kinds = {c: kind or batch.column(0).type for c, (_, kind) in columns.items()}
@@ -252,8 +285,35 @@ def token_blocks(docs: DataFrame, id_col: str, text_col: str, held: Column, kind
     return rows.mapInArrow(run, ", ".join(f"{c} {kind}" for c, (kind, _) in columns.items()))
 
 
+FACTS = ("tokens", "seen", "once", "twice")
+
+
+def word_counts(asked: DataFrame, classes: int) -> DataFrame:
+    """Words of each part with their training counts over all blocks: part, words, counts, n, and sums by class."""
+    schema = "part int, words binary, counts binary, n long, known long, " + ", ".join(f"{x} array<long>" for x in FACTS)
+
+    def add(table: pa.Table) -> pa.Table:
+        number = defaultdict(count().__next__)
+        sums = np.zeros((0, classes), np.int64)
+        for words, counts in zip(table["words"].to_pylist(), table["counts"].to_pylist(), strict=True):
+            rows = np.array([number[w] for w in unpack_words(words)])
+            if len(number) > len(sums):
+                sums = np.concatenate((sums, np.zeros((2 * len(number) - len(sums), classes), np.int64)))
+            sums[rows] += unpack(counts, "<i4").reshape(-1, classes)  # a block names a word once
+        sums = sums[: len(number)]
+        facts = [sums.sum(axis=0), (sums > 0).sum(axis=0), (sums == 1).sum(axis=0), (sums == 2).sum(axis=0)]
+        values = [table["part"][0].as_py(), pack(list(number)), pack(sums.ravel(), "<i8"), len(number), int((sums.sum(axis=1) > 0).sum())]
+        kinds = [pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.int64()] + [pa.list_(pa.int64())] * 4
+        return pa.table(
+            [pa.array([v], k) for v, k in zip([*values, *(f.tolist() for f in facts)], kinds, strict=True)],
+            names=["part", "words", "counts", "n", "known", *FACTS],
+        )
+
+    return asked.select("part", "words", "counts").groupBy("part").applyInArrow(add, schema)
+
+
 def fit_pieces(words: DataFrame, lattice: Lattice, rounds: int) -> Lattice:
-    """Weights from expected counts over all distinct words of each class (columns word, c0, ...), once per round."""
+    """Weights from expected counts over all distinct training words of each class, once per round."""
     classes = len(lattice.weights)
     n_first, n_inner = map(len, lattice.weights[0])
     for _ in range(rounds):
@@ -261,15 +321,16 @@ def fit_pieces(words: DataFrame, lattice: Lattice, rounds: int) -> Lattice:
         def run(batches: Iterator[pa.RecordBatch], lattice=lattice) -> Iterator[pa.RecordBatch]:
             sums = np.zeros((classes, n_first + n_inner))
             for batch in batches:
-                words = batch.column(0).to_pylist()
-                for k in range(classes):
-                    own = np.flatnonzero(batch.column(k + 1).to_numpy() > 0)
-                    for _, data in by_length([words[i] for i in own]):
-                        sums[k] += np.concatenate(lattice.expected(data, k))
+                for packed, counts in zip(batch.column(0), batch.column(1), strict=True):
+                    known = unpack_words(packed.as_py())
+                    c = unpack(counts.as_py(), "<i8").reshape(-1, classes)
+                    for k in range(classes):
+                        for _, data in by_length([known[i] for i in np.flatnonzero(c[:, k] > 0)]):
+                            sums[k] += np.concatenate(lattice.expected(data, k))
             used = np.flatnonzero(sums.ravel())
             yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(sums.ravel()[used])], ["piece", "n"])
 
-        sums = words.mapInArrow(run, "piece int, n double").groupBy("piece").agg(F.sum("n").alias("n"))
+        sums = words.select("words", "counts").mapInArrow(run, "piece int, n double").groupBy("piece").agg(F.sum("n").alias("n"))
         counts = np.zeros(classes * (n_first + n_inner))
         for r in sums.collect():  # at most a row for each piece of the vocabulary and class
             counts[r["piece"]] = r["n"]
@@ -327,75 +388,77 @@ def lattice_scores(
     vocabulary's order. An empty table gives no rows.
     """
     held = F.coalesce(held, F.lit(False))
-    names = []
-    if class_col:  # bounded: max_classes rows
-        common = docs.where(~held & F.col(class_col).isNotNull()).groupBy(F.col(class_col).cast("string").alias("k")).count()
-        names = [r["k"] for r in common.orderBy(F.col("count").desc(), "k").limit(max_classes).collect()]
-    classes = len(names) + 1
-    place = F.array_position(F.array(*[F.lit(n) for n in names]), F.col(class_col).cast("string")) if names else F.lit(0)
-    kind = F.coalesce(F.when(place > 0, place - 1), F.lit(len(names))).cast("int")
-    blocks = materialize(token_blocks(docs, id_col, text_col, held, kind, classes), "blocks")
-    each = [f"c{k}" for k in range(classes)]
-    asked = blocks.where("word is not null").select("block", "word", "docs", "uses", *each)
-    words = materialize(asked.groupBy("word").agg(*[F.sum(c).alias(c) for c in each]), "words")
-    c = sum((F.col(x) for x in each), F.lit(0).cast("long"))
-    known = [F.count_if(c > 0).alias("v")]
-    known += [f(F.col(x)).alias(f"{n}_{x}") for x in each for n, f in (
-        ("n", lambda x: F.coalesce(F.sum(x), F.lit(0))), ("v", lambda x: F.count_if(x > 0)),
-        ("one", lambda x: F.count_if(x == 1)), ("two", lambda x: F.count_if(x == 2)))]
-    facts = words.agg(*known).first()
+    names, label, others = [], F.lit(None).cast("string"), True
+    if class_col:  # bounded: max_classes rows and one
+        label = F.col(class_col).cast("string")
+        sizes = docs.where(~held).groupBy(label.alias("k")).count()
+        named = sizes.where("k is not null").orderBy(F.col("count").desc(), "k").limit(max_classes).collect()
+        names = [r["k"] for r in named]
+        others = not names or sizes.agg(F.sum("count")).first()[0] > sum(r["count"] for r in named)
+    classes = len(names) + bool(others)
+    place = F.array_position(F.array(*[F.lit(n) for n in names]), label) if names else F.lit(0)
+    kind = F.coalesce(F.when(place > 0, place - 1), F.lit(classes - 1)).cast("int")
+    spark = docs.sparkSession
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    blocks = materialize(token_blocks(docs, id_col, text_col, held, kind, classes, parts), "blocks")
+    asked = blocks.where("doc is null")
+    words = materialize(word_counts(asked, classes), "words")
+    sums = [F.coalesce(F.sum(F.get(x, F.lit(k))), F.lit(0)).alias(f"{x}{k}") for x in FACTS for k in range(classes)]
+    facts = words.agg(F.coalesce(F.sum("known"), F.lit(0)).alias("known"), *sums).first()
+    tokens, seen, once, twice = (np.array([facts[f"{x}{k}"] for k in range(classes)], float) for x in FACTS)
     ends = np.zeros(classes)
-    for r in blocks.where("word is null and not held").groupBy("kind").count().collect():  # a row per class
+    for r in blocks.where("doc is not null and not held").groupBy("kind").count().collect():  # a row per class
         ends[r["kind"]] = r["count"]
+    discount = np.where(once > 0, once / np.maximum(once + 2 * twice, 1), 0.5)
+    model = TokenModel(tokens + ends, seen + (ends > 0), discount, ends)
+    total, distinct = int(model.total.sum()), facts["known"] + int(ends.any())
+    lattice = fit_pieces(words, Lattice.of(*vocabulary(vocabulary_file), classes), rounds)
 
-    def fact(name):
-        return np.array([facts[f"{name}_{x}"] for x in each], float)
-
-    one, two = fact("one"), fact("two")
-    discount = np.where(one > 0, one / np.maximum(one + 2 * two, 1), 0.5)
-    model = TokenModel(fact("n") + ends, fact("v") + (ends > 0), discount, ends)
-    total, distinct = int(model.total.sum()), facts["v"] + int(ends.any())
-    lattice = fit_pieces(words.where(c > 0), Lattice.of(*vocabulary(vocabulary_file), classes), rounds)
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            counts = np.stack([batch.column(k + 1).to_numpy() for k in range(classes)], axis=1).astype(float)
-            pieces = np.empty(counts.shape)
-            for rows, data in by_length(batch.column(0).to_pylist()):
+    def answer(asks: pa.Table, own: pa.Table) -> pa.Table:
+        """Counts and values of the words of each block, in the block's order; single precision on the way."""
+        out = []
+        if own.num_rows:
+            known = unpack_words(own["words"][0].as_py())
+            c = unpack(own["counts"][0].as_py(), "<i8").reshape(-1, classes)
+            pieces = np.empty((len(known), classes))
+            for rows, data in by_length(known):
                 pieces[rows] = lattice.log_probability(data)
-            values = model.tokens(counts, pieces)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(counts.sum(axis=1).astype(np.int64)), *[pa.array(values[:, k]) for k in range(classes)]],
-                ["word", "c", *value_names],
-            )
-
-    value_names = [f"p{k}" for k in range(classes)]
-    value_types = ", ".join(f"{x} double" for x in value_names)
-    values = materialize(words.mapInArrow(score, f"word binary, c long, {value_types}"), "word-scores")
-    answered = asked.drop(*each).join(values, "word").drop("word")
-    heads = blocks.where("word is null").select("block", "doc", "id", "held", "n_tokens")
-    both = heads.unionByName(answered, allowMissingColumns=True)
+            values, number = model.tokens(c, pieces), {w: i for i, w in enumerate(known)}
+            c = c.sum(axis=1)
+            for block, part, asked_words in zip(asks["block"].to_pylist(), asks["part"].to_pylist(), asks["words"].to_pylist(), strict=True):
+                rows = np.array([number[w] for w in unpack_words(asked_words)])
+                out.append((block, part, pack(c[rows], "<i8"), pack(values[rows].ravel(), "<f4")))
+        columns = list(zip(*out, strict=True)) if out else [()] * 4
+        kinds = [pa.int64(), pa.int32(), pa.binary(), pa.binary()]
+        return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["block", "part", "found", "values"])
+
+    questions = asked.select("block", "part", "words").groupBy("part")
+    answers = questions.cogroup(words.select("part", "words", "counts").groupBy("part"))
+    answers = answers.applyInArrow(answer, "block long, part int, found binary, values binary")
+    heads = blocks.select("block", "doc", "id", "held", "n_tokens", "part", "postings")
+    both = heads.unionByName(answers, allowMissingColumns=True)
     end_base = np.log10((int(ends.sum()) + 1) / (total + distinct + 1))
 
     def fold(table: pa.Table) -> pa.Table:
         docs_part = table.filter(pa.compute.is_valid(table["doc"]))
-        word_part = table.filter(pa.compute.is_valid(table["docs"])).combine_chunks()
         n = docs_part.num_rows
-        base, found = np.full(n, end_base), np.full(n, int(ends.any()), np.int64)
+        base, known = np.full(n, end_base), np.full(n, int(ends.any()), np.int64)
         value = np.tile(model.end() + model.shares(), (n, 1))
-        if word_part.num_rows:
-            lists = [word_part[x].combine_chunks() for x in ("docs", "uses")]
-            lists = [x.chunk(0) if isinstance(x, pa.ChunkedArray) else x for x in lists]
-            doc, uses = (x.flatten().to_numpy() for x in lists)
-            sizes = np.diff(lists[0].offsets.to_numpy())
-            c = word_part["c"].to_numpy()
+        used = table.filter(pa.compute.is_valid(table["postings"]))
+        postings = dict(zip(used["part"].to_pylist(), used["postings"].to_pylist(), strict=True))
+        told = table.filter(pa.compute.is_valid(table["found"]))
+        for part, found, values in zip(told["part"].to_pylist(), told["found"].to_pylist(), told["values"].to_pylist(), strict=True):
+            c = unpack(found, "<i8")
+            v = unpack(values, "<f4").reshape(-1, classes).astype(float)
+            numbers = unpack(postings[part], "<i4")
+            sizes, (doc, uses) = numbers[: len(c)], np.split(numbers[len(c) :], 2)
             base += np.bincount(doc, uses * np.repeat(np.log10((c + 1) / (total + distinct + 1)), sizes), n)
-            found += np.bincount(doc, uses * np.repeat(c > 0, sizes), n).astype(np.int64)
-            for k, x in enumerate(value_names):
-                value[:, k] += np.bincount(doc, uses * np.repeat(word_part[x].to_numpy(), sizes), n)
+            known += np.bincount(doc, uses * np.repeat(c > 0, sizes), n).astype(np.int64)
+            for k in range(classes):
+                value[:, k] += np.bincount(doc, uses * np.repeat(v[:, k], sizes), n)
         at = docs_part["doc"].to_numpy()
         return pa.table(
-            [docs_part["id"], docs_part["held"], docs_part["n_tokens"], pa.array(found[at]), pa.array(np.full(n, total, np.int64)),
+            [docs_part["id"], docs_part["held"], docs_part["n_tokens"], pa.array(known[at]), pa.array(np.full(n, total, np.int64)),
              pa.array(base[at]), pa.array(np.logaddexp.reduce(value, axis=1)[at] / LN10)],
             names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
         )
