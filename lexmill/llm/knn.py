@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lexmill.llm.texts import bounded_sample
 from lexmill.session import materialize
 
 MAX_GROUPS = 1024
@@ -176,7 +177,8 @@ def top_k(
         return empty
     width, longest = max(facts["width"], 1), facts["longest"]
     exact = longest < 2**52  # inner products are below the largest squared length
-    sample = valid.select("v").distinct().orderBy(F.xxhash64("v"), "v").limit(pivots).collect()  # bounded
+    sample = bounded_sample(valid.select("v"), F.col("v"), pivots).collect()
+    sample = sample or valid.select("v").limit(1).collect()
     points = np.array([r["v"] + [0] * (width - len(r["v"])) for r in sample], np.float64).reshape(len(sample), width)
     cells = Cells(np.zeros((0, width + 1)), longest)
     cells = Cells(cells.lift(points, np.zeros(len(points), bool)), longest)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # White space and words as the result contracts define them (ASCII white space only).
@@ -29,3 +29,16 @@ def unit_hash(key: Column, seed: int) -> Column:
     digest = F.md5(F.concat_ws(":", F.coalesce(key.cast("string"), F.lit("null")), F.lit(str(seed))).cast("binary"))
     bits = F.conv(F.substring(digest, 1, 13), 16, 10).cast("long")
     return (bits.cast("double") + F.lit(0.5)) / F.lit(float(2**52))
+
+
+def bounded_sample(df: DataFrame, key: Column, size: int) -> DataFrame:
+    """About the `size` rows with the smallest hash of `key`, and never more.
+
+    Most rows are left out by their hash alone before any are ordered, so what the tasks hand on is
+    small however many tasks there are.
+    """
+    total = max(df.count(), 1)
+    h = F.xxhash64(key)
+    share = min(1.0, (2 * size + 64) / total)
+    near = F.pmod(h, F.lit(1 << 32)) < F.lit(int(share * (1 << 32)))
+    return df.withColumn("__h", h).where(near).orderBy("__h").limit(size).drop("__h")

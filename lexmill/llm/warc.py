@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lexmill.llm.texts import bounded_sample
 from lexmill.session import materialize, scratch_path
 
 # Frame magic numbers of the format and of dictionaries, little-endian.
@@ -173,8 +174,8 @@ def write_archives(
         F.col(id_col).cast("long").alias("id"), F.col(url_col).cast("string").alias("url"),
         F.coalesce(F.col(html_col).cast("binary"), F.lit(b"")).alias("payload"),
     )
-    head = F.substring("payload", 1, 4096)
-    few = rows.select(F.xxhash64("payload").alias("h"), head.alias("head")).orderBy("h", "head").limit(dictionary_pages).collect()
+    heads = rows.select("id", F.substring("payload", 1, 4096).alias("head"))
+    few = bounded_sample(heads, F.struct("id", "head"), dictionary_pages).collect()
     dictionary = train_dictionary([bytes(r["head"]) for r in few if r["head"]])
     fs, inner = filesystem(folder)
     fs.create_dir(inner, recursive=True)
