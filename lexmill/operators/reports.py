@@ -77,7 +77,3 @@ def report_totals(report: DataFrame) -> DataFrame:
         F.sum(F.size("issues")).alias("n_issues"),
         F.sum("n_articles").alias("n_articles"),
     )
-
-
-def array_totals(docs: DataFrame, articles: str = "articles", signatories: str = "signatories") -> DataFrame:
-    return docs.withColumns({"n_articles": F.size(articles), "n_signatories": F.size(signatories)})
