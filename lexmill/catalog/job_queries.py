@@ -11,7 +11,7 @@ from lexmill.catalog.merge_queries import consolidation
 from lexmill.catalog.registry_queries import _CURSORS, _missing
 from lexmill.catalog.text_queries import _confidence_sql
 from lexmill.catalog.views import (
-    ARTICLES, BASE_URL, DICTIONARY, INVENTORY, LEGAL_TEXT, PRESENCE, PROBES, RECORDED, REGISTRY, WORD_SEPARATOR,
+    ARTICLES, BASE_URL, INVENTORY, LEGAL_TEXT, PRESENCE, PROBES, RECORDED, REGISTRY, WORD_SEPARATOR,
     Tables, ctes,
 )
 from lexmill.functions import text
