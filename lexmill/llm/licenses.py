@@ -3,13 +3,15 @@
 The templates are a small, given set. Runs of `gram` words of each are hashed, and of every `window`
 neighbouring hashes the smallest is kept; the kept runs form an inverted index that travels with the
 task. All runs of a document are looked up, so any `gram + window - 1` consecutive words that a
-document shares with a template are found. Hits near one diagonal are one occurrence, and a local
-alignment in a band around it counts the template's words that are there and says where.
+document shares with a template are found. Hits near one diagonal, or near several that follow each
+other around inserted or missing passages, are one occurrence, and a local alignment in a band around
+them counts the template's words that are there and says where.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import defaultdict
 from collections.abc import Iterator, Mapping
 from dataclasses import dataclass, field
@@ -122,8 +124,8 @@ class TemplateIndex:
             kept.add(a + len(part) - 1 - int(part[::-1].argmin()))
         return sorted(kept)
 
-    def hits(self, words: np.ndarray) -> dict[int, list[int]]:
-        """Diagonals (document position - template position) of the runs found, by template."""
+    def hits(self, words: np.ndarray) -> dict[int, list[tuple[int, int]]]:
+        """Diagonals (document position - template position) and template positions of the runs found, by template."""
         at, packed = self.packed(words)
         if not len(at) or not len(self.runs):
             return {}
@@ -131,7 +133,7 @@ class TemplateIndex:
         out = defaultdict(list)
         for i in np.flatnonzero(self.runs[place] == packed).tolist():
             for t, p in self.places[place[i]]:
-                out[t].append(int(at[i]) - p)
+                out[t].append((int(at[i]) - p, p))
         return out
 
 
@@ -162,19 +164,34 @@ def align(doc: list[int], template: list[int], low: int, high: int) -> tuple[int
     return best if best[1] else None
 
 
+def chains(groups: list[list[int]], size: int) -> set[tuple[int, int]]:
+    """Bands (low, high) over a group of hits and all that can follow it in one occurrence.
+
+    A group follows if it goes on in the template and in the document. A passage of more than `size`
+    words between two parts costs an alignment more than the smaller part gives.
+    """
+    out = set()
+    for low, high, first, last in groups:
+        near = groups[bisect_left(groups, [high - size]) : bisect_left(groups, [low + size + 1])]
+        after = [g for g in near if g[2] > first and g[3] > last and g[1] + g[3] > high + last]
+        if after:
+            out.add((min(low, *[g[0] for g in after]), max(high, *[g[1] for g in after])))
+    return out
+
+
 def occurrences(index: TemplateIndex, words: np.ndarray, band: int, min_coverage: float) -> list[tuple[int, int, int, int]]:
     """(template, matched words, first word, end) of the occurrences that cover enough of a template."""
     out = []
-    for t, diagonals in sorted(index.hits(words).items()):
+    for t, hits in sorted(index.hits(words).items()):
         template = index.words[t]
-        groups: list[list[int]] = []
-        for d in sorted(set(diagonals)):
+        groups: list[list[int]] = []  # lowest and highest diagonal, first and last template position
+        for d, p in sorted(set(hits)):
             if groups and d - groups[-1][1] <= band and d - groups[-1][0] <= 4 * band:
-                groups[-1][1] = d
+                groups[-1] = [groups[-1][0], d, min(groups[-1][2], p), max(groups[-1][3], p)]
             else:
-                groups.append([d, d])
-        found = []
-        for low, high in groups:
+                groups.append([d, d, p, p])
+        found, bands = [], {(low, high) for low, high, _, _ in groups}
+        for low, high in sorted(bands) + sorted(chains(groups, len(template)) - bands):
             a = max(low - band, 0)
             part = words[a : max(high + band + len(template), 0)].tolist()
             got = align(part, template.tolist(), low - band - a, high + band - a)

@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 
 from lexmill.llm import licenses
@@ -89,3 +90,18 @@ def test_winnowing_keeps_a_run_in_every_window():
 def test_empty(spark):
     assert licenses.scan(spark.createDataFrame([], SCHEMA)).count() == 0
     assert licenses.scan(spark.createDataFrame([(1, MIT, "x", 1, "y")], SCHEMA), templates={}).count() == 0
+
+
+@pytest.mark.parametrize("size", [5, 7, 12, 20])
+def test_inserted_and_missing_passages(size):
+    index = licenses.TemplateIndex.of(licenses.TEMPLATES)
+    for name in ["MIT", "GPL-3.0-header", "Apache-2.0-header"]:
+        t, words = index.names.index(name), index.words[index.names.index(name)]
+        n, noise = len(words), np.full(size, -1)
+        for at in range(n // 4, n - n // 4 - size, 7):
+            longer = np.concatenate((noise, words[:at], noise, words[at:], noise))
+            got = [x for x in licenses.occurrences(index, longer, 4, 0.8) if x[0] == t]
+            assert got == [(t, n, size, 2 * size + n)]
+            shorter = np.concatenate((noise, words[:at], words[at + size :], noise, words))
+            got = [x[1] for x in licenses.occurrences(index, shorter, 4, 0.8) if x[0] == t]
+            assert got == ([n - size, n] if n - size >= 0.8 * n else [n])
