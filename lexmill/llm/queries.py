@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.llm import chat, content_sort, knn, langid, licenses, lm, mixing, packing, simhash, warc
+from lexmill.llm import chat, content_sort, credentials, divergence, knn, langid, lexical, licenses, lm, mixing, packing, simhash, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -162,3 +162,74 @@ def mix_sources(spark, path):
         F.col("id").alias("doc_id"), "source", "size", "source_size", "target", F.col("__copies").alias("copies"),
         (F.col("size") * F.col("__copies")).alias("taken"),
     )
+
+
+@query("op11_secret_scan")
+def secret_scan(spark, path):
+    return credentials.digest(credentials.scan(_table(spark, path, "documents")))
+
+
+@query(
+    "op12_lexical_search",
+    r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts
+  FROM documents WHERE text IS NOT NULL),
+e AS (SELECT r, doc_id, ts, CAST(len(ts) AS BIGINT) AS n FROM d WHERE len(ts) > 0),
+s AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS total FROM e),
+m AS (SELECT r, 100 - 90 + ((90 * n * docs) // total) AS m FROM e, s),
+c AS (SELECT r, doc_id, t, count(*) AS tf FROM (SELECT r, doc_id, unnest(ts) AS t FROM e) GROUP BY ALL),
+w AS (
+  SELECT t, CAST(floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE)) AS BIGINT) AS w
+  FROM (SELECT t, count(*) AS df FROM c GROUP BY t), s),
+q AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t
+  FROM benchmark),
+x AS (
+  SELECT item_id, r, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+  FROM q JOIN c USING (t) JOIN w USING (t) JOIN m USING (r) GROUP BY 1, 2, 3)
+SELECT item_id, CAST(row_number() OVER p AS INTEGER) AS rank, doc_id, score FROM x WHERE score > 0
+WINDOW p AS (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) QUALIFY row_number() OVER p <= 10""",
+)
+def lexical_search(spark, path):
+    return lexical.search(_table(spark, path, "documents"), _table(spark, path, "benchmark"))
+
+
+@query(
+    "op13_source_divergence",
+    r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS ts
+  FROM documents),
+w AS (SELECT r, lang, source, unnest(ts) AS t FROM d),
+k AS (SELECT lang, t FROM w GROUP BY 1, 2 HAVING count(DISTINCT r) >= 10),
+v AS (SELECT lang, count(*) AS v FROM k GROUP BY 1),
+c AS (SELECT lang, source, t, count(*) AS n FROM w JOIN k USING (lang, t) GROUP BY 1, 2, 3),
+g AS (
+  SELECT lang, source, coalesce(v, 0) AS v, coalesce(n, 0) + 2 * coalesce(v, 0) AS total
+  FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN v USING (lang)
+  LEFT JOIN (SELECT lang, source, sum(n) AS n FROM c GROUP BY 1, 2) USING (lang, source)),
+f AS (
+  SELECT lang, source, t, coalesce(n, 0) AS n, CAST(1 + (1000000000::HUGEINT * (coalesce(n, 0) + 2)) // total AS HUGEINT) AS p
+  FROM g JOIN k USING (lang) LEFT JOIN c USING (lang, source, t)),
+l AS (
+  SELECT lang, t, CAST(1 + (1000000000::HUGEINT * (n + 2)) // (sum(n) OVER (PARTITION BY lang) + 2 * v) AS HUGEINT) AS q
+  FROM (SELECT lang, t, CAST(sum(n) AS HUGEINT) AS n FROM c GROUP BY 1, 2) JOIN v USING (lang)),
+b AS (
+  SELECT x.lang, x.source, y.source AS item, sum(((x.p - y.p) * (x.p - y.p)) // (x.p + y.p)) AS value
+  FROM f x JOIN f y ON x.lang = y.lang AND x.t = y.t AND x.source <> y.source GROUP BY 1, 2, 3),
+a AS (
+  SELECT x.lang, x.source, 'pair' AS part, y.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value
+  FROM g x JOIN g y ON x.lang = y.lang AND x.source <> y.source
+  LEFT JOIN b ON b.lang = x.lang AND b.source = x.source AND b.item = y.source
+  UNION ALL
+  SELECT lang, source, 'term', t, CAST(((p - q) * (p - q)) // (p + q) AS BIGINT) FROM f JOIN l USING (lang, t) WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, value, CAST(row_number() OVER o AS INTEGER) AS rank FROM a
+WINDOW o AS (PARTITION BY lang, source, part ORDER BY value DESC, item)
+QUALIFY part = 'pair' OR row_number() OVER o <= 10""",
+)
+def source_divergence(spark, path):
+    return divergence.audit(_table(spark, path, "documents"))

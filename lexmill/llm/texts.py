@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,3 +44,22 @@ def bounded_sample(df: DataFrame, key: Column, size: int) -> DataFrame:
     share = min(1.0, (2 * size + 64) / total)
     near = F.pmod(h, F.lit(1 << 32)) < F.lit(int(share * (1 << 32)))
     return df.withColumn("__h", h).where(near).orderBy("__h").limit(size).drop("__h")
+
+
+def fold_table(extra: bytes = b"") -> bytes:
+    """A table for `bytes.translate` of UTF-8: A-Z become a-z, letters, everything beyond ASCII and `extra` stay, the rest is a space."""
+    return bytes(
+        c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c > 127 or c in extra else 32 for c in range(256)
+    )
+
+
+def parts_of(data: bytes, size: int = 1 << 22) -> Iterator[bytes]:
+    """`data` in parts of about `size` bytes, cut in front of a space; only a longer word makes one longer."""
+    at = 0
+    while len(data) - at > size:
+        end = data.find(b" ", at + size)
+        if end < 0:
+            break
+        yield data[at:end]
+        at = end
+    yield data[at:]
