@@ -49,6 +49,7 @@ class Options:
     with the smallest hash, and from none if fewer than `fewest` are there. Longer values are scored,
     not learned from. `alpha` is the risk of the Hoeffding test, `smooth` the count of an unseen
     outcome, and `min_score` the log likelihood ratio of a span: that of one in a million by default.
+    `rounds` limits how often the automaton of other tokens is cleaned of what looks like a credential.
     """
 
     sample: int = 1000
@@ -58,6 +59,7 @@ class Options:
     smooth: float = 0.1
     min_score: float = math.log(1e6)
     shortest: int = SHORTEST
+    rounds: int = 5
 
 
 class Inference:
@@ -228,14 +230,26 @@ def _span_type() -> pa.DataType:
 
 
 def learn(found: DataFrame, options: Options) -> dict[str, Automaton]:
-    """An automaton for each kind with enough distinct values, and for `other`."""
+    """An automaton for each kind with enough distinct values, and for `other`.
+
+    Some of the other tokens are credentials that no pattern names. Those that a kind explains better
+    than the automaton of `other` are left out of it, and it is inferred again.
+    """
     values = found.select(F.explode("spans").alias("s")).select("s.kind", "s.value")
     values = values.where(F.length("value") <= options.longest).distinct()
     models = {}
     for kind in (*KINDS, OTHER):
         sample = bounded_sample(values.where(F.col("kind") == kind).select("value"), F.col("value"), options.sample).collect()
-        if len(sample) >= (options.fewest if kind != OTHER else 1):
-            models[kind] = infer([r["value"] for r in sample], options.alpha, options.smooth)
+        own = [r["value"] for r in sample]
+        if len(own) >= (options.fewest if kind != OTHER else 1):
+            models[kind] = infer(own, options.alpha, options.smooth)
+    for _ in range(options.rounds if OTHER in models else 0):
+        kinds = [models[k] for k in KINDS if k in models]
+        clean = [v for v in own if all(m.log_likelihood(v) <= models[OTHER].log_likelihood(v) for m in kinds)]
+        if not clean or len(clean) == len(own):
+            break
+        own = clean
+        models[OTHER] = infer(own, options.alpha, options.smooth)
     return models
 
 
@@ -286,5 +300,9 @@ def written(spans: Column) -> Column:
 def digest(rows: DataFrame) -> DataFrame:
     """Numbers of base spans per kind, their digest, and all spans as text."""
     base = F.filter("spans", lambda s: s["base"])
-    counts = [F.size(F.filter(base, lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in KINDS]
+
+    def number(kind: str) -> Column:
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long")
+
+    counts = [number(k).alias(f"n_{k}") for k in KINDS]
     return rows.select("doc_id", *counts, F.sha2(written(base), 256).alias("base_sha256"), written(F.col("spans")).alias("spans"))

@@ -30,7 +30,7 @@ UNIT = 1_000_000_000
 SPILL_ENTRIES = 400_000  # (term, source) counts that a task holds
 SPILL_BYTES = 64 << 20  # of terms
 BLOCK = 512  # sources that one task compares with as many others
-ENTRIES_PER_TASK = 2_000_000
+ENTRIES_PER_TASK = 200_000
 CELLS = 1 << 20
 FOLD = fold_table()
 KEEPS_64_BITS = 9_000_000_000  # counts below it, times UNIT, fit into 64 bits

@@ -29,6 +29,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 TERM_BYTES = 2 << 20  # distinct terms of one automaton: some 50 bytes of memory each
 PAIRS = 4 << 20  # (item, term) pairs of one automaton
 WINDOW_BYTES = 1 << 20
+DEPTH = 1024  # bytes of a term in the automaton
 CELLS = 1 << 21  # scores or products that are held at once
 FOLD = fold_table(b"0123456789")
 
@@ -70,15 +71,47 @@ class Terms:
         self.start = np.searchsorted(t[order], np.arange(len(self.terms) + 1))
 
 
-def automaton_of(terms: list[str]):
-    """All terms between spaces, as the bytes of their UTF-8; outputs are their numbers."""
-    import ahocorasick
+class Matcher:
+    """All terms between spaces, as the bytes of their UTF-8; outputs are their numbers.
 
-    found = ahocorasick.Automaton()
-    for n, term in enumerate(terms):
-        found.add_word(f" {term.encode().decode('latin-1')} ", n)
-    found.make_automaton()
-    return found
+    Of a term longer than `DEPTH` bytes only the first ones are in the automaton, which is built
+    recursively; the rest is compared where they are found.
+    """
+
+    def __init__(self, terms: list[str]):
+        import ahocorasick
+
+        self.automaton = ahocorasick.Automaton()
+        self.long: dict[int, list[tuple[str, int]]] = {}
+        heads: dict[str, int] = {}
+        for n, term in enumerate(terms):
+            key = f" {term.encode().decode('latin-1')} "
+            if len(key) <= DEPTH:
+                self.automaton.add_word(key, n)
+            else:
+                head = heads.setdefault(key[:DEPTH], -1 - len(heads))
+                self.automaton.add_word(key[:DEPTH], head)
+                self.long.setdefault(head, []).append((key, n))
+        self.automaton.make_automaton()
+
+    def matches(self, text: str) -> Iterator[int]:
+        for end, n in self.automaton.iter(text):
+            if n >= 0:
+                yield n
+            else:
+                yield from (m for key, m in self.long[n] if text.startswith(key, end + 1 - DEPTH))
+
+    def count(self, text: bytes | None) -> tuple[int, Counter]:
+        """Terms of a text with repeats, and how often each term of the automaton occurs."""
+        data = b" " + (text or b"").translate(FOLD) + b" "
+        inside = np.frombuffer(data, np.uint8) != 32
+        n = int(np.count_nonzero(inside[1:] & ~inside[:-1]))
+        found: Counter = Counter()
+        if n:
+            for part in windows(data):
+                part = part.decode("latin-1")
+                found.update(self.matches(part) if self.long else (v for _, v in self.automaton.iter(part)))
+        return n, found
 
 
 def windows(data: bytes, size: int = WINDOW_BYTES) -> Iterator[bytes]:
@@ -94,29 +127,17 @@ def windows(data: bytes, size: int = WINDOW_BYTES) -> Iterator[bytes]:
     yield data[at:]
 
 
-def count_terms(automaton, text: bytes | None) -> tuple[int, Counter]:
-    """Terms of a text with repeats, and how often each term of the automaton occurs."""
-    data = b" " + (text or b"").translate(FOLD) + b" "
-    inside = np.frombuffer(data, np.uint8) != 32
-    n = int(np.count_nonzero(inside[1:] & ~inside[:-1]))
-    found: Counter = Counter()
-    if n:
-        for part in windows(data):
-            found.update(v for _, v in automaton.iter(part.decode("latin-1")))
-    return n, found
-
-
 def scanned(docs: DataFrame, id_col: str, text_col: str, terms: list[str]) -> DataFrame:
     """(doc_id, n, terms, tf) of each document that has a term of its own; `terms` and `tf` as arrays."""
     id_type = docs.schema[id_col].dataType.simpleString()
     shared = docs.sparkSession.sparkContext.broadcast(terms)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = automaton_of(shared.value)
+        matcher = Matcher(shared.value)
         for batch in batches:
             n, which, tf = [], [], []
             for text in batch.column(1):
-                count, found = count_terms(automaton, text.as_py())
+                count, found = matcher.count(text.as_py())
                 n.append(count)
                 which.append(np.fromiter(found.keys(), np.int32, len(found)))
                 tf.append(np.fromiter(found.values(), np.int64, len(found)))
