@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lexmill.llm.texts import by_bytes, tidy
+
 UNDETERMINED = "und"
 DIRECTIONS = 2
 
@@ -25,7 +27,7 @@ class Options:
     """Sizes of the network and of its training sample.
 
     The sample has `docs_per_language` documents of each language, those with the smallest hash of
-    their id, and `windows_per_doc` windows of each, spread over the whole text.
+    their text, and `windows_per_doc` windows of each, spread over the whole text.
     """
 
     hidden: int = 8
@@ -176,7 +178,7 @@ def pad(windows: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.ascontiguousarray(data.T), lengths
 
 
-def document_probabilities(p: dict, texts: list[bytes], window: int, at_once: int = 4096) -> np.ndarray:
+def document_probabilities(p: dict, texts: list[bytes], window: int, at_once: int = 2048) -> np.ndarray:
     """Mean probabilities over all bytes of each text, which must not be empty."""
     sums = np.zeros((len(texts), len(p["c"])))
     cuts = [(i, a) for i, t in enumerate(texts) for a in range(0, len(t), window)]
@@ -235,8 +237,7 @@ class LanguageModel:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for whole in batches:
-                for k in range(0, max(whole.num_rows, 1), 2000):
-                    batch = whole.slice(k, 2000)
+                for _, batch in by_bytes(whole, at):
                     texts = [t.as_py() for t in batch.column(at)]
                     named = [i for i, t in enumerate(texts) if t and any(map(str.isalpha, t))] if model.languages else []
                     pred, score = [UNDETERMINED] * len(texts), np.zeros(len(texts))
@@ -252,7 +253,7 @@ class LanguageModel:
                         [*names, f"{prefix}lang_pred", f"{prefix}score"],
                     )
 
-        return docs.mapInArrow(run, schema)
+        return docs.mapInArrow(tidy(run), schema)
 
 
 def held_out(id_col: Column, folds: int = 5) -> Column:

@@ -141,19 +141,22 @@ class Mix:
         self.sizes, self.sources, self.seed = sizes, sources, seed
 
     def copies(self, df: DataFrame, id_col: str = "doc_id", source_col: str = "source") -> DataFrame:
-        """`df` with `__source`, `source_size`, `target` and `__copies` added.
+        """`df` with `source_size`, `target` and `__copies` added; a column with such a name gives way.
 
         Whether a document is taken once more follows from its own id and its source's row.
         """
-        keyed = df.withColumn("__source", source_key(F.col(source_col)))
+        kept = {f"in{i}": c for i, c in enumerate(df.columns) if c not in ("source_size", "target", "__copies")}
+        keyed = df.select(
+            source_key(F.col(source_col)).alias("__source"), _id_key(F.col(id_col)).alias("__id"),
+            *[F.col(c).alias(a) for a, c in kept.items()],
+        )
         # The id joins `sources` as a plain column; rows of a hot source spread over salts there.
         rows = lookup_join(keyed, self.sources, ["__source"], "left")
-        rank = pareto_rank(unit_hash(_id_key(F.col(id_col)), self.seed), F.col("fraction"))
-        rows = rows.withColumn("rank", rank).withColumn("__id", _id_key(F.col(id_col)))
+        rows = rows.withColumn("rank", pareto_rank(unit_hash(F.col("__id"), self.seed), F.col("fraction")))
         is_filler = F.coalesce((F.col("__id") == F.col("filler.id")) & (F.col("fraction") > 0), F.lit(False))
         extra = (_below() & (F.col("fraction") > 0)) | is_filler
         rows = rows.withColumn("__copies", F.col("whole") + F.coalesce(extra, F.lit(False)).cast("long"))
-        return rows.drop("rank", "__id", "whole", "rest", "fraction", "cell", "cut", "filler")
+        return rows.select(*[F.col(a).alias(c) for a, c in kept.items()], "source_size", "target", "__copies")
 
 
 def plan(
@@ -179,11 +182,13 @@ def plan(
         "mix-sizes",
     )
     targets = materialize(source_targets(sizes, weights, max_copies), "mix-targets")
+    # A source that takes whole copies only has no sample, and its documents no order.
+    sampled = targets.where("fraction > 0")
     units = sizes.groupBy("__source", _id_key(F.col("id")).alias("__id")).agg(F.sum("size").alias("size"))
-    ranked = lookup_join(units, targets.select("__source", "fraction"), ["__source"]).select(
+    ranked = lookup_join(units, sampled.select("__source", "fraction"), ["__source"]).select(
         "__source", "__id", "size", pareto_rank(unit_hash(F.col("__id"), seed), F.col("fraction")).alias("rank")
     )
-    cuts = fixed_size_cut(materialize(ranked, "mix-ranks"), targets.select("__source", "rest"))
+    cuts = fixed_size_cut(materialize(ranked, "mix-ranks"), sampled.select("__source", "rest"))
     sources = stored_lookup(targets.join(cuts, "__source", "left"), "mix-sources")
     return Mix(sizes, sources, seed)
 

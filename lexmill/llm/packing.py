@@ -24,14 +24,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lexmill.llm.texts import by_bytes, tidy
 from lexmill.session import materialize
 
 CAPACITY = 2048
 TOKENIZER = "word_bpe_49k.json"
-# Words remembered by a task; it only saves encoding them again.
-CACHED_WORDS = 500_000
+# Memory for the words that a task remembers; it only saves encoding them again.
+CACHED_BYTES = 96 << 20
+ENTRY_BYTES = 200  # of a word and its ids, beside their contents
 SLICE_CHARS = 1 << 20
-DOCS_AT_ONCE = 1000
 
 
 # Trailing ASCII marks other than the apostrophe, after a letter or digit: always a piece of their own.
@@ -66,14 +67,14 @@ class WordEncoder(dict):
     """
 
     def __init__(self, tokenizer):
-        self.encode, self.merge = tokenizer.encode_batch_fast, tokenizer.model.tokenize
+        self.encode, self.merge, self.size = tokenizer.encode_batch_fast, tokenizer.model.tokenize, 0
 
     def add(self, words: set[bytes]) -> None:
         """Learn the words that are not known yet."""
         new = words.difference(self)
-        if len(self) + len(new) > CACHED_WORDS:
+        if self.size > CACHED_BYTES:
             self.clear()
-            new = words
+            self.size, new = 0, words
         marked = {w: m.groups() for w in new if w[-1] in MARKS and (m := MARKS_BEHIND.fullmatch(w))}
         plain = {p for pair in marked.values() for p in pair}.union(new.difference(marked)).difference(self)
         rest = []
@@ -93,6 +94,7 @@ class WordEncoder(dict):
                 self[p] = array("I", e.ids).tobytes()
         for w, (head, marks) in marked.items():
             self[w] = self[head] + self[marks]
+        self.size += sum(len(w) + len(self[w]) + ENTRY_BYTES for w in plain.union(marked))
 
     def ids(self, words: list[bytes]) -> bytes:
         return b"".join(map(self.__getitem__, words))
@@ -130,8 +132,8 @@ def token_pieces(docs: DataFrame, id_col: str, text_col: str, capacity: int, tok
                 if with_ids:
                     kept.append(data)
 
-            for first in range(0, batch.num_rows, DOCS_AT_ONCE):
-                texts = [t.as_py() or "" for t in batch.column(1).slice(first, DOCS_AT_ONCE)]
+            for first, some in by_bytes(batch, 1, SLICE_CHARS):
+                texts = [t.as_py() or "" for t in some.column(1)]
                 short = [words_of(t) if len(t) <= SLICE_CHARS else None for t in texts]
                 known.add(set().union(*filter(None, short)))
                 for i, (text, words) in enumerate(zip(texts, short, strict=True), first):
@@ -153,7 +155,7 @@ def token_pieces(docs: DataFrame, id_col: str, text_col: str, capacity: int, tok
                             x.clear()
             yield _piece_batch(ids, index, piece, start, length, crc, kept, with_ids)
 
-    return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(run, schema)
+    return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(tidy(run), schema)
 
 
 def _piece_batch(ids, index, piece, start, length, crc, kept, with_ids) -> pa.RecordBatch:

@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -63,3 +68,31 @@ def parts_of(data: bytes, size: int = 1 << 22) -> Iterator[bytes]:
         yield data[at:end]
         at = end
     yield data[at:]
+
+
+def by_bytes(batch: pa.RecordBatch, column: int, size: int = 1 << 20, rows: int = 2000) -> Iterator[tuple[int, pa.RecordBatch]]:
+    """Slices of at most `rows` rows and, but for a single longer one, `size` bytes of text; with their first row."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy().astype(np.int64))
+    at = 0
+    while at < len(ends):
+        before = int(ends[at - 1]) if at else 0
+        end = min(max(int(np.searchsorted(ends, before + size, side="right")), at + 1), at + rows)
+        yield at, batch.slice(at, end - at)
+        at = end
+
+
+def tidy(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:
+    """`work` for `mapInArrow`; memory that a task no longer needs goes back to the system.
+
+    Python workers outlive their tasks, and what they keep adds up with the tables of later tasks.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from work(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+        if trim:
+            trim(0)
+
+    return run

@@ -23,5 +23,5 @@ def test_query(spark, name):
 
 def test_sql_is_given_where_it_can_be():
     assert set(queries.QUERIES) - set(queries.ORACLES) == {
-        "op1_lattice_scores", "op3_language_id", "op5_pack_best_fit", "op6_license_scan", "op7_simhash_groups",
+        "op1_lattice_scores", "op3_language_id", "op5_pack_best_fit", "op6_license_scan", "op7_simhash_groups", "op11_secret_scan",
     }

@@ -100,3 +100,17 @@ def test_no_words_and_no_rows(spark):
 def test_native(spark):
     plan = mixing.mix(docs(spark, [(1, "a b", "x"), (2, "c", "y")]))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_clashing_names_and_a_source_of_whole_copies(spark):
+    rows = [(i, "a b c d", "small", i, "r") for i in range(5)] + [(100 + i, "w " * 50, "large", i, "r") for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, rank int, target string")
+    planned = mixing.plan(docs)
+    got = planned.copies(docs)
+    assert got.columns == ["doc_id", "text", "source", "rank", "source_size", "target", "__copies"]
+    small = got.where("source = 'small'").collect()
+    assert [r["__copies"] for r in small] == [3] * 5 or sum(r["__copies"] for r in small) * 4 <= 60
+    assert sorted(r["rank"] for r in small) == list(range(5))
+    again = mixing.mix(docs)
+    assert again.columns == docs.columns and again.where("target = 'r'").count() == again.count()
+    assert planned.sources.df.where("fraction = 0").count() == planned.sources.df.where("fraction = 0 AND cut IS NULL").count()
