@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 from lexmill.catalog import query
 from lexmill.catalog.views import Tables, ctes
 from lexmill.catalog.word_queries import _CHAT, _COUNTS, _WORDS
-from lexmill.operators import words
+from lexmill.operators import upsert, words
+from lexmill.plans import batches
 from lexmill.session import scratch_path
 from lexmill.sources import files, lookups
-from lexmill.sources.tables import TableStore
+from lexmill.sources.tables import StateTables
 
 _TYPE = "CASE WHEN doc_id % 2 = 0 THEN 'loi' ELSE 'decret' END"
 
@@ -76,16 +77,18 @@ def word_list_lookup(spark, path):
 
 @query(
     "stored_tables",
-    """SELECT doc_id, max(round) AS round FROM (
-  SELECT doc_id, 1 AS round FROM documents UNION ALL SELECT doc_id, 2 FROM documents WHERE doc_id % 5 = 0) GROUP BY 1""",
+    f"""SELECT {_TYPE} || '-' || (1990 + doc_id % 30) || '-' || doc_id AS document_id,
+  CAST(CASE WHEN doc_id % 30 = 5 THEN 0.9 ELSE 0.1 END AS DOUBLE) AS confidence FROM documents WHERE doc_id % 30 <> 7 OR doc_id % 2 = 0""",
 )
 def stored_tables(spark, path):
-    """A state table over two commits; the second reads the first and replaces some of its rows."""
-    store = TableStore(spark, scratch_path(spark, "store"))
-    docs = Tables(spark, path).documents.select("doc_id")
-    store.write("rounds", docs.withColumn("round", F.lit(1)))
-    run = store.begin()
-    newer = docs.where("doc_id % 5 = 0").withColumn("round", F.lit(2))
-    run.write("rounds", run.read("rounds").join(newer, "doc_id", "left_anti").unionByName(newer))
-    run.commit()
-    return store.read("rounds")
+    """A stored table after a batch that replaces some partitions and a deletion that empties one."""
+    store = StateTables(spark, scratch_path(spark, "store"))
+    named = F.concat_ws("-", F.expr(_TYPE), (F.lit(1990) + F.col("doc_id") % 30).cast("string"), F.col("doc_id").cast("string"))
+    docs = Tables(spark, path).documents.select(
+        "doc_id", named.alias("document_id"), F.lit("{}").alias("json"), F.lit(0.1).cast("double").alias("confidence"), F.lit("OCR").alias("source")
+    )
+    store.write("extractions", docs.drop("doc_id"))
+    better = docs.where("doc_id % 30 = 5").drop("doc_id").withColumn("confidence", F.lit(0.9).cast("double"))
+    store.apply({"extractions": batches.merge(store, "extractions", better, ["document_id"], upsert.better_by_confidence())})
+    store.apply(batches.delete(store, docs.where("doc_id % 30 = 7 AND doc_id % 2 = 1"), ("extractions",)))
+    return store.read("extractions").select("document_id", "confidence")

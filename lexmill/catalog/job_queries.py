@@ -7,16 +7,18 @@ from pyspark.sql import functions as F
 from lexmill.catalog import query
 from lexmill.catalog.audit_queries import _ALL, _BASE, _fold_sql, documents
 from lexmill.catalog.chunk_queries import _patterns, built_json, json_parts_sql
-from lexmill.catalog.merge_queries import consolidation
+from lexmill.catalog.merge_queries import _FETCH, _fetch_rows, consolidation
 from lexmill.catalog.registry_queries import _CURSORS, _missing
 from lexmill.catalog.text_queries import _confidence_sql
 from lexmill.catalog.views import (
     ARTICLES, BASE_URL, INVENTORY, LEGAL_TEXT, PRESENCE, PROBES, RECORDED, REGISTRY, WORD_SEPARATOR,
     Tables, ctes,
 )
-from lexmill.functions import text
-from lexmill.plans import cascade, jobs
+from lexmill.functions import ids, text
+from lexmill.plans import batches, cascade, jobs
 from lexmill.schemas import TABLES, empty
+from lexmill.session import scratch_path
+from lexmill.sources.tables import StateTables
 
 AS_OF = "2025-01-01 00:00:00"
 
@@ -167,6 +169,51 @@ def consolidate_run(spark, path):
     return jobs.with_ids(out["registry"]).select("document_id", "status")
 
 
+@query(
+    "consolidate_batch",
+    ctes(LEGAL_TEXT, ARTICLES, json_parts_sql(), recursive=True)
+    + """SELECT t.document_id, CASE WHEN t.year % 5 <> 0 THEN 'DOWNLOADED' WHEN p.document_id IS NULL THEN 'EXTRACTED' ELSE 'CONSOLIDATED' END AS status,
+  (SELECT count(*) FROM article_rows a WHERE a.document_id = t.document_id AND t.year % 5 = 0 AND p.document_id IS NOT NULL) AS n_articles
+FROM legal_text t LEFT JOIN parts p USING (document_id)""",
+)
+def consolidate_batch(spark, path):
+    """Stored tables, of which only the years with extracted documents are read and replaced; a repeat changes nothing."""
+    t = Tables(spark, path)
+    store = StateTables(spark, scratch_path(spark, "store"))
+    status = F.when(F.col("year") % 5 == 0, "EXTRACTED").otherwise("DOWNLOADED")
+    store.apply({"registry": _downloaded(t).withColumn("status", status), "extractions": built_json(t).select(
+        "document_id", "json", F.get_json_object("json", "$._metadata.confidence").cast("double").alias("confidence"), F.lit("OCR").alias("source"))})
+    for _ in range(2):
+        store.apply(batches.consolidate(store, AS_OF))
+    articles = store.read("consolidated_articles").groupBy("document_id").agg(F.count(F.lit(1)).alias("n"))
+    rows = jobs.with_ids(store.read("registry")).join(articles, "document_id", "left")
+    return rows.select("document_id", "status", F.coalesce("n", F.lit(0).cast("long")).alias("n_articles"))
+
+
+@query(
+    "fetch_upsert_batch",
+    ctes(REGISTRY, PROBES, _FETCH.format("s.status = 'RATE_LIMITED'").replace("ON l_orderkey = o_orderkey)", "ON l_orderkey = o_orderkey WHERE year % 3 = 0)"))
+    + "SELECT document_id, status, exists FROM merged",
+)
+def fetch_upsert_batch(spark, path):
+    """The fetch upsert into a stored table; the batch touches a third of the years."""
+    store = StateTables(spark, scratch_path(spark, "store"))
+
+    def whole(rows):
+        key = ids.parse_document_id(F.col("document_id"))
+        nothing = F.lit(None).cast("string")
+        return rows.select(
+            "document_id", key["type"].alias("document_type"), key["year"].alias("year"), key["number"].alias("number"),
+            nothing.alias("url"), "status", "exists", F.lit(AS_OF).cast("timestamp_ntz").alias("fetched_at"), nothing.alias("error_message"),
+        )
+
+    stored, incoming = map(whole, _fetch_rows(Tables(spark, path)))
+    store.write("fetch_results", stored)
+    rule = lambda o, n: o["status"] == "RATE_LIMITED"
+    store.apply({"fetch_results": batches.merge(store, "fetch_results", incoming.where("year % 3 = 0"), ["document_id"], rule)})
+    return store.read("fetch_results").select("document_id", "status", "exists")
+
+
 @query(
     "fix_run",
     ctes(*_BASE, _ALL, _fold_sql("DESC", "CAST(NULL AS VARCHAR)"), recursive=True)

@@ -68,6 +68,7 @@ TABLES = {
     "document_year int, consolidated_at timestamp_ntz",
     "unrecognized_words": "word string",
     "daily_runs": "job string, day string",
+    "cycle_steps": "version long, step string",
     "fix_results": "document_id string, position int, issue_type string, severity string, "
     "fix_status string, status_before string, status_after string",
 }
@@ -89,6 +90,19 @@ KEYS = {
     "daily_runs": ["job", "day"],
 }
 
+# How state tables are partitioned. Extractions and downloads have the two only in the id.
+PARTITIONS = {
+    "registry": ("type", "year"),
+    "fetch_results": ("document_type", "year"),
+    "not_found": ("document_type", "year"),
+    "not_found_ranges": ("document_type", "year"),
+    "download_results": ("type", "year"),
+    "extractions": ("type", "year"),
+    "consolidated_metadata": ("document_type", "document_year"),
+    "consolidated_articles": ("document_type", "document_year"),
+    "consolidated_signatories": ("document_type", "document_year"),
+}
+
 # One extraction document. The reader accepts three dialects (see functions.jsondoc.normalize):
 # programmatic keys, older samples, and French keys.
 DOCUMENT_JSON = (

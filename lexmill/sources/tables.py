@@ -1,109 +1,144 @@
-"""State tables as Parquet snapshots on a shared file system."""
+"""State tables as plain Parquet, partitioned by document type and year."""
 
 from __future__ import annotations
 
-import uuid
+from collections.abc import Iterable
+from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lexmill.schemas import TABLES
+from lexmill.functions.ids import parse_document_id
+from lexmill.schemas import PARTITIONS, TABLES
+from lexmill.session import materialize
 
+Parts = frozenset[tuple[str | None, int | None]]
+NULL_PART = "__HIVE_DEFAULT_PARTITION__"
 
-class TableStore:
-    """Tables as folders of data, and numbered commits that say which folder is current.
 
-    Data always goes to a folder of its own, so nothing that can be read is ever overwritten. A
-    commit lists the folder of every table and counts once Spark's `_SUCCESS` marker stands in it:
-    a failed write changes nothing, and steps that belong together become visible together.
+@dataclass(frozen=True)
+class Change:
+    """What a step does to a table.
+
+    `rows` are all rows of the partitions in `parts`, or of the whole table without `parts`; with
+    `append` they are added.
+    """
+
+    rows: DataFrame
+    parts: Parts | None = None
+    append: bool = False
+
+
+def parts_of(df: DataFrame, type_col: str = "type", year_col: str = "year") -> Parts:
+    """The (type, year) pairs of `df`: at most the number of types times that of years."""
+    return frozenset((r[0], r[1]) for r in df.select(type_col, year_col).distinct().collect())
+
+
+def parts_by_id(df: DataFrame, id_col: str = "document_id") -> Parts:
+    """The (type, year) pairs of the documents named in `df`."""
+    return parts_of(df.select(parse_document_id(F.col(id_col)).alias("k")).select("k.type", "k.year"))
+
+
+def in_parts(parts: Parts, type_col: str, year_col: str) -> Column:
+    """A condition on partition columns alone, so other partitions are not listed or read."""
+    years: dict[str | None, set] = {}
+    for kind, year in parts:
+        years.setdefault(kind, set()).add(year)
+    terms = []
+    for kind, some in sorted(years.items(), key=repr):
+        known = sorted(y for y in some if y is not None)
+        year = F.col(year_col).isin(known) if known else F.lit(False)
+        year = year | F.col(year_col).isNull() if None in some else year
+        terms.append((F.col(type_col).isNull() if kind is None else F.col(type_col) == kind) & year)
+    return reduce(lambda a, b: a | b, terms, F.lit(False))
+
+
+class StateTables:
+    """Tables below one folder, each with partitions by type and year where documents have them.
+
+    A merge reads and replaces only the partitions that its batch touches, so it costs what these
+    hold, not what the table holds. New rows are computed and stored aside before anything is
+    replaced: a failed computation changes nothing. Partitions are then replaced one by one; after a
+    crash in that phase some are new and some old, each of them whole, and the same batch again
+    brings them all up to date, since merging is idempotent. One writer at a time.
     """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
 
-    def _fs(self, path: str):
-        jvm = self.spark.sparkContext._jvm
-        place = jvm.org.apache.hadoop.fs.Path(path)
-        return place.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), place, jvm
-
-    def versions(self) -> list[int]:
-        """Numbers of the complete commits, ascending."""
-        fs, base, jvm = self._fs(f"{self.root}/_commits")
-        if not fs.exists(base):
-            return []
-        done = [s.getPath() for s in fs.listStatus(base) if fs.exists(jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS"))]
-        return sorted(int(p.getName()) for p in done)
-
-    def folders(self, below: int | None = None) -> dict[str, str]:
-        """The current folder of each table, as of the newest commit, or the newest before `below`."""
-        numbers = [v for v in self.versions() if below is None or v < below]
-        if not numbers:
-            return {}
-        # One short row per table.
-        rows = self.spark.read.schema("name string, folder string").json(f"{self.root}/_commits/{numbers[-1]:012d}").collect()
-        return {r["name"]: r["folder"] for r in rows}
-
-    def read(self, name: str) -> DataFrame:
-        return self._read(name, self.folders())
-
-    def _read(self, name: str, folders: dict[str, str]) -> DataFrame:
-        if name not in folders:
+    def partitions(self, name: str) -> tuple[str, ...]:
+        """The type and year columns that cut the table, if any."""
+        return PARTITIONS.get(name, ())
+
+    def read(self, name: str, parts: Parts | None = None) -> DataFrame:
+        """The table, or its rows in `parts` only."""
+        columns = self.partitions(name)
+        names = [f.name for f in self.spark.createDataFrame([], TABLES[name]).schema]
+        extra = [f"{c} {kind}" for c, kind in zip(columns, ("string", "int"), strict=False) if c not in names]
+        try:
+            df = self.spark.read.schema(", ".join([TABLES[name], *extra])).parquet(f"{self.root}/{name}")
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
             return self.spark.createDataFrame([], TABLES[name])
-        return self.spark.read.parquet(f"{self.root}/{folders[name]}")
-
-    def write(self, name: str, df: DataFrame) -> DataFrame:
-        """Write and commit one table; returns it as read back."""
-        run = self.begin()
-        out = run.write(name, df)
-        run.commit()
-        return out
-
-    def begin(self, version: int | None = None) -> Run:
-        """A run that becomes visible when it commits.
-
-        With the same `version` again, it starts from the commit before and replaces what the first
-        attempt committed, which makes repeated micro-batches harmless.
-        """
-        return Run(self, (self.versions() or [0])[-1] + 1 if version is None else version)
-
-    def vacuum(self, keep: int = 2) -> None:
-        """Delete all commits but the newest `keep`, and the data none of those lists.
-
-        Call it when no run is open and nobody reads an older state.
-        """
-        numbers = self.versions()
-        listed = set()
-        for v in numbers[-keep:]:
-            listed |= set(self.folders(below=v + 1).values())
-        for v in numbers[:-keep]:
-            fs, place, _ = self._fs(f"{self.root}/_commits/{v:012d}")
-            fs.delete(place, True)
-        fs, base, jvm = self._fs(self.root)
-        for table in fs.listStatus(base) if fs.exists(base) else []:
-            name = table.getPath().getName()
-            for data in fs.listStatus(table.getPath()) if name != "_commits" else []:
-                if f"{name}/{data.getPath().getName()}" not in listed:
-                    fs.delete(data.getPath(), True)
-
-
-class Run:
-    """Tables written together; later steps of the run read what earlier ones wrote."""
-
-    def __init__(self, store: TableStore, version: int):
-        self.store, self.version = store, version
-        self.folders = store.folders(below=version)
-
-    def read(self, name: str) -> DataFrame:
-        return self.store._read(name, self.folders)
-
-    def write(self, name: str, df: DataFrame) -> DataFrame:
-        folder = f"{name}/{self.version:012d}-{uuid.uuid4().hex}"
-        df.write.parquet(f"{self.store.root}/{folder}")
-        self.folders = self.folders | {name: folder}
-        return self.read(name)
-
-    def commit(self) -> None:
-        rows = self.store.spark.createDataFrame(sorted(self.folders.items()), "name string, folder string")
-        rows.coalesce(1).write.mode("overwrite").json(f"{self.store.root}/_commits/{self.version:012d}")
+        if parts is not None and columns:
+            df = df.where(in_parts(parts, *columns))
+        return df.select(*names)
+
+    def parts(self, name: str, where: Column | str = "true") -> Parts:
+        """Partitions with rows for which `where` holds; only the columns it names are read."""
+        return parts_of(self.placed(name, self.read(name).where(where)), *self.partitions(name))
+
+    def placed(self, name: str, rows: DataFrame) -> DataFrame:
+        """`rows` with the partition columns, which some tables only have in the document's id."""
+        missing = [c for c in self.partitions(name) if c not in rows.columns]
+        key = parse_document_id(F.col("document_id"))
+        return rows.withColumns({c: key[c] for c in missing}) if missing else rows
+
+    def write(self, name: str, rows: DataFrame, parts: Parts | None = None) -> None:
+        self.apply({name: Change(rows, parts)})
+
+    def append(self, name: str, rows: DataFrame) -> None:
+        self.apply({name: Change(rows, append=True)})
+
+    def apply(self, changes: dict[str, Change | DataFrame]) -> None:
+        """Carry out the changes of one step; the registry, which says what is done, comes last."""
+        staged = {}
+        for name, change in changes.items():
+            change = change if isinstance(change, Change) else Change(change)
+            names = [f.name for f in self.spark.createDataFrame([], TABLES[name]).schema]
+            staged[name] = change, materialize(self.placed(name, change.rows.select(*names)), f"new-{name}")
+        for name in sorted(staged, key=lambda n: n == "registry"):
+            change, rows = staged[name]
+            self._replace(name, rows, change)
+
+    def _replace(self, name: str, rows: DataFrame, change: Change) -> None:
+        columns, path = self.partitions(name), f"{self.root}/{name}"
+        if columns:
+            # Rows of a partition come together, so that it is a few files and not one per task.
+            rows = rows.repartition(*columns)
+        writer = rows.write.partitionBy(*columns) if columns else rows.write
+        if change.append:
+            writer.mode("append").parquet(path)
+        elif change.parts is None or not columns:
+            writer.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+        else:
+            new = parts_of(rows, *columns)
+            if not new <= change.parts:
+                raise ValueError(f"{name}: rows outside the partitions to be replaced: {sorted(new - change.parts, key=repr)}")
+            if new:
+                writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+            self._clear(name, rows, change.parts - new)
+
+    def _clear(self, name: str, rows: DataFrame, gone: Iterable[tuple]) -> None:
+        """Partitions that lost all their rows; an empty file takes the place of theirs."""
+        columns = self.partitions(name)
+        nothing = rows.drop(*columns).limit(0)
+        for part in self.parts(name) & frozenset(gone):
+            folder = "/".join(f"{c}={NULL_PART if v is None else v}" for c, v in zip(columns, part, strict=True))
+            nothing.write.mode("overwrite").parquet(f"{self.root}/{name}/{folder}")
 
 
 def read_jdbc(spark: SparkSession, url: str, table: str, key: str, low: int, high: int, parts: int, **options) -> DataFrame:

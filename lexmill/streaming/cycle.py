@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.plans import jobs
+from lexmill.plans import batches, jobs
 from lexmill.schemas import TABLES
-from lexmill.sources.tables import Run, TableStore
+from lexmill.sources.tables import Change, StateTables
 from lexmill.streaming.logs import BatchLog
 
 EXTRACTION_SCHEMA = (
@@ -51,35 +51,40 @@ def due_today(state: DataFrame, job: str, today: str) -> bool:
     return state.where((F.col("job") == job) & (F.col("day") == today)).isEmpty()
 
 
-Step = tuple[str, Callable[[Run], dict[str, DataFrame]]]
+Step = tuple[str, Callable[[StateTables], dict[str, Change | DataFrame]]]
 
 
-def run_cycle(store: TableStore, steps: list[Step], version: int | None = None, today: str | None = None) -> dict[str, str]:
-    """Run the steps in order and publish what they return; a failing step does not stop the rest.
+def run_cycle(store: StateTables, steps: list[Step], version: int | None = None, today: str | None = None) -> dict[str, str]:
+    """Run the steps in order and carry out what they return; a failing step does not stop the rest.
 
-    A step reads what the steps before it wrote, others see the whole cycle at once when it ends.
-    Repeating a `version` starts from the state before it. Steps whose name begins with "daily-"
-    run once for each `today`. Returns the outcome per step: "ok", "not due" or the error text.
+    A step reads what the steps before it wrote. With a `version`, such as the number of a
+    micro-batch, a step that has ended for it is not run again. Steps whose name begins with "daily-"
+    run once for each `today`. Returns the outcome per step: "ok", "not due", "done before" or the
+    error text.
     """
     outcome: dict[str, str] = {}
-    run = store.begin(version)
+    done = set()
+    if version is not None:
+        done = {r["step"] for r in store.read("cycle_steps").where(F.col("version") == version).collect()}
     for name, step in steps:
         daily = name.startswith("daily-") and today is not None
-        if daily and not due_today(run.read("daily_runs"), name, today):
+        if name in done:
+            outcome[name] = "done before"
+            continue
+        if daily and not due_today(store.read("daily_runs"), name, today):
             outcome[name] = "not due"
             continue
-        before = run.folders
         try:
-            for table, df in step(run).items():
-                run.write(table, df)
+            store.apply(step(store))
             if daily:
-                row = store.spark.createDataFrame([(name, today)], TABLES["daily_runs"])
-                run.write("daily_runs", run.read("daily_runs").unionByName(row))
+                others = store.read("daily_runs").where(F.col("job") != name)
+                store.write("daily_runs", others.unionByName(store.spark.createDataFrame([(name, today)], TABLES["daily_runs"])))
+            if version is not None:  # of the version under way only, so the table stays small
+                done.add(name)
+                store.write("cycle_steps", store.spark.createDataFrame([(version, n) for n in sorted(done)], TABLES["cycle_steps"]))
             outcome[name] = "ok"
         except Exception as error:  # isolated like any other bad input; reported to the caller
-            run.folders = before  # a step counts as a whole
             outcome[name] = f"{type(error).__name__}: {error}"
-    run.commit()
     return outcome
 
 
@@ -97,41 +102,15 @@ def default_steps(
 
     def fetch_step(mode: str):
         options = jobs.FetchOptions(**{**fetch.__dict__, "mode": mode})
-        return lambda s: jobs.run_fetch(
-            s.read("registry"), s.read("fetch_results"), s.read("cursors"), s.read("not_found"),
-            feeds["probe_results"], as_of, options,
-        )
+        return lambda s: batches.fetch(s, feeds["probe_results"], as_of, options)
 
     steps = [("daily-fetch-current", fetch_step("current"))] if fetch_current else []
     return steps + [
         ("fetch-previous", fetch_step("previous")),
-        (
-            "download",
-            lambda s: jobs.run_download(
-                s.read("registry"), feeds["inventory"], s.read("download_results"), feeds["payloads"], as_of
-            ),
-        ),
-        (
-            "extract",
-            lambda s: jobs.run_extract(
-                s.read("registry"), feeds["texts"], s.read("extractions"), feeds["dictionary"],
-                s.read("unrecognized_words"), as_of, extract,
-            ),
-        ),
-        (
-            "consolidate",
-            lambda s: jobs.run_consolidate(
-                s.read("registry"), s.read("extractions"), s.read("consolidated_metadata"),
-                s.read("consolidated_articles"), s.read("consolidated_signatories"), as_of,
-            ),
-        ),
-        (
-            "fix",
-            lambda s: jobs.run_fix(
-                s.read("registry"), feeds["inventory"], s.read("download_results"), s.read("extractions"),
-                route_inconsistent=True,
-            ),
-        ),
+        ("download", lambda s: batches.download(s, feeds["inventory"], feeds["payloads"], as_of)),
+        ("extract", lambda s: batches.extract(s, feeds["texts"], feeds["dictionary"], as_of, extract)),
+        ("consolidate", lambda s: batches.consolidate(s, as_of)),
+        ("fix", lambda s: batches.fix(s, feeds["inventory"], route_inconsistent=True)),
     ]
 
 

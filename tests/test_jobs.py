@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from lexmill.plans import jobs
 from lexmill.schemas import TABLES, empty
 from lexmill.sources import files, lookups
-from lexmill.sources.tables import TableStore
+from lexmill.sources.tables import Change, StateTables
 from lexmill.streaming import cycle
 
 AS_OF = "2025-01-01 00:00:00"
@@ -61,27 +61,12 @@ def test_lookups(spark, tmp_path):
     assert lookups.words(spark, None).count() == 0
 
 
-def test_store(spark, tmp_path):
-    store = TableStore(spark, str(tmp_path))
-    assert store.read("unrecognized_words").count() == 0
-    store.write("unrecognized_words", spark.createDataFrame([("a",)], "word string"))
-    store.write("unrecognized_words", store.read("unrecognized_words").union(spark.createDataFrame([("b",)], "word string")))
-    assert store.versions() == [1, 2] and store.read("unrecognized_words").count() == 2
-    os.remove(f"{tmp_path}/_commits/{2:012d}/_SUCCESS")  # a commit that did not end
-    assert {r["word"] for r in store.read("unrecognized_words").collect()} == {"a"}
-    store.write("unrecognized_words", spark.createDataFrame([("c",)], "word string"))
-    store.write("daily_runs", spark.createDataFrame([("j", "d")], TABLES["daily_runs"]))
-    store.vacuum(keep=1)
-    assert len(store.versions()) == 1 and {r["word"] for r in store.read("unrecognized_words").collect()} == {"c"}
-    assert store.read("daily_runs").count() == 1 and len(os.listdir(f"{tmp_path}/unrecognized_words")) == 1
-
-
 def test_steps_of_a_batch_share_a_table_and_a_repeat_loses_nothing(spark, tmp_path):
-    store = TableStore(spark, str(tmp_path))
+    store = StateTables(spark, str(tmp_path))
 
     def add(word):
         row = spark.createDataFrame([(word,)], "word string")
-        return lambda s: {"unrecognized_words": s.read("unrecognized_words").unionByName(row)}
+        return lambda s: {"unrecognized_words": Change(row, append=True)}
 
     def words():
         return sorted(r["word"] for r in store.read("unrecognized_words").collect())
@@ -94,7 +79,7 @@ def test_steps_of_a_batch_share_a_table_and_a_repeat_loses_nothing(spark, tmp_pa
 
 
 def test_daily_steps_run_once_a_day(spark, tmp_path):
-    store, runs = TableStore(spark, str(tmp_path)), []
+    store, runs = StateTables(spark, str(tmp_path)), []
     steps = [("daily-x", lambda s: runs.append(1) or {}), ("always", lambda s: {})]
     for version, today in enumerate(["2025-01-01", "2025-01-01", "2025-01-02"]):
         outcome = cycle.run_cycle(store, steps, version, today)
@@ -102,12 +87,12 @@ def test_daily_steps_run_once_a_day(spark, tmp_path):
 
 
 def test_started_cycle_drives_the_steps(spark, tmp_path):
-    store = TableStore(spark, f"{tmp_path}/store")
+    store = StateTables(spark, f"{tmp_path}/store")
     spark.createDataFrame([("n1",), ("n2",)], "word string").coalesce(1).write.parquet(f"{tmp_path}/in")
     arrivals = spark.readStream.schema("word string").parquet(f"{tmp_path}/in")
 
     def on_batch(batch, n):
-        step = lambda s: {"unrecognized_words": s.read("unrecognized_words").unionByName(batch)}
+        step = lambda s: {"unrecognized_words": Change(batch, append=True)}
         assert cycle.run_cycle(store, [("words", step)], n + 1) == {"words": "ok"}
 
     cycle.start_cycle(arrivals, on_batch, f"{tmp_path}/cp", availableNow=True).awaitTermination()
@@ -146,7 +131,7 @@ def feeds(spark):
 
 
 def test_cycle_end_to_end(spark, tmp_path):
-    store = TableStore(spark, str(tmp_path))
+    store = StateTables(spark, str(tmp_path))
     fetch = jobs.FetchOptions(year=2025, max_number=2, base_url="http://x")
     steps = cycle.default_steps(feeds(spark), AS_OF, fetch, fetch_current=False)
     outcome = cycle.run_cycle(store, steps[:4])
@@ -169,7 +154,7 @@ def test_cycle_end_to_end(spark, tmp_path):
 
 
 def test_failing_step_does_not_stop_the_rest(spark, tmp_path):
-    store = TableStore(spark, str(tmp_path))
+    store = StateTables(spark, str(tmp_path))
 
     def broken(_):
         raise RuntimeError("boom")
