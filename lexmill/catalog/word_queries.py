@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from lexmill.catalog import query
 from lexmill.catalog.views import DICTIONARY, WORD_SEPARATOR, Tables, ctes
-from lexmill.operators import words
+from lexmill.operators import search, words
+from lexmill.session import scratch_path
 
 _WORDS = f"""words AS (SELECT * FROM (
   SELECT doc_id, unnest(regexp_split_to_array(lower(text), '{WORD_SEPARATOR}')) AS word FROM documents) WHERE length(word) >= 3)"""
@@ -106,3 +107,19 @@ def document_dictionary_score(spark, path):
     return stats.select(
         "doc_id", F.round(F.greatest(F.lit(0.0), 1 - F.col("unknown_rate")), 6).alias("dictionary_score")
     )
+
+
+@query(
+    "indexed_search",
+    ctes(_WORDS)
+    + """, c AS (SELECT doc_id, word, count(*) AS n FROM words GROUP BY 1, 2),
+w AS (SELECT word, CAST(floor(1000 * ln(1 + (SELECT count(*) FROM documents)::DOUBLE / count(*)::DOUBLE)) AS BIGINT) AS weight FROM c GROUP BY 1)
+SELECT doc_id, CAST(sum(weight * ((1000 * n) // (n + 1))) AS BIGINT) AS score FROM c JOIN w USING (word)
+WHERE word IN ('the', 'nation', 'shall', 'heon', 'erhe', 'und') GROUP BY 1 ORDER BY score DESC, doc_id LIMIT 25""",
+)
+def indexed_search(spark, path):
+    """The best documents for a question, from an index of all documents."""
+    root = scratch_path(spark, "index")
+    search.build_index(Tables(spark, path).documents, "doc_id", root)
+    found = search.search(spark, root, "The nation shall heon und ERHE of it", k=25)
+    return found.select(F.col("id").alias("doc_id"), "score")

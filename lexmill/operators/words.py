@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.functions import scoring, text
+from lexmill.functions.rowwise import once
 from lexmill.operators.skew import Lookup, lookup_join, stored_lookup
 
 
@@ -92,11 +93,32 @@ def top_words(counts: DataFrame, k: int = 20) -> DataFrame:
     return counts.orderBy(F.col("n").desc(), "word").limit(k)
 
 
+def counted_words(texts: DataFrame, id_col: str, text_col: str = "text", variant: str = "extractor") -> DataFrame:
+    """(id, counts) with an array of (word, n) per text, in the order of the words.
+
+    A text is one row, so its sorted words are counted where they are: a word's run begins where the
+    word before it differs, and its length is the distance to the next run.
+    """
+    rows = once(texts.select(id_col, text_col), __w=F.array_sort(text.tokens(F.col(text_col), variant))).drop(text_col)
+    places = F.sequence(F.lit(0), F.greatest(F.size("__w") - 1, F.lit(0)))
+    begins = F.filter(places, lambda i: (F.get("__w", i) != F.get("__w", i - 1)) | ((i == 0) & (F.size("__w") > 0)))
+    rows = once(rows, __b=begins)
+    run = F.transform(
+        "__b",
+        lambda at, j: F.struct(
+            F.get("__w", at).alias("word"), (F.coalesce(F.get("__b", j + 1), F.size("__w")) - at).cast("long").alias("n")
+        ),
+    )
+    return rows.select(id_col, run.alias("counts"))
+
+
 def document_top_words(texts: DataFrame, id_col: str, k: int = 10, variant: str = "extractor") -> DataFrame:
-    """The k most frequent words of each text, ties broken by word."""
-    counted = word_rows(texts, id_col, variant=variant).groupBy(id_col, "word").agg(F.count(F.lit(1)).alias("n"))
-    rank = F.row_number().over(Window.partitionBy(id_col).orderBy(F.col("n").desc(), "word"))
-    return counted.withColumn("rank", rank).where(F.col("rank") <= k)
+    """The k most frequent words of each text, ties broken by word; no shuffle."""
+    rows = counted_words(texts, id_col, variant=variant)
+    ranked = F.array_sort(F.transform("counts", lambda c: F.struct((-c["n"]).alias("o"), c["word"].alias("word"))))
+    best = once(rows.select(id_col, F.slice(ranked, 1, k).alias("t")), top=F.col("t"))
+    found = best.select(id_col, F.posexplode("top").alias("at", "t"))
+    return found.select(id_col, "t.word", (-F.col("t.o")).alias("n"), (F.col("at") + 1).alias("rank"))
 
 
 def score_texts(
