@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from lexmill.catalog import query
 from lexmill.catalog.views import ARTICLES, DICTIONARY, LEGAL_TEXT, SIGNATORIES, WORD_SEPARATOR, Tables, ctes
 from lexmill.functions import scoring, text
+from lexmill.operators import patterns
 from lexmill.operators.sequence import sequence_counts, sequence_scores
 from lexmill.operators.words import score_texts
 
@@ -196,6 +197,21 @@ def apply_corrections(spark, path):
     return docs.select("doc_id", text.apply_corrections(F.col("text"), RULES).alias("text"))
 
 
+@query(
+    "apply_corrections_many",
+    r"""WITH w AS (SELECT DISTINCT unnest(regexp_extract_all(text, '[a-zA-Z]{4,}')) AS w FROM benchmark),
+r AS (SELECT list({'w': w, 'c': reverse(w)} ORDER BY md5(w)) AS rules FROM w)
+SELECT doc_id, list_reduce(rules, lambda a, x: {'w': replace(a.w, x.w, x.c), 'c': ''}, {'w': text, 'c': ''}).w AS text
+FROM documents, r WHERE text IS NOT NULL UNION ALL SELECT doc_id, text FROM documents WHERE text IS NULL""",
+)
+def apply_corrections_many(spark, path):
+    """Hundreds of rules that feed each other, one after another: every word of a reference text is turned round."""
+    t = Tables(spark, path)
+    found = t.benchmark.select(F.explode(F.regexp_extract_all("text", F.lit("[a-zA-Z]{4,}"), F.lit(0))).alias("w")).distinct()
+    rules = [(r["w"], r["w"][::-1]) for r in found.orderBy(F.md5(F.col("w").cast("binary"))).collect()]
+    return patterns.correct(t.documents.select("doc_id", "text"), rules)
+
+
 @query("apply_corrections_fold", f"SELECT doc_id, {_CORRECTED} AS text FROM documents")
 def apply_corrections_fold(spark, path):
     docs = Tables(spark, path).documents

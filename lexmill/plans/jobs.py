@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from lexmill.functions import ids, jsondoc, scoring, text
 from lexmill.functions.rowwise import once
-from lexmill.operators import audit, consolidate, select, upsert, words
+from lexmill.operators import audit, consolidate, patterns, select, upsert, words
 from lexmill.operators import enumerate as cursors_
 from lexmill.plans import cascade
 from lexmill.session import hashed, materialize
@@ -196,20 +196,18 @@ def extract_documents(texts: DataFrame, dictionary: DataFrame, as_of: str, optio
     statistics and the articles both start from that layout and meet without moving again.
     """
     if not options.strict:
-        texts = texts.withColumn("text", text.apply_corrections(F.col("text"), list(options.corrections)))
+        texts = patterns.correct(texts, options.corrections)
+    body = F.col("text")
+    date = text.french_date(body, options.anchor_to_footer)
+    texts = patterns.with_signatories(texts, options.signatories, date.cast("date") if options.within_mandate else None)
+    texts = texts.withColumnRenamed("signatories", "__signed")
     texts = hashed(texts, "document_id")
     # The other columns travel as grouping columns, which keeps both sides of the join on one exchange.
     stats = words.word_quality(
         texts, dictionary, "document_id", ["type", "year", "number"], variant=options.variant
     ).select("document_id", "unknown_rate", "unknown_words")
     docs = text.with_articles(texts, stop_at_footer=options.stop_at_footer)
-    body = F.col("text")
-    date = text.french_date(body, options.anchor_to_footer)
-    signed = text.signatories(
-        body, list(options.signatories), date.cast("date") if options.within_mandate else None
-    )
-    if not options.signatories:
-        signed = F.array().cast("array<struct<role:string,name:string,mandate_start:date,mandate_end:date,order:int>>")
+    signed = F.col("__signed")
     indexes = F.transform("articles", lambda a: a["index"])
     score = scoring.confidence(
         F.size("articles"),

@@ -5,22 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Rules and patterns become literals of the plan, so their number is checked.
-MAX_LITERALS = 10_000
-
 
 def _numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     whole = spark.read.text(path, wholetext=True)
     return whole.select(F.posexplode(F.split("value", "\r?\n")).alias("pos", "line"))
 
 
-def _collect_bounded(df: DataFrame, what: str) -> list:
-    rows = df.limit(MAX_LITERALS + 1).collect()
-    if len(rows) > MAX_LITERALS:
-        raise ValueError(f"more than {MAX_LITERALS} {what}")
-    return rows
-
-
 def corrections(spark: SparkSession, path: str) -> DataFrame:
     """(pos, wrong, right): comments and blank lines skipped, split at the first comma.
 
@@ -41,7 +31,8 @@ def corrections(spark: SparkSession, path: str) -> DataFrame:
 
 
 def correction_rules(spark: SparkSession, path: str) -> list[tuple[str, str]]:
-    rows = _collect_bounded(corrections(spark, path).orderBy("pos"), "correction rules")
+    """The rules in order, for `operators.patterns.correct`: one hand-written line each."""
+    rows = corrections(spark, path).orderBy("pos").collect()
     return [(r["wrong"], r["right"]) for r in rows]
 
 
@@ -68,8 +59,8 @@ def _compiles(spark: SparkSession, pattern: str) -> bool:
 
 
 def signatory_patterns(spark: SparkSession, path: str) -> list[dict]:
-    """Patterns in file order; those that do not compile are dropped."""
-    rows = _collect_bounded(signatories(spark, path).orderBy("pos"), "signatory patterns")
+    """Patterns in file order, for `operators.patterns.with_signatories`; those that do not compile are dropped."""
+    rows = signatories(spark, path).orderBy("pos").collect()
     return [
         {
             "pattern": r["pattern"],
