@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from lexmill.catalog import query
 from lexmill.catalog.views import ARTICLES, LEGAL_TEXT, Tables, ctes
 from lexmill.functions import jsondoc, text
-from lexmill.operators import chunking, transform
+from lexmill.operators import chunkers, chunking, transform
 
 SIZE, OVERLAP = 1000, 100
 
@@ -309,3 +309,45 @@ transform.register(
 def user_transformation(spark, path):
     docs = Tables(spark, path).documents.select("doc_id", "lang", "text")
     return transform.named("first-line").apply(docs)
+
+
+def _second_line(batch):
+    """Fails on texts without a second line, as user code does on what it did not expect."""
+    return batch.assign(line=[t.split("\n")[1] for t in batch["text"]])[["doc_id", "line"]]
+
+
+transform.register(transform.Transformation("second-line", _second_line, "doc_id long, line string"))
+
+
+@query(
+    "quarantined_rows",
+    """SELECT doc_id, CASE WHEN contains(text, chr(10)) THEN split_part(text, chr(10), 2) END AS line,
+  CASE WHEN text IS NULL THEN 'AttributeError' WHEN NOT contains(text, chr(10)) THEN 'IndexError' END AS error FROM documents""",
+)
+def quarantined_rows(spark, path):
+    """Rows that a user's function cannot take are set aside with the error, the others go on."""
+    docs = Tables(spark, path).documents.select("doc_id", "text")
+    good, bad = transform.named("second-line").apply_or_quarantine(docs, ["doc_id"])
+    good = good.withColumn("error", F.lit(None).cast("string"))
+    kind = F.substring_index("error", ":", 1).alias("error")
+    return good.unionByName(bad.select("doc_id", F.lit(None).cast("string").alias("line"), kind))
+
+
+def _sentences(text):
+    parts = text.split(". ")
+    return [p + ". " for p in parts[:-1]] + parts[-1:]
+
+
+chunkers.register(chunkers.Chunker("sentences", _sentences))
+
+
+@query(
+    "user_chunker",
+    """SELECT doc_id, CAST(CASE WHEN text IS NULL THEN 1 ELSE len(string_split(text, '. ')) END AS INTEGER) AS n_chunks,
+  sha256(text) AS sha256 FROM documents""",
+)
+def user_chunker(spark, path):
+    """A chunker of the user's own, and its inverse."""
+    chunks = chunkers.split(Tables(spark, path).documents, "doc_id", "sentences")
+    whole = chunkers.join(chunks, "doc_id", "sentences")
+    return whole.select("doc_id", "n_chunks", F.sha2(F.col("text").cast("binary"), 256).alias("sha256"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,6 +52,16 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def read_or_empty(spark: SparkSession, schema: str, path: str, **options):
+    """Parquet rows below `path`; none, with the schema, if nothing has been written there yet."""
+    try:
+        return spark.read.options(**options).schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def materialize(df, label: str = "stage"):
     """Write `df` to the shared folder and read it back.
 

@@ -6,13 +6,12 @@ from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexmill.functions.ids import parse_document_id
 from lexmill.schemas import PARTITIONS, TABLES
-from lexmill.session import materialize
+from lexmill.session import materialize, read_or_empty
 
 Parts = frozenset[tuple[str | None, int | None]]
 NULL_PART = "__HIVE_DEFAULT_PARTITION__"
@@ -77,12 +76,7 @@ class StateTables:
         columns = self.partitions(name)
         names = [f.name for f in self.spark.createDataFrame([], TABLES[name]).schema]
         extra = [f"{c} {kind}" for c, kind in zip(columns, ("string", "int"), strict=False) if c not in names]
-        try:
-            df = self.spark.read.schema(", ".join([TABLES[name], *extra])).parquet(f"{self.root}/{name}")
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return self.spark.createDataFrame([], TABLES[name])
+        df = read_or_empty(self.spark, ", ".join([TABLES[name], *extra]), f"{self.root}/{name}")
         if parts is not None and columns:
             df = df.where(in_parts(parts, *columns))
         return df.select(*names)

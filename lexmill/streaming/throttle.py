@@ -51,13 +51,16 @@ def run_pacing(
     """
     keys = list(keys)
 
+    def latest(rows: DataFrame) -> DataFrame:
+        rest = F.struct(*PACE, "batch")
+        return rows.groupBy(*keys).agg(F.max_by(rest, "batch").alias("s")).select(*keys, "s.*")
+
     def step(batch: DataFrame, number: int) -> None:
-        rest = F.struct(*PACE)
-        before = states.before(number).groupBy(*keys).agg(F.max_by(rest, "batch").alias("s")).select(*keys, "s.*")
+        before = latest(states.before(number, latest)).drop("batch")
         before = before.join(batch.select(*keys).distinct(), keys, "left_semi")
         paced = adaptive_delay(batch, keys, ts, order, throttled, interval_seconds, state=before)
         out.write(paced, number)
-        paced = out.read().where(F.col("batch") == number)
+        paced = out.batch(number)
         states.write(pace_state(batch, paced, keys, ts, order, throttled, interval_seconds, before), number)
 
     query = log.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
