@@ -20,6 +20,7 @@ from lexmill.llm.texts import by_bytes, tidy
 
 UNDETERMINED = "und"
 DIRECTIONS = 2
+SLICE_BYTES = 8 << 20  # texts of a batch that run together
 
 
 @dataclass(frozen=True)
@@ -178,7 +179,7 @@ def pad(windows: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.ascontiguousarray(data.T), lengths
 
 
-def document_probabilities(p: dict, texts: list[bytes], window: int, at_once: int = 2048) -> np.ndarray:
+def document_probabilities(p: dict, texts: list[bytes], window: int, at_once: int = 4096) -> np.ndarray:
     """Mean probabilities over all bytes of each text, which must not be empty."""
     sums = np.zeros((len(texts), len(p["c"])))
     cuts = [(i, a) for i, t in enumerate(texts) for a in range(0, len(t), window)]
@@ -237,7 +238,7 @@ class LanguageModel:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for whole in batches:
-                for _, batch in by_bytes(whole, at):
+                for _, batch in by_bytes(whole, at, SLICE_BYTES):
                     texts = [t.as_py() for t in batch.column(at)]
                     named = [i for i, t in enumerate(texts) if t and any(map(str.isalpha, t))] if model.languages else []
                     pred, score = [UNDETERMINED] * len(texts), np.zeros(len(texts))

@@ -30,9 +30,10 @@ from lexmill.session import materialize
 CAPACITY = 2048
 TOKENIZER = "word_bpe_49k.json"
 # Memory for the words that a task remembers; it only saves encoding them again.
-CACHED_BYTES = 96 << 20
+CACHED_BYTES = 48 << 20
 ENTRY_BYTES = 200  # of a word and its ids, beside their contents
 SLICE_CHARS = 1 << 20
+SLICE_BYTES = 4 << 20  # texts whose words are learned together
 
 
 # Trailing ASCII marks other than the apostrophe, after a letter or digit: always a piece of their own.
@@ -132,7 +133,7 @@ def token_pieces(docs: DataFrame, id_col: str, text_col: str, capacity: int, tok
                 if with_ids:
                     kept.append(data)
 
-            for first, some in by_bytes(batch, 1, SLICE_CHARS):
+            for first, some in by_bytes(batch, 1, SLICE_BYTES, 1000):
                 texts = [t.as_py() or "" for t in some.column(1)]
                 short = [words_of(t) if len(t) <= SLICE_CHARS else None for t in texts]
                 known.add(set().union(*filter(None, short)))
