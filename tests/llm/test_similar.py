@@ -48,14 +48,53 @@ def near_rows(seed):
     return [(i + 1, t) for i, t in enumerate(rows)]
 
 
-@pytest.mark.parametrize(("seed", "long_list"), [(0, 64), (1, 5), (2, 1000)])
-def test_all_similar_pairs_are_linked(spark, seed, long_list):
+@pytest.mark.parametrize(
+    ("seed", "long_list", "hot", "block"), [(0, 64, 64, 8192), (1, 5, 64, 8192), (2, 1000, 64, 8192), (4, 5, 64, 7), (5, 8, 4, 16)]
+)
+def test_all_similar_pairs_are_linked(spark, seed, long_list, hot, block):
     rows = near_rows(seed)
     df = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], SCHEMA)
-    got = {r["doc_id"]: r["component_id"] for r in similar.similar_documents(df, long_list=long_list).collect()}
+    got = {r["doc_id"]: r["component_id"] for r in similar.similar_documents(df, long_list=long_list, hot=hot, block=block).collect()}
     assert got == plain_heads(sets_of(rows))
 
 
+def chain_rows(count):
+    """Texts that all share runs, of which only neighbours are similar: no centre is near all of them."""
+    words = [f"w{i}" for i in range(60 + 2 * count)]
+    return [(i + 1, " ".join([*words[2 * i : 2 * i + 60], "every", "one", "ends", "like", "this"])) for i in range(count)]
+
+
+@pytest.mark.parametrize("block", [3, 8192])
+def test_pairs_far_from_the_centres_of_a_long_list(spark, block):
+    rows = chain_rows(150)
+    rows = [rows[(i * 37) % 150] for i in range(150)]
+    df = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], SCHEMA)
+    got = {r["doc_id"]: r["component_id"] for r in similar.similar_documents(df, long_list=4, hot=4, block=block).collect()}
+    assert got == plain_heads(sets_of(rows)) == dict.fromkeys(got, 1)
+
+
+def test_dealt_members_hold_every_possible_pair(spark):
+    """Each pair of a list that can be similar with different labels meets in exactly one pair of blocks."""
+    r = random.Random(7)
+    rows = [(1, i, n := r.randint(1, 40), r.randint(0, n - 1) // 3, r.randint(0, 3)) for i in range(200)]
+    members = spark.createDataFrame(rows, "run long, code long, n int, at int, label long")
+    got = sorted(map(tuple, similar.other_pairs(members, (4, 5), block=11).collect()))
+    wanted = [
+        (a[1], b[1])
+        for a in rows
+        for b in rows
+        if a[1] < b[1] and a[4] != b[4] and 9 * min(a[2] - a[3], b[2] - b[3]) >= 4 * (a[2] + b[2])
+    ]
+    assert got == sorted(wanted)
+
+
+def test_a_long_list_without_possible_pairs_is_dropped(spark):
+    """30 common words and 5 of their own: the common runs come too late to be the first shared ones."""
+    rows = [(run, code, 31, 5, code) for run in (1, 2) for code in range(5000)]
+    members = spark.createDataFrame(rows, "run long, code long, n int, at int, label long")
+    assert similar.dealt_members(members, (4, 5), 64).isEmpty()
+
+
 def test_pipeline_stage_keeps_no_near_copy(spark, tmp_path):
     """Copies that differ in more than three bits of a fingerprint of three-word runs go too."""
     rows = near_rows(3)
