@@ -29,6 +29,8 @@ def sequence_counts(
     stepped = running(narrow, [key], [F.col(p) for p in places], {"__prev": ("previous", F.col(index))}, max_rows)
     step = F.col(index) - F.col("__prev")
     zero = F.lit(0).cast("long")
+    # The rows lie by key already, so their distinct indexes are counted without another shuffle.
+    whole_set = [] if variant == "extractor" else [F.count_distinct(index).alias("__d")]
     out = stepped.groupBy(key).agg(
         F.count(index).alias("n_articles"),
         F.sum(F.when(step > 1, step - 1).otherwise(zero)).alias("neighbour_gaps"),
@@ -37,23 +39,14 @@ def sequence_counts(
         F.min(index).alias("low"),
         F.max(index).alias("high"),
         F.bool_and(F.coalesce(step == 1, F.lit(True))).alias("strict"),
+        *whole_set,
     )
     if variant == "extractor":
-        return out.select(
-            key, "n_articles", F.col("neighbour_gaps").alias("gaps"),
-            F.col("neighbour_duplicates").alias("duplicates"), "inversions", "low", "strict",
-        )
-    distinct = (
-        articles.groupBy(key, index).agg(F.lit(1).alias("__one")).groupBy(key).agg(F.count("__one").alias("__d"))
-    )
-    return out.join(distinct, key).select(
-        key,
-        "n_articles",
-        (F.col("high") - F.col("low") + 1 - F.col("__d")).alias("gaps"),
-        (F.col("n_articles") - F.col("__d")).alias("duplicates"),
-        "inversions",
-        "low",
-        "strict",
+        gaps, duplicates = F.col("neighbour_gaps"), F.col("neighbour_duplicates")
+    else:
+        gaps, duplicates = F.col("high") - F.col("low") + 1 - F.col("__d"), F.col("n_articles") - F.col("__d")
+    return out.select(
+        key, "n_articles", gaps.alias("gaps"), duplicates.alias("duplicates"), "inversions", "low", "strict"
     )
 
 

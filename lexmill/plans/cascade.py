@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,6 +28,7 @@ def choose(
     full: DataFrame | None = None,
     text_threshold: float = TEXT_THRESHOLD,
     json_threshold: float = JSON_THRESHOLD,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Best result per document, with its JSON quality and an `accepted` flag.
 
@@ -33,8 +36,10 @@ def choose(
     (and confidence, source where they differ from the defaults) and hold at most one row per
     document. A corrected text is tried below the text threshold and wins on confidence; a
     corrected JSON, then a full extraction, are tried below the JSON threshold and win on quality.
+    The columns `keep` of `base` stay.
     """
-    out = base.select("document_id", "json", "confidence", "source")
+    keep = list(keep)
+    out = base.select("document_id", *keep, "json", "confidence", "source")
     if corrected_text is not None:
         alt = corrected_text.select(
             "document_id",
@@ -49,6 +54,7 @@ def choose(
         )
         out = out.join(alt, "document_id", "left").select(
             "document_id",
+            *keep,
             *[F.when(use, F.col(f"__alt.{c}")).otherwise(F.col(c)).alias(c) for c in ("json", "confidence", "source")],
         )
     out = _with_quality(out, "json", "quality")
@@ -70,6 +76,7 @@ def choose(
         )
         out = out.join(alt, "document_id", "left").select(
             "document_id",
+            *keep,
             *[
                 F.when(use, F.col(f"__alt.{c}")).otherwise(F.col(c)).alias(c)
                 for c in ("json", "confidence", "source", "quality")

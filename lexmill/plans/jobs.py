@@ -218,16 +218,17 @@ def extract_documents(texts: DataFrame, dictionary: DataFrame, as_of: str, optio
     )
     # The narrow side becomes the hash table, so whole texts are never sorted.
     joined = once(docs.join(stats.hint("shuffle_hash"), "document_id"), confidence=score, signatories=signed)
-    return joined.select(
+    document = jsondoc.build_document(
+        F.col("document_id"), F.col("type"), F.col("year"), F.col("number"), F.col("confidence"),
+        F.lit("OCR"), F.lit(as_of), F.col("articles"), F.col("signatories"),
+        text.law_title(body, options.strict), date, text.promulgation_city(body),
+    )
+    return once(joined, json=document).select(
         "document_id",
         "type",
         "year",
         "number",
-        jsondoc.build_document(
-            F.col("document_id"), F.col("type"), F.col("year"), F.col("number"), F.col("confidence"),
-            F.lit("OCR"), F.lit(as_of), F.col("articles"), F.col("signatories"),
-            text.law_title(body, options.strict), date, text.promulgation_city(body),
-        ).alias("json"),
+        "json",
         "confidence",
         F.lit("OCR").alias("source"),
         F.size("articles").alias("n_articles"),
@@ -259,10 +260,13 @@ def run_extract(
     input_ = texts.select("document_id", "text").join(
         chosen.select("document_id", "type", "year", "number"), "document_id"
     )
-    extracted = materialize(extract_documents(input_, dictionary, as_of, options), "extractions")
-    base = extracted.where("n_articles > 0")
-    best = materialize(cascade.choose(base, corrected_text, corrected_json, full), "chosen")
-    accepted = best.where("accepted").select("document_id", "json", "confidence", "source")
+    # Extraction and choice are one job: its documents are hashed by id, the alternatives meet them there,
+    # and what is stored is the JSON that won, once.
+    found = extract_documents(input_, dictionary, as_of, options)
+    extracted = materialize(
+        cascade.choose(found, corrected_text, corrected_json, full, keep=["n_articles", "unknown_words"]), "extractions"
+    )
+    accepted = extracted.where("accepted and n_articles > 0").select("document_id", "json", "confidence", "source")
     done = accepted.select("document_id", F.lit("EXTRACTED").alias("__next"))
     failed = (
         extracted.select("document_id")
