@@ -105,3 +105,16 @@ def test_inserted_and_missing_passages(size):
             shorter = np.concatenate((noise, words[:at], words[at + size :], noise, words))
             got = [x[1] for x in licenses.occurrences(index, shorter, 4, 0.8) if x[0] == t]
             assert got == ([n - size, n] if n - size >= 0.8 * n else [n])
+
+
+def test_half_a_text_is_not_the_whole(spark):
+    """The permission of the ISC license without its disclaimer of liability, and whole BSD texts."""
+    isc = licenses.TEMPLATES["ISC"]
+    texts = [isc, isc[: isc.index("IN NO EVENT")], licenses.TEMPLATES["BSD-3-Clause"], licenses.TEMPLATES["BSD-2-Clause"]]
+    df = spark.createDataFrame([(i, t, "x", 1, "y") for i, t in enumerate(texts)], SCHEMA)
+    got = {}
+    for r in licenses.scan(df).collect():
+        total = len(licenses.word_list(licenses.TEMPLATES[r["license"]]))
+        got[r["doc_id"], r["license"]] = r["matched_words"] == total
+    assert got[0, "ISC"] and (1, "ISC") not in got
+    assert got[2, "BSD-3-Clause"] and got[3, "BSD-2-Clause"] and not got.get((3, "BSD-3-Clause"), False)
