@@ -13,7 +13,8 @@ belongs to is one more open choice: its probability is the sum over the classes,
 Tokens meet corpus counts block by block. A block of documents keeps who uses which word how often,
 and asks for each of its words once; words are dealt over parts by hash, and a block and a part share
 one packed row. A part adds up the counts of all blocks, scores each distinct word once, and answers
-every block in one row. A frequent word is one entry per block, so no task holds more than its share.
+every block in one row. A frequent word is one entry per block, and the number of parts grows with the
+bytes of the texts, so no task holds more than its share.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from __future__ import annotations
 import uuid
 import zlib
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from itertools import count
 
@@ -36,6 +37,9 @@ from lexmill.session import materialize
 VOCABULARY = "piece_bpe_32k.model"
 BLOCK_BYTES = 16 << 20
 BLOCK_DOCS = 20_000
+PART_BYTES = 256 << 20
+# Words of at least LONG bytes are cut into stretches, which are the rows of one pass.
+LONG, STRETCH, STRETCHES_AT_ONCE = 1024, 128, 256
 CELLS_AT_ONCE = 1 << 21
 SLOTS = 18
 BASE = np.uint64(0x100000001B3)
@@ -162,26 +166,128 @@ class Lattice:
 
     def log_probability(self, data: np.ndarray) -> np.ndarray:
         """Marginal natural-log probability, by class, of words of one length given as a byte matrix."""
+        stops = np.array([w[1][-1] for w in self.weights])
+        if data.shape[1] >= LONG:
+            return np.stack([self._boundaries(row, range(len(self.weights)))[-1][:, -1] + stops for row in data])
         numbers = self.numbers(data)
-        return np.stack([self.forward(self.values(numbers, w))[:, -1] + w[1][-1] for w in self.weights], axis=1)
+        return np.stack([self.forward(self.values(numbers, w))[:, -1] for w in self.weights], axis=1) + stops
 
     def expected(self, data: np.ndarray, k: int = 0) -> tuple[np.ndarray, np.ndarray]:
         """Expected uses of first pieces, inner pieces and the stop, over all readings of words of class k."""
         n, size = data.shape
-        numbers, stop = self.numbers(data), self.weights[k][1][-1]
+        if size >= LONG:
+            first, inner = (sum(x) for x in zip(*(self._expected_long(row, k) for row in data), strict=True))
+        else:
+            leave = np.full((n, size + 1), -np.inf)
+            leave[:, size] = self.weights[k][1][-1]
+            first, inner = self._uses(data, leave, k)
+        inner[-2] = n  # the number after the last piece means none and has no share; every word stops once
+        return first[:-1], inner[:-1]
+
+    def _uses(self, data: np.ndarray, leave: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Expected uses of pieces within `data`, where `leave` are the logs of what may follow after j bytes."""
+        size = data.shape[1]
+        numbers = self.numbers(data)
         values = self.values(numbers, self.weights[k])
-        alpha = self.forward(values)
-        beta = np.full((n, size + 1), -np.inf)
-        beta[:, size] = stop
+        alpha, beta = self.forward(values), leave.copy()
         for i in range(size - 1, -1, -1):
-            beta[:, i] = _log_sum(np.stack([values[m - 1][:, i] + beta[:, i + m] for m in range(1, min(size - i, len(values)) + 1)]))
+            within = [values[m - 1][:, i] + beta[:, i + m] for m in range(1, min(size - i, len(values)) + 1)]
+            beta[:, i] = _log_sum(np.stack([leave[:, i], *within]))
         first, inner = (np.zeros(len(w) + 1) for w in self.weights[k])
         for m, (found, value) in enumerate(zip(numbers, values, strict=True), 1):
             share = np.exp(alpha[:, : size + 1 - m] + value + beta[:, m:] - beta[:, :1])
             first += np.bincount(found[:, 0], share[:, 0], len(first))
             inner += np.bincount(found[:, 1:].ravel(), share[:, 1:].ravel(), len(inner))
-        inner[-2] = n  # the number after the last piece means none and has no share; every word stops once
-        return first[:-1], inner[:-1]
+        return first, inner
+
+    # A long word is a head and stretches after it. The recursion reaches back `reach` bytes, so all that a
+    # stretch needs to know of what came before are the sums at the last `reach` places, and what it makes
+    # of each of them is a small matrix. The matrices of all stretches are found side by side.
+
+    def _stretches(self, row: np.ndarray) -> tuple[int, list[np.ndarray]]:
+        """Length of the head, and portions of the stretches after it, each row with the `reach` bytes before."""
+        reach = self.inner.longest
+        size = max(STRETCH, reach, self.first.longest)
+        head = len(row) - size * (len(row) // size - 1)
+        view = np.lib.stride_tricks.sliding_window_view(row, reach + size)[head - reach :: size]
+        return head, [view[i : i + STRETCHES_AT_ONCE] for i in range(0, len(view), STRETCHES_AT_ONCE)]
+
+    def _ending(self, data: np.ndarray) -> np.ndarray:
+        """The piece that ends with byte j of each stretch and is `reach` - i bytes long, by (stretch, j, i)."""
+        reach = self.inner.longest
+        hashes, size = _hash(data), data.shape[1] - reach
+        out = np.empty((len(data), size, reach), np.int32)
+        for m in range(1, reach + 1):
+            power = np.uint64(pow(int(BASE), m, 1 << 64))
+            at = reach + 1 - m
+            out[:, :, reach - m] = self.inner.find(hashes[:, reach + 1 :] - hashes[:, at : at + size] * power)
+        return out
+
+    def _logs(self, numbers: np.ndarray, k: int) -> np.ndarray:
+        return np.append(self.weights[k][1][:-1], -np.inf)[numbers]
+
+    @staticmethod
+    def _transfer(logs: np.ndarray) -> np.ndarray:
+        """Log of what each place before a stretch adds to each of its last places, by (stretch, from, to)."""
+        n, size, reach = logs.shape
+        weights = np.exp(logs)
+        sums = np.zeros((n, reach + size, reach))  # (stretch, to, from)
+        sums[:, range(reach), range(reach)] = 1
+        scale = np.zeros(n)
+        for j in range(size):
+            sums[:, reach + j] = (weights[:, j, None, :] @ sums[:, j : j + reach])[:, 0]
+            if j % 4 == 3 or j == size - 1:  # often enough for weights of 1e-50; a single byte always has one
+                top = sums[:, reach + j].max(axis=1)
+                sums[:, j + 1 : reach + j + 1] /= top[:, None, None]
+                scale += np.log(top)
+        with np.errstate(divide="ignore"):
+            return np.log(sums[:, size:]).transpose(0, 2, 1) + scale[:, None, None]
+
+    def _boundaries(self, row: np.ndarray, classes: Sequence[int]) -> list[np.ndarray]:
+        """Log sums at the last `reach` places of the head and of each stretch, one row for each class."""
+        head, portions = self._stretches(row)
+        start = self.numbers(row[None, :head])
+        out = [np.concatenate([self.forward(self.values(start, self.weights[k]))[:, -self.inner.longest :] for k in classes])]
+        for data in portions:
+            numbers = self._ending(data)
+            steps = np.stack([self._transfer(self._logs(numbers, k)) for k in classes], axis=2)
+            for step in steps:  # (from, class, to)
+                out.append(_log_sum(out[-1].T[:, :, None] + step))
+        return out
+
+    def _expected_long(self, row: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """`_uses` of one long word: stretches from the last to the first, then the head."""
+        reach = self.inner.longest
+        head, portions = self._stretches(row)
+        before = np.concatenate(self._boundaries(row, [k]))
+        stop = self.weights[k][1][-1]
+        after = np.append(np.full(reach - 1, -np.inf), stop)  # logs of what follows beyond a stretch, by its last places
+        total, inner = before[-1, -1] + stop, np.zeros(len(self.weights[k][1]) + 1)
+        at = len(before) - 1
+        for data in reversed(portions):
+            numbers = self._ending(data)
+            logs = self._logs(numbers, k)
+            n, size = logs.shape[:2]
+            at -= n
+            leave = np.full((n, size), -np.inf)
+            for i, step in reversed(list(enumerate(self._transfer(logs)))):
+                leave[i, -reach:] = after
+                after = _log_sum((step + after).T)
+            alpha = np.concatenate((before[at : at + n], np.empty((n, size))), axis=1)
+            for j in range(size):
+                alpha[:, reach + j] = _log_sum((alpha[:, j : j + reach] + logs[:, j]).T)
+            beta = leave.copy()
+            for j in range(size - 2, -1, -1):
+                m = np.arange(1, min(reach, size - 1 - j) + 1)
+                within = logs[:, j + m, reach - m] + beta[:, j + m]
+                beta[:, j] = _log_sum(np.concatenate((leave[:, j : j + 1], within), axis=1).T)
+            begins = np.lib.stride_tricks.sliding_window_view(alpha, reach, axis=1)[:, :size]
+            share = np.exp(begins + logs + beta[:, :, None] - total)
+            inner += np.bincount(numbers.ravel(), share.ravel(), len(inner))
+        leave = np.full((1, head + 1), -np.inf)
+        leave[0, -reach:] = after
+        first, more = self._uses(row[None, :head], leave, k)
+        return first, inner + more
 
 
 def _log_sum(terms: np.ndarray) -> np.ndarray:
@@ -399,7 +505,8 @@ def lattice_scores(
     place = F.array_position(F.array(*[F.lit(n) for n in names]), label) if names else F.lit(0)
     kind = F.coalesce(F.when(place > 0, place - 1), F.lit(classes - 1)).cast("int")
     spark = docs.sparkSession
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    size = docs.agg(F.coalesce(F.sum(F.octet_length(F.col(text_col))), F.lit(0))).first()[0]
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism, -(-size // PART_BYTES))
     blocks = materialize(token_blocks(docs, id_col, text_col, held, kind, classes, parts), "blocks")
     asked = blocks.where("doc is null")
     words = materialize(word_counts(asked, classes), "words")

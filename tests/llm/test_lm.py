@@ -54,6 +54,27 @@ def test_forward_sums_all_readings(word):
     assert b[:-1].sum() == pytest.approx(longest)
 
 
+@pytest.mark.parametrize("size", [1024, 1151, 1152, 1153, 3000])
+def test_stretches_of_a_long_word_equal_one_pass(monkeypatch, size):
+    r, lattice = random.Random(size), lm.Lattice.of(FIRST, INNER, 2)
+    lattice.weights[1] = lattice.normal(*(np.arange(1.0, len(w) + 1) for w in lattice.weights[1]))
+    words = [b"".join(r.choice([b"th", b"a", b"ere", b"tion", b"x", b"\xff", b"e"]) for _ in range(size))[:size] for _ in range(2)]
+    data = np.frombuffer(b"".join(words), np.uint8).reshape(2, size)
+    got = [lattice.log_probability(data), *lattice.expected(data, 1)]
+    monkeypatch.setattr(lm, "LONG", size + 1)
+    for x, y in zip(got, [lattice.log_probability(data), *lattice.expected(data, 1)], strict=True):
+        assert np.allclose(x, y)
+
+
+def test_a_word_of_a_megabyte():
+    lattice = lm.Lattice.of(*lm.vocabulary(), 2)
+    word = np.frombuffer(("the nation " * 100_000).replace(" ", "").encode()[: 1 << 20], np.uint8)[None, :]
+    short = lattice.log_probability(word[:, :900])
+    assert lattice.log_probability(word)[0, 0] / word.size == pytest.approx(short[0, 0] / 900, rel=0.01)
+    first, inner = lattice.expected(word)
+    assert first.sum() == pytest.approx(1) and inner[-1] == 1 and word.size / lattice.inner.longest < inner.sum() < word.size
+
+
 def test_weights_are_distributions():
     lattice = lm.Lattice.of(*lm.vocabulary())
     for w in lattice.weights[0]:
@@ -112,6 +133,55 @@ def test_counts_and_base_score(spark, monkeypatch, blocks):
         assert r[5] == pytest.approx(want[5]) and r[6] < 0 and math.isfinite(r[6])
 
 
+def plain_scores(rows, rounds):
+    """Every reading of every word listed; counts by dictionary; natural logs turned to base ten at the end."""
+    split = [[*(t or "").lower().encode().split(), None] for _, t, _ in rows]
+    held = [i is not None and zlib.crc32(str(i).encode()) % 7 == 2 for i, _, _ in rows]
+    langs = sorted({lang for (_, _, lang), h in zip(rows, held, strict=True) if not h})
+    counts = {k: Counter(w for words, (_, _, c), h in zip(split, rows, held, strict=True) if c == k and not h for w in words) for k in langs}
+    everywhere, total = sum(counts.values(), Counter()), sum(sum(c.values()) for c in counts.values())
+    lattice = lm.Lattice.of(FIRST, INNER, 1)
+    start, values = tables(lattice), {}
+    for k in langs:
+        first, inner = start
+        for _ in range(rounds):
+            uses = [dict.fromkeys(first, 0.01), dict.fromkeys(inner, 0.01)]
+            for w in set(counts[k]) - {None}:
+                every = [[0] + [m for m in range(1, len(w)) if mask >> m & 1] + [len(w)] for mask in range(0, 1 << len(w), 2)]
+                every = [[w[a:b] for a, b in zip(cut, cut[1:], strict=False)] for cut in every]
+                every = [c for c in every if c[0] in first and all(p in inner for p in c[1:])]
+                weight = [math.exp(first[c[0]] + sum(inner[p] for p in c[1:]) + inner[None]) for c in every]
+                for c, x in zip(every, weight, strict=True):
+                    uses[0][c[0]] += x / sum(weight)
+                    for p in [*c[1:], None]:
+                        uses[1][p] += x / sum(weight)
+            first, inner = ({p: math.log(x / sum(u.values())) for p, x in u.items()} for u in uses)
+        c, size = counts[k], sum(counts[k].values())
+        once, twice = (sum(v == n for w, v in c.items() if w is not None) for n in (1, 2))
+        off = once / (once + 2 * twice) if once else 0.5
+        escape = (off * len(c) + 1) / (size + 1)
+
+        def token(w, c=c, size=size, off=off, escape=escape, first=first, inner=inner):
+            spelled = lm.END_SHARE if w is None else (1 - lm.ANYWHERE - lm.END_SHARE) * sum(math.exp(sum(x)) for x in readings(w, first, inner))
+            return max(c[w] - off, 0) / (size + 1) + escape * (lm.ANYWHERE * everywhere[w] / total + spelled)
+
+        share = (c[None] + 1) / sum(n[None] + 1 for n in counts.values())
+        for i, words in enumerate(split):
+            values.setdefault(i, []).append(math.log(share) + sum(math.log(token(w)) for w in words))
+    return [np.logaddexp.reduce(values[i]) / math.log(10) for i in range(len(rows))]
+
+
+@pytest.mark.parametrize("part_bytes", [None, 50])
+def test_scores_against_a_plain_version(spark, monkeypatch, part_bytes):
+    if part_bytes:
+        monkeypatch.setattr(lm, "PART_BYTES", part_bytes)
+    monkeypatch.setattr(lm, "vocabulary", lambda path: (FIRST, INNER))
+    r, words = random.Random(5), {"en": ["the", "there", "a", "nation"], "fr": ["été", "rere", "thé"]}
+    rows = [(i, " ".join(r.choice([*words[c], f"a{r.randrange(9)}"]) for _ in range(r.randint(0, 9))), c) for i in range(60) for c in [r.choice(["en", "fr"])]]
+    got = {x["doc_id"]: x["score"] for x in scores(spark, rows, class_col="lang")}
+    assert [got[i] for i in range(60)] == pytest.approx(plain_scores(rows, 1), rel=1e-5)
+
+
 def test_classes_help_on_unseen_texts(spark):
     rows = rows_for(2, 300)
     one, two = scores(spark, rows), scores(spark, rows, class_col="lang")
