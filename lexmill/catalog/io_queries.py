@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from lexmill.catalog import query
 from lexmill.catalog.views import Tables, ctes
 from lexmill.catalog.word_queries import _CHAT, _COUNTS, _WORDS
+from lexmill.functions import ids
 from lexmill.operators import upsert, words
 from lexmill.plans import batches
 from lexmill.session import scratch_path
@@ -92,3 +93,77 @@ def stored_tables(spark, path):
     store.apply({"extractions": batches.merge(store, "extractions", better, ["document_id"], upsert.better_by_confidence())})
     store.apply(batches.delete(store, docs.where("doc_id % 30 = 7 AND doc_id % 2 = 1"), ("extractions",)))
     return store.read("extractions").select("document_id", "confidence")
+
+
+# Each supplier is a document of its nation's region: a text, a payload (empty for every seventh) and a
+# JSON document (without confidence for every fifth, without both confidence and source for every tenth).
+_SUPPLIERS = """supplied AS (SELECT CASE s_suppkey % 2 WHEN 0 THEN 'loi' ELSE 'decret' END AS type,
+    concat(CASE s_suppkey % 2 WHEN 0 THEN 'loi' ELSE 'decret' END, '-', 2000 + s_nationkey, '-', s_suppkey) AS document_id,
+    concat(s_name, chr(10), 'Région ', r_name, chr(10)) AS text,
+    CASE WHEN s_suppkey % 7 = 0 THEN '' ELSE concat('%PDF-', s_name) END AS payload,
+    CASE WHEN s_suppkey % 10 = 0 THEN '{"_metadata": {}, "articles": []}'
+         WHEN s_suppkey % 5 = 0 THEN '{"_metadata": {"source": "OCR"}, "articles": []}'
+         ELSE concat('{"_metadata": {"confidence": 0.', s_suppkey % 9 + 1, ', "source": "IA"}, "articles": []}') END AS json
+  FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)"""
+
+
+def _artifact_root(spark, path):
+    """Every supplier's artifacts as files of the layout."""
+    t, root = Tables(spark, path), scratch_path(spark, "layout")
+    key = F.col("s_suppkey")
+    type_ = F.when(key % 2 == 0, "loi").otherwise("decret")
+    graded = F.concat(F.lit('{"_metadata": {"confidence": 0.'), (key % 9 + 1).cast("string"), F.lit(', "source": "IA"}, "articles": []}'))
+    found = t.supplier.join(F.broadcast(t.nation), F.col("s_nationkey") == F.col("n_nationkey"))  # one row a nation
+    found = found.join(F.broadcast(t.region), F.col("n_regionkey") == F.col("r_regionkey")).select(
+        ids.document_id(type_, F.col("s_nationkey") + 2000, key).alias("document_id"),
+        type_.alias("type"),
+        F.concat("s_name", F.lit("\nRégion "), "r_name", F.lit("\n")).alias("ocr"),
+        F.when(key % 7 != 0, F.concat(F.lit("%PDF-"), "s_name")).alias("pdf"),
+        F.when(key % 10 == 0, '{"_metadata": {}, "articles": []}')
+        .when(key % 5 == 0, '{"_metadata": {"source": "OCR"}, "articles": []}').otherwise(graded).alias("json"),
+    )
+    for kind in ("ocr", "pdf", "json"):
+        files.write_files(found.withColumn("content", F.col(kind)), root, kind)
+    return root
+
+
+@query("artifact_texts", ctes(_SUPPLIERS) + "SELECT document_id, type, text FROM supplied")
+def artifact_texts(spark, path):
+    return files.read_texts(spark, _artifact_root(spark, path))
+
+
+@query(
+    "artifact_json",
+    ctes(_SUPPLIERS) + """SELECT document_id, type, true AS usable, json,
+  CAST(json->'_metadata'->>'confidence' AS DOUBLE) AS confidence, json->'_metadata'->>'source' AS source
+FROM supplied WHERE json NOT LIKE '{"_metadata": {}%'
+UNION ALL SELECT document_id, type, false, json, NULL, NULL FROM supplied WHERE json LIKE '{"_metadata": {}%'""",
+)
+def artifact_json(spark, path):
+    """Usable documents, and those in the quarantine."""
+    root = _artifact_root(spark, path)
+    good, bad = files.read_json(spark, root), files.unreadable_json(spark, root)
+    meta = F.col("doc._metadata")
+    good = good.select("document_id", "type", F.lit(True).alias("usable"), "json", meta["confidence"].cast("double").alias("confidence"), meta["source"].alias("source"))
+    return good.unionByName(bad.withColumn("usable", F.lit(False)), allowMissingColumns=True)
+
+
+@query(
+    "artifact_inventory",
+    ctes(_SUPPLIERS) + """SELECT document_id, kind, CAST(octet_length(encode(content)) AS BIGINT) AS length FROM (
+  SELECT document_id, 'ocr' AS kind, text AS content FROM supplied
+  UNION ALL SELECT document_id, 'pdf', payload FROM supplied UNION ALL SELECT document_id, 'json', json FROM supplied)""",
+)
+def artifact_inventory(spark, path):
+    """Files of zero bytes are among them."""
+    return files.read_inventory(spark, _artifact_root(spark, path))
+
+
+@query(
+    "artifact_payloads",
+    ctes(_SUPPLIERS) + "SELECT document_id, type, sha256(payload) AS sha256, CAST(octet_length(encode(payload)) AS BIGINT) AS length FROM supplied WHERE payload <> ''",
+)
+def artifact_payloads(spark, path):
+    """Raw bytes of the payloads that have any."""
+    found = files.read_payloads(spark, _artifact_root(spark, path))
+    return found.select("document_id", "type", F.sha2("content", 256).alias("sha256"), F.octet_length("content").cast("long").alias("length"))

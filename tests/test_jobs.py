@@ -32,11 +32,36 @@ def test_files(spark, tmp_path):
     assert [tuple(r) for r in files.read_texts(spark, root).collect()] == [("loi-2020-1", "loi", "ligne 1\nligne 2")]
     assert [r["document_id"] for r in files.read_json(spark, root).collect()] == ["loi-2020-1"]
     assert {r["document_id"] for r in files.unreadable_json(spark, root).collect()} == {"loi-2020-2", "decret-2020-3", "loi-2020-4", "loi-2020-5", "loi-2020-6", "loi-2020-7"}
-    kinds = {(r["document_id"], r["kind"]) for r in files.read_inventory(spark, root).collect()}
-    assert ("loi-2020-1", "pdf") in kinds and len(kinds) == 9
+    kinds = {tuple(r) for r in files.read_inventory(spark, root).collect()}
+    assert ("loi-2020-1", "pdf", 8) in kinds and len(kinds) == 9
+    assert {tuple(r) for r in files.read_inventory(spark, root, empty_files=False).collect()} == kinds
     assert bytes(files.read_payloads(spark, root).first()["content"]) == b"%PDF-1.4"
 
 
+def test_inventory_of_empty_files_and_folders(spark, tmp_path):
+    assert files.read_inventory(spark, f"{tmp_path}/none").collect() == []
+    root = f"{tmp_path}/with space"
+    write(f"{root}/pdfs/loi/loi-2020-1.pdf", "")
+    write(f"{root}/pdfs/loi/loi-2020-2.pdf", "%PDF")
+    write(f"{root}/pdfs/loi/loi-2020-3.txt", "of another kind")
+    write(f"{root}/pdfs/loi/.loi-2020-4.pdf", "unfinished")
+    write(f"{root}/pdfs/outside.pdf", "in no type's folder")
+    (tmp_path / "with space/ocr/decret").mkdir(parents=True)
+    got = {tuple(r) for r in files.read_inventory(spark, root).collect()}
+    assert got == {("loi-2020-1", "pdf", 0), ("loi-2020-2", "pdf", 4)}
+
+
+def test_files_written_by_tasks(spark, tmp_path):
+    root = str(tmp_path)
+    rows = [("loi-2020-1", "loi", "é\n"), ("loi-2020-2", "loi", None), ("../loi-2020-3", "loi", "out"), ("x-1-1", "x", "type"), (None, "loi", "no id"), ("decret-2020-4", "decret", "d")]
+    df = spark.createDataFrame(rows, "document_id string, type string, content string").repartition(3)
+    assert files.write_files(df, root, "ocr") == 3
+    assert files.write_files(df.where("document_id = 'loi-2020-1'").withColumn("content", F.lit("new")), root, "ocr") == 1
+    assert {tuple(r) for r in files.read_inventory(spark, root).collect()} == {("loi-2020-1", "ocr", 3), ("loi-2020-2", "ocr", 0), ("decret-2020-4", "ocr", 1)}
+    assert {tuple(r) for r in files.read_texts(spark, root).collect()} == {("loi-2020-1", "loi", "new"), ("decret-2020-4", "decret", "d")}
+    assert files.write_files(df.limit(0), root, "pdf") == 0
+
+
 def test_sinks(spark, tmp_path):
     docs = spark.createDataFrame(
         [("loi", "EXTRACTED", '{"a":1}'), ("loi", "FAILED", '{"b":1}'), ("decret", "EXTRACTED", " ")], "type string, status string, json string"
