@@ -34,7 +34,10 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents with 0.8 or more of their five-word runs in common, the one with the smallest id stays."""
+    """Of documents with 0.8 or more of their five-word runs in common, the one with the smallest id stays.
+
+    SimHash links are checked on the whole sets; a join of the sets adds those the fingerprints miss.
+    """
     _small_batches(spark)
     return similar.deduplicate(docs)
 

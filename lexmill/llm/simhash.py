@@ -48,11 +48,23 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
     for at in range(0, n, 65536):
         to = min(at + 65536, n)
         spans = zip(starts[at:to].tolist(), ends[at + width - 1 : to + width - 1].tolist(), strict=True)
-        hashes = np.frombuffer(b"".join([digest(joined[a:b], SEED) for a, b in spans]), np.uint8)
-        ones += np.unpackbits(hashes.reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+        ones += _ones(np.frombuffer(b"".join([digest(joined[a:b], SEED) for a, b in spans]), np.uint8))
     return int.from_bytes(np.packbits(ones * 2 > n).tobytes(), "big")
 
 
+def fingerprint_of(hashes: np.ndarray) -> int:
+    """64-bit SimHash of shingles given by their unsigned 64-bit hashes; 0 without any."""
+    ones = np.zeros(64, np.int64)
+    for at in range(0, len(hashes), 65536):
+        ones += _ones(hashes[at : at + 65536].astype(">u8").view(np.uint8))
+    return int.from_bytes(np.packbits(ones * 2 > len(hashes)).tobytes(), "big")
+
+
+def _ones(hashes: np.ndarray) -> np.ndarray:
+    """How many of the hashes, given as bytes, set each bit."""
+    return np.unpackbits(hashes.reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+
+
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
     """(id, fp) for every row; fp is the fingerprint as a signed 64-bit number."""
     id_type = docs.schema[id_col].dataType.simpleString()

@@ -1,4 +1,8 @@
-"""Groups of documents whose sets of word runs are similar, by an exact similarity join.
+"""Groups of documents whose sets of word runs are similar: SimHash links, checked, completed by an exact join.
+
+The SimHash of a set of runs is searched by the index of `simhash`; the links it finds count if the
+whole sets are similar. Sets with a similarity near the limit differ in more bits than an index can
+search, so a similarity join adds every pair that is not in one component by then.
 
 Two sets with a Jaccard similarity of `num / den` or more share one of their first elements: in any
 order that holds for all sets, the first n - ceil(num * n / den) + 1 of n. Only these are shuffled,
@@ -25,13 +29,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.llm.components import connected_components
-from lexmill.llm.simhash import SEED
+from lexmill.llm.simhash import SEED, fingerprint_of, links
 from lexmill.llm.texts import by_bytes, tidy
 from lexmill.operators.skew import lookup_join, stored_lookup
 from lexmill.session import materialize, materialize_measured
 
 SHINGLE = 5
 SIMILAR = (4, 5)
+MAX_BITS = 3  # of two fingerprints that the index links
 SAMPLE = 16  # one in so many documents is counted for the order
 OFTEN = 4  # documents of the sample
 MOST_OFTEN = 100_000  # runs that travel with the tasks
@@ -89,8 +94,8 @@ def frequent_runs(docs: DataFrame, text_col: str, shingle: int) -> tuple[np.ndar
 
 
 def first_runs(docs: DataFrame, id_col: str, text_col: str, shingle: int, similar: tuple[int, int], hot: int) -> DataFrame:
-    """(id, text_key, code, n, sketch, first, hot_from) for every row: its set's number, size and sketch, the first
-    runs in the common order, and the position from which on they are in `hot` or more documents of the sample."""
+    """(id, text_key, code, n, fp, sketch, first, hot_from) for every row: its set's number, size, SimHash and sketch, the
+    first runs in the common order, and the position from which on they are in `hot` or more documents of the sample."""
     often, count = frequent_runs(docs, text_col, shingle)
     num, den = similar
 
@@ -111,15 +116,34 @@ def first_runs(docs: DataFrame, id_col: str, text_col: str, shingle: int, simila
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0), batch.column(1), pa.array([code_of(s) for s in sets], pa.int64()),
-                    pa.array([len(s) for s in sets], pa.int32()), pa.array([sketch(s) for s in sets], pa.binary()),
+                    pa.array([len(s) for s in sets], pa.int32()),
+                    pa.array(np.array([fingerprint_of(s) for s in sets], np.uint64).view(np.int64)),
+                    pa.array([sketch(s) for s in sets], pa.binary()),
                     pa.array([h for h, _ in heads], pa.list_(pa.int64())), pa.array([h for _, h in heads], pa.int32()),
                 ],
-                ["id", "text_key", "code", "n", "sketch", "first", "hot_from"],
+                ["id", "text_key", "code", "n", "fp", "sketch", "first", "hot_from"],
             )
 
     id_type = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_key"), F.col(text_col))
-    return rows.mapInArrow(tidy(run), f"id {id_type}, text_key long, code long, n int, sketch binary, first array<long>, hot_from int")
+    return rows.mapInArrow(tidy(run), f"id {id_type}, text_key long, code long, n int, fp long, sketch binary, first array<long>, hot_from int")
+
+
+def index_pairs(codes: DataFrame, max_bits: int) -> DataFrame:
+    """Pairs (a, b) of sets whose fingerprints are equal or linked by the SimHash index."""
+    heads = materialize(codes.groupBy("fp").agg(F.min("code").alias("head")), "fingerprints")
+    equal = codes.join(heads, "fp").where("code != head").select(F.col("head").alias("a"), F.col("code").alias("b"))
+    found = links(heads.select(F.col("fp").alias("code")), max_bits)
+    found = found.join(heads.select(F.col("fp").alias("a"), F.col("head").alias("x")), "a")
+    found = found.join(heads.select(F.col("fp").alias("b"), F.col("head").alias("y")), "b")
+    return equal.unionByName(found.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")))
+
+
+def apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pairs (a, b) that are not in one component (v, label) yet."""
+    found = pairs.join(labels.select(F.col("v").alias("a"), F.col("label").alias("x")), "a", "left")
+    found = found.join(labels.select(F.col("v").alias("b"), F.col("label").alias("y")), "b", "left")
+    return found.where(F.coalesce("x", "a") != F.coalesce("y", "b")).select("a", "b")
 
 
 def possible(n: np.ndarray, at: np.ndarray, a: np.ndarray, b: np.ndarray, similar: tuple[int, int]) -> np.ndarray:
@@ -129,14 +153,17 @@ def possible(n: np.ndarray, at: np.ndarray, a: np.ndarray, b: np.ndarray, simila
 
 
 def by_group(rows: DataFrame, keys: list[str], order: list[str], work: Callable, schema: str) -> DataFrame:
-    """`work` over whole groups of equal `keys`: arrays of keys and `order`, sorted by them, of one or more groups."""
+    """`work` over whole groups of equal `keys`: arrays of keys and `order`, sorted by them, of one or more groups.
+
+    Binary columns have one width and become rows of 64-bit numbers.
+    """
     tasks = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
     dealt = rows.select(*keys, *order).repartition(tasks, *keys).sortWithinPartitions(*keys, *order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: list[list[np.ndarray]] = []
         for batch in batches:
-            here = [c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns]
+            here = [numbers(c) for c in batch.columns]
             if not len(here[0]):
                 continue
             begins = starts(here[: len(keys)])
@@ -151,6 +178,11 @@ def by_group(rows: DataFrame, keys: list[str], order: list[str], work: Callable,
         if rest:
             yield from work(*joined(rest))
 
+    def numbers(column: pa.Array) -> np.ndarray:
+        if pa.types.is_binary(column.type):
+            return np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(len(column), -1)
+        return column.to_numpy(zero_copy_only=False).astype(np.int64)
+
     def joined(parts: list[list[np.ndarray]]) -> list[np.ndarray]:
         return [np.concatenate(c) for c in zip(*parts, strict=True)]
 
@@ -226,11 +258,12 @@ def dealt_members(members: DataFrame, similar: tuple[int, int], block: int) -> D
     """Members of long lists by run, cell of set sizes and pair of blocks (s, l), as the smaller or the larger set of a pair.
 
     `most` is the largest set that can be similar to a member if this run is the first they share.
-    Cells in which no two members can be a pair that still matters are left out.
+    Cells in which no two members can be a pair that still matters are left out. A sketch travels along if given.
     """
     num, den = similar
-    rows = members.distinct().withColumn("most", F.expr(f"({num + den}L * (n - at)) div {num} - n"))
-    rows = rows.select("run", "code", F.col("n").cast("long").alias("n"), "label", "most")
+    also = ["sketch"] * ("sketch" in members.columns)
+    rows = members.withColumn("most", F.expr(f"({num + den}L * (n - at)) div {num} - n"))
+    rows = rows.select("run", "code", F.col("n").cast("long").alias("n"), "label", "most", *also)
     last = size_class(F.expr(f"(n * {den}) div {num}"), similar)
     small = rows.where("most >= n").withColumn("cell", F.explode(F.sequence(size_class(F.col("n"), similar), last)))
     large = rows.where(f"most * {den} >= n * {num}").withColumn("cell", size_class(F.col("n"), similar))
@@ -250,18 +283,18 @@ def dealt_members(members: DataFrame, similar: tuple[int, int], block: int) -> D
         return F.explode(F.when(mine, own).otherwise(F.sequence(F.lit(0).cast("long"), F.col(count) - 1)))
 
     found = found.withColumn("s", block_of(F.col("small"), "of_s")).withColumn("l", block_of(~F.col("small"), "of_l"))
-    return found.select("run", "cell", "s", "l", "n", "code", "label", "most", "small")
+    return found.select("run", "cell", "s", "l", "n", "code", "label", "most", "small", *also)
 
 
 def other_pairs(members: DataFrame, similar: tuple[int, int], block: int = BLOCK) -> DataFrame:
-    """Pairs (a, b) of long lists whose sets can be similar and that have different labels."""
+    """Pairs (a, b) of long lists whose sets can be similar, by size and any sketch, and that have different labels."""
     num, den = similar
 
     def batch_of(pairs: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
         x, y = (np.concatenate([p[k] for p in pairs]) for k in (0, 1))
         return pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
 
-    def work(run, cell, s, l, n, code, label, most, small):
+    def work(run, cell, s, l, n, code, label, most, small, bits=None):
         begins = starts([run, cell, s, l])
         pairs, held = [], 0
         for first, last in zip(begins.tolist(), [*begins[1:].tolist(), len(run)], strict=True):
@@ -273,6 +306,9 @@ def other_pairs(members: DataFrame, similar: tuple[int, int], block: int = BLOCK
             for i, at, end in zip(right.tolist(), low.tolist(), high.tolist(), strict=True):
                 j = left[at:end]
                 j = j[(label[j] != label[i]) & (most[j] >= n[i]) & ((n[j] < n[i]) | (code[j] < code[i]))]
+                if bits is not None:
+                    differ = np.bitwise_count(bits[j] ^ bits[i]).sum(axis=1, dtype=np.int64)
+                    j = j[(num + den) * differ <= (den - num) * (n[j] + n[i])]
                 if len(j):
                     pairs.append((code[j], np.full(len(j), code[i])))
                     held += len(j)
@@ -283,7 +319,8 @@ def other_pairs(members: DataFrame, similar: tuple[int, int], block: int = BLOCK
             yield batch_of(pairs)
 
     dealt = dealt_members(members, similar, block)
-    return by_group(dealt, ["run", "cell", "s", "l"], ["n", "code", "label", "most", "small"], work, "a long, b long")
+    order = dealt.columns[4:]
+    return by_group(dealt, dealt.columns[:4], order, work, "a long, b long")
 
 
 def plausible(pairs: DataFrame, codes: DataFrame, similar: tuple[int, int]) -> DataFrame:
@@ -345,17 +382,19 @@ def similar_documents(
     long_list: int = LONG_LIST,
     hot: int = HOT,
     block: int = BLOCK,
+    max_bits: int = MAX_BITS,
 ) -> DataFrame:
     """One row per row of `docs`: doc_id and component_id, the smallest id reachable over pairs of texts
     whose sets of `shingle`-word runs have a Jaccard similarity of at least `similar` (num, den).
 
     Words are those of `simhash.fingerprint`; a shorter text is one run. All such pairs count, however
     many there are. Null ids count only where a component has no other. Texts without words are equal.
-    `long_list`, `hot` and `block` change how the work is dealt, never the result.
+    `max_bits` is what the index searches; it, `long_list`, `hot` and `block` change how the work is dealt,
+    never the result.
     """
     rows = materialize(first_runs(docs, id_col, text_col, shingle, similar, hot), "first-runs")
     codes = rows.groupBy("code").agg(
-        F.min("id").alias("least"), F.min("text_key").alias("text_key"), F.min("n").alias("n"), F.min("sketch").alias("sketch")
+        F.min("id").alias("least"), F.min("text_key").alias("text_key"), F.min("n").alias("n"), F.min("fp").alias("fp"), F.min("sketch").alias("sketch")
     )
     codes = materialize(codes, "codes")
     lists = rows.select("code", "n", "hot_from", F.posexplode("first").alias("at", "run"))
@@ -364,19 +403,26 @@ def similar_documents(
     members = found.where("b is null").select(F.col("a").alias("code"), "run", "n", "at")
     members = members.unionByName(everywhere.select("code", "run", "n", "at"))
 
-    def linked_of(pairs: DataFrame) -> DataFrame:
-        pairs = materialize(plausible(pairs.distinct(), codes, similar), "pairs")
+    def similar_of(pairs: DataFrame) -> DataFrame:
         return materialize(checked(pairs, whole_sets(docs, text_col, pairs, codes, shingle), similar), "similar")
 
-    near_centres = centre_pairs(everywhere, similar)
-    linked = linked_of(found.where("b is not null").select("a", "b").unionByName(near_centres))
+    def linked_of(pairs: DataFrame) -> DataFrame:
+        return similar_of(materialize(plausible(pairs.distinct(), codes, similar), "pairs"))
+
+    linked = linked_of(index_pairs(codes, max_bits))
+    more = found.where(F.col("b").isNotNull()).select("a", "b").unionByName(centre_pairs(everywhere, similar))
+    if not linked.isEmpty():
+        more = apart(more, connected_components(linked))
+    linked = linked.unionByName(linked_of(more))
     labels = None if linked.isEmpty() else connected_components(linked)
     if not members.isEmpty():
         own = F.col("code").alias("label")
+        members = members.distinct()
         if labels is not None:
             members = members.join(labels.withColumnRenamed("v", "code"), "code", "left")
             own = F.coalesce("label", "code").alias("label")
-        more = linked_of(other_pairs(members.select("run", "code", "n", "at", own), similar, block))
+        members = members.select("run", "code", "n", "at", own).join(codes.select("code", "sketch"), "code")
+        more = similar_of(materialize(other_pairs(members, similar, block).distinct(), "pairs"))
         if not more.isEmpty():
             labels = connected_components(linked.unionByName(more))
     if labels is None:

@@ -110,3 +110,31 @@ def test_pipeline_stage_keeps_no_near_copy(spark, tmp_path):
 def test_nothing(spark):
     df = spark.createDataFrame([], SCHEMA)
     assert similar.similar_documents(df).count() == 0 and similar.deduplicate(df).count() == 0
+
+
+def test_members_meet_with_their_sketches(spark):
+    """A long list of sets that only share its run puts out no pair, but keeps the similar ones."""
+    r = random.Random(3)
+    texts = [" ".join(r.choices([f"w{i}" for i in range(5000)], k=40)) for _ in range(200)]
+    texts += [t + " end" for t in texts[:5]]
+    found = [similar.runs(t) for t in texts]
+    rows = [(1, i, len(f), 0, i, similar.sketch(f)) for i, f in enumerate(found)]
+    members = spark.createDataFrame(rows, "run long, code long, n int, at int, label long, sketch binary")
+    assert similar.other_pairs(members.drop("sketch"), (4, 5)).count() > 10_000
+    assert sorted(map(tuple, similar.other_pairs(members, (4, 5)).collect())) == [(i, 200 + i) for i in range(5)]
+
+
+def test_index_pairs_are_those_of_the_fingerprints(spark):
+    """The SimHash index finds every pair within its limit, by way of others, and sets with equal fingerprints."""
+    found = [similar.runs(t) for _, t in near_rows(6)]
+    codes = {similar.code_of(f): simhash.fingerprint_of(f) for f in found}
+    assert all(simhash.fingerprint_of(similar.runs(t)) == simhash.fingerprint(t, 5) for t in ("a b c d e f g", "x y", ""))
+    df = spark.createDataFrame([(c, fp - (1 << 64) * (fp >> 63)) for c, fp in codes.items()], "code long, fp long")
+    got = dict.fromkeys(map(tuple, similar.index_pairs(df, 3).collect()))
+    label = {c: c for c in codes}
+    wanted = dict(label)
+    for labels, links in ((label, got), (wanted, [(a, b) for a in codes for b in codes if a < b and (codes[a] ^ codes[b]).bit_count() <= 3])):
+        for _ in codes:
+            for a, b in links:
+                labels[a] = labels[b] = min(labels[a], labels[b])
+    assert got and label == wanted
