@@ -26,9 +26,9 @@ FROM documents LEFT JOIN s USING (doc_id)""",
 )
 def unknown_rate(spark, path):
     t = Tables(spark, path)
-    stats = words.word_quality(t.documents, t.dictionary, "doc_id")
+    stats = words.word_quality(t.documents, t.dictionary, "doc_id", with_words=False)
     return stats.select(
-        "doc_id", "n_tokens", "n_unknown", F.size("unknown_words").alias("n_unknown_words"),
+        "doc_id", "n_tokens", "n_unknown", "n_unknown_words",
         F.round("unknown_rate", 6).alias("unknown_rate"),
     )
 
@@ -103,7 +103,7 @@ SELECT doc_id, round(CAST(greatest(0.0, 1.0 - coalesce(r, 0.0)) AS DOUBLE), 6) A
 )
 def document_dictionary_score(spark, path):
     t = Tables(spark, path)
-    stats = words.word_quality(t.documents, t.dictionary, "doc_id", variant="qa")
+    stats = words.word_quality(t.documents, t.dictionary, "doc_id", variant="qa", with_words=False)
     return stats.select(
         "doc_id", F.round(F.greatest(F.lit(0.0), 1 - F.col("unknown_rate")), 6).alias("dictionary_score")
     )

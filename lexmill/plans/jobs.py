@@ -14,6 +14,7 @@ from lexmill.functions import ids, jsondoc, scoring, text
 from lexmill.functions.rowwise import once
 from lexmill.operators import audit, consolidate, patterns, select, upsert, words
 from lexmill.operators import enumerate as cursors_
+from lexmill.operators.skew import Lookup
 from lexmill.plans import cascade
 from lexmill.session import hashed, materialize
 
@@ -189,8 +190,14 @@ class ExtractOptions:
     force_ids: DataFrame | None = field(default=None, compare=False)
 
 
-def extract_documents(texts: DataFrame, dictionary: DataFrame, as_of: str, options: ExtractOptions = ExtractOptions()) -> DataFrame:
-    """(document_id, type, year, number, json, confidence, source, n_articles, unknown_words) of each text.
+def extract_documents(
+    texts: DataFrame,
+    dictionary: DataFrame | Lookup,
+    as_of: str,
+    options: ExtractOptions = ExtractOptions(),
+    with_words: bool = True,
+) -> DataFrame:
+    """(document_id, type, year, number, json, confidence, source, n_articles[, unknown_words]) of each text.
 
     `texts` has document_id, type, year, number, text. Texts are hashed by document once; the word
     statistics and the articles both start from that layout and meet without moving again.
@@ -204,8 +211,8 @@ def extract_documents(texts: DataFrame, dictionary: DataFrame, as_of: str, optio
     texts = hashed(texts, "document_id")
     # The other columns travel as grouping columns, which keeps both sides of the join on one exchange.
     stats = words.word_quality(
-        texts, dictionary, "document_id", ["type", "year", "number"], variant=options.variant
-    ).select("document_id", "unknown_rate", "unknown_words")
+        texts, dictionary, "document_id", ["type", "year", "number"], variant=options.variant, with_words=with_words
+    ).select("document_id", "unknown_rate", "n_unknown_words", *["unknown_words"] * with_words)
     docs = text.with_articles(texts, stop_at_footer=options.stop_at_footer)
     signed = F.col("__signed")
     indexes = F.transform("articles", lambda a: a["index"])
@@ -213,7 +220,7 @@ def extract_documents(texts: DataFrame, dictionary: DataFrame, as_of: str, optio
         F.size("articles"),
         scoring.sequence_score(indexes, options.variant),
         F.length("text"),
-        scoring.unknown_penalty(F.col("unknown_rate"), F.size("unknown_words"), options.variant),
+        scoring.unknown_penalty(F.col("unknown_rate"), F.col("n_unknown_words"), options.variant),
         text.legal_term_count(body, variant=options.variant),
     )
     # The narrow side becomes the hash table, so whole texts are never sorted.
@@ -232,7 +239,7 @@ def extract_documents(texts: DataFrame, dictionary: DataFrame, as_of: str, optio
         "confidence",
         F.lit("OCR").alias("source"),
         F.size("articles").alias("n_articles"),
-        "unknown_words",
+        *["unknown_words"] * with_words,
     )
 
 
@@ -262,10 +269,10 @@ def run_extract(
     )
     # Extraction and choice are one job: its documents are hashed by id, the alternatives meet them there,
     # and what is stored is the JSON that won, once.
-    found = extract_documents(input_, dictionary, as_of, options)
-    extracted = materialize(
-        cascade.choose(found, corrected_text, corrected_json, full, keep=["n_articles", "unknown_words"]), "extractions"
-    )
+    # Lists of unknown words are not part of it: they would sort all words of the texts.
+    dictionary = words.stored_dictionary(dictionary)
+    found = extract_documents(input_, dictionary, as_of, options, with_words=False)
+    extracted = materialize(cascade.choose(found, corrected_text, corrected_json, full, keep=["n_articles"]), "extractions")
     accepted = extracted.where("accepted and n_articles > 0").select("document_id", "json", "confidence", "source")
     done = accepted.select("document_id", F.lit("EXTRACTED").alias("__next"))
     failed = (
@@ -274,7 +281,8 @@ def run_extract(
         .select("document_id", F.lit("FAILED").alias("__next"))
     )
     moved = known.join(done.unionByName(failed), "document_id", "left")
-    seen = extracted.select(F.explode("unknown_words").alias("word"))
+    read = input_ if options.strict else patterns.correct(input_, options.corrections)
+    seen = words.unknown_words(read, dictionary, "document_id", options.variant) if dictionary.size else known_words.limit(0)
     return {
         "extractions": upsert.keep_better(extractions, accepted).drop("change"),
         "registry": moved.withColumn("status", F.coalesce("__next", "status")).select(*registry.columns),

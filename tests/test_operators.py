@@ -179,3 +179,15 @@ def test_empty_dictionary_means_rate_zero(spark):
     some = spark.createDataFrame([("des",), ("mots",)], "word string")
     got = {r["id"]: r["unknown_rate"] for r in words.word_quality(texts, some, "id").collect()}
     assert got["d"] == pytest.approx(1 / 3)
+
+
+def test_unknown_words_are_counted_without_their_list(spark):
+    """The same numbers with and without the list; no list and no sets of words in the shuffle without it."""
+    texts = spark.createDataFrame([(1, "les mots mots Mots inconnus les"), (2, None), (3, "a b !"), (4, "connu connu")], "id int, text string")
+    some = spark.createDataFrame([("les",), ("connu",)], "word string")
+    short = words.word_quality(texts, some, "id", with_words=False)
+    assert "collect" not in short._jdf.queryExecution().executedPlan().toString()
+    got = {r["id"]: (r["n_tokens"], r["n_unknown"], r["n_unknown_words"]) for r in short.collect()}
+    assert got == {1: (6, 4, 2), 2: (0, 0, 0), 3: (0, 0, 0), 4: (2, 0, 0)}
+    whole = {r["id"]: (r["n_unknown_words"], sorted(r["unknown_words"])) for r in words.word_quality(texts, some, "id").collect()}
+    assert whole == {1: (2, ["inconnus", "mots"]), 2: (0, []), 3: (0, []), 4: (0, [])}
