@@ -16,7 +16,7 @@ import re
 import zlib
 from array import array
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 from unicodedata import is_normalized
 
 import numpy as np
@@ -73,15 +73,19 @@ class WordEncoder(dict):
     def add(self, words: set[bytes]) -> None:
         """Learn the words that are not known yet."""
         new = words.difference(self)
-        if self.size > CACHED_BYTES:
+        if self.size > CACHED_BYTES:  # the words of this slice stay, the common ones among them
+            stay = {w: self[w] for w in words.intersection(self)}
             self.clear()
-            self.size, new = 0, words
-        marked = {w: m.groups() for w in new if w[-1] in MARKS and (m := MARKS_BEHIND.fullmatch(w))}
-        plain = {p for pair in marked.values() for p in pair}.union(new.difference(marked)).difference(self)
-        rest = []
+            self.update(stay)
+            self.size = self.bytes_of(stay)
+        match = MARKS_BEHIND.fullmatch
+        marked = {w: m.groups() for w in new if w[-1] in MARKS and (m := match(w))}
+        plain = {p for pair in marked.values() for p in pair}.difference(self)
+        plain.update(new.difference(marked) if marked else new)
+        rest, merge = [], self.merge
         for p in plain:
             if p.isalpha() and p.islower():  # bytes: a-z
-                self[p] = array("I", [t.id for t in self.merge(p.decode())]).tobytes()
+                self[p] = array("I", [t.id for t in merge(p.decode())]).tobytes()
                 continue
             text = p.decode("utf-8", "replace")
             if text.isalpha() and text == text.lower() and is_normalized("NFC", text):
@@ -95,7 +99,10 @@ class WordEncoder(dict):
                 self[p] = array("I", e.ids).tobytes()
         for w, (head, marks) in marked.items():
             self[w] = self[head] + self[marks]
-        self.size += sum(len(w) + len(self[w]) + ENTRY_BYTES for w in plain.union(marked))
+        self.size += self.bytes_of(plain) + self.bytes_of(marked)
+
+    def bytes_of(self, words: Collection[bytes]) -> int:
+        return sum(map(len, words)) + sum(map(len, map(self.__getitem__, words))) + ENTRY_BYTES * len(words)
 
     def ids(self, words: list[bytes]) -> bytes:
         return b"".join(map(self.__getitem__, words))

@@ -95,3 +95,19 @@ def test_sequences_hold_the_ids_in_order(spark):
 
 def test_empty_table(spark):
     assert packing.pack(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_known_words_of_a_slice_stay_when_memory_is_full(monkeypatch):
+    """Beyond the limit only words that the slice does not have are forgotten, and ids do not change."""
+    monkeypatch.setattr(packing, "CACHED_BYTES", 1)
+    tokenizer = packing._tokenizer(packing.TOKENIZER)
+    known = packing.WordEncoder(tokenizer)
+    known.add({b"nation", b"shall", b"gone!"})
+    learned = []
+    known.merge = lambda text: learned.append(text) or tokenizer.model.tokenize(text)
+    known.add({b"nation", b"shall", b"other", b"more..."})
+    assert sorted(learned) == ["more", "other"] and b"gone!" not in known
+    for words in ([b"nation", b"shall"], [b"other", b"more..."]):
+        want = tokenizer.encode(b" ".join(words).decode(), add_special_tokens=False).ids
+        assert np.frombuffer(known.ids(words), np.uint32).tolist() == want
+    assert known.size == known.bytes_of(known)
