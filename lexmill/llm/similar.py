@@ -14,7 +14,8 @@ has it: two sets differ in at least as many runs as bits, so most pairs are turn
 In a long list every member is first paired with a few fixed members. Pairs that are in one
 component by then cannot change the result, all others in the list are checked too: its members are
 dealt over cells by the size of their sets, since similar sets are of similar size, and a cell with
-many members over blocks. A member that can have no similar set with this run as the first shared one
+many members over blocks. Each member is checked with the closest of its block first, by their sketches; what is
+in one component then need not meet any more. A member that can have no similar set with this run as the first shared one
 is left out before. Runs that very many documents of the sample have make no list in one task at all.
 """
 
@@ -28,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.llm.components import connected_components
+from lexmill.llm.components import connected_components, joined_components
 from lexmill.llm.simhash import SEED, fingerprint_of, links
 from lexmill.llm.texts import by_bytes, tidy
 from lexmill.operators.skew import lookup_join, stored_lookup
@@ -44,6 +45,7 @@ HOT = 64  # documents of the sample from which on a run makes no list in one tas
 LONG_LIST = 64
 CENTRES = 3
 BLOCK = 8192  # members of a cell that are compared with as many others in one task
+CLOSEST = 2  # members of a block that each is checked with before all others
 PAIRS = 1 << 18  # pairs that a task puts out at once
 BROADCAST_BYTES = 64 << 20
 SKETCH_BITS = 1024
@@ -286,8 +288,11 @@ def dealt_members(members: DataFrame, similar: tuple[int, int], block: int) -> D
     return found.select("run", "cell", "s", "l", "n", "code", "label", "most", "small", *also)
 
 
-def other_pairs(members: DataFrame, similar: tuple[int, int], block: int = BLOCK) -> DataFrame:
-    """Pairs (a, b) of long lists whose sets can be similar, by size and any sketch, and that have different labels."""
+def other_pairs(members: DataFrame, similar: tuple[int, int], block: int = BLOCK, closest: int | None = None) -> DataFrame:
+    """Pairs (a, b) of long lists whose sets can be similar, by size and any sketch, and that have different labels.
+
+    With `closest`, each set is paired with only so many others of a block, those whose sketches differ least.
+    """
     num, den = similar
 
     def batch_of(pairs: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
@@ -308,7 +313,10 @@ def other_pairs(members: DataFrame, similar: tuple[int, int], block: int = BLOCK
                 j = j[(label[j] != label[i]) & (most[j] >= n[i]) & ((n[j] < n[i]) | (code[j] < code[i]))]
                 if bits is not None:
                     differ = np.bitwise_count(bits[j] ^ bits[i]).sum(axis=1, dtype=np.int64)
-                    j = j[(num + den) * differ <= (den - num) * (n[j] + n[i])]
+                    near = (num + den) * differ <= (den - num) * (n[j] + n[i])
+                    j, differ = j[near], differ[near]
+                    if closest is not None and len(j) > closest:
+                        j = j[np.argpartition(differ, closest - 1)[:closest]]
                 if len(j):
                     pairs.append((code[j], np.full(len(j), code[i])))
                     held += len(j)
@@ -407,24 +415,31 @@ def similar_documents(
         return materialize(checked(pairs, whole_sets(docs, text_col, pairs, codes, shingle), similar), "similar")
 
     def linked_of(pairs: DataFrame) -> DataFrame:
-        return similar_of(materialize(plausible(pairs.distinct(), codes, similar), "pairs"))
+        return similar_of(materialize(plausible(pairs, codes, similar), "pairs"))
 
-    linked = linked_of(index_pairs(codes, max_bits))
-    more = found.where(F.col("b").isNotNull()).select("a", "b").unionByName(centre_pairs(everywhere, similar))
-    if not linked.isEmpty():
-        more = apart(more, connected_components(linked))
-    linked = linked.unionByName(linked_of(more))
-    labels = None if linked.isEmpty() else connected_components(linked)
-    if not members.isEmpty():
+    def joined(labels: DataFrame | None, linked: DataFrame) -> DataFrame | None:
+        if linked.isEmpty():
+            return labels
+        return connected_components(linked) if labels is None else joined_components(labels, linked)
+
+    def others(labels: DataFrame | None, closest: int | None = None) -> DataFrame:
         own = F.col("code").alias("label")
-        members = members.distinct()
+        rows = members
         if labels is not None:
-            members = members.join(labels.withColumnRenamed("v", "code"), "code", "left")
+            rows = rows.join(labels.withColumnRenamed("v", "code"), "code", "left")
             own = F.coalesce("label", "code").alias("label")
-        members = members.select("run", "code", "n", "at", own).join(codes.select("code", "sketch"), "code")
-        more = similar_of(materialize(other_pairs(members, similar, block).distinct(), "pairs"))
-        if not more.isEmpty():
-            labels = connected_components(linked.unionByName(more))
+        rows = rows.select("run", "code", "n", "at", own, "sketch")
+        return similar_of(materialize(other_pairs(rows, similar, block, closest).distinct(), "pairs"))
+
+    labels = joined(None, linked_of(index_pairs(codes, max_bits).distinct()))
+    more = found.where(F.col("b").isNotNull()).select("a", "b").unionByName(centre_pairs(everywhere, similar))
+    more = materialize(more.distinct(), "more-pairs")
+    labels = joined(labels, linked_of(more if labels is None else apart(more, labels)))
+    if not members.isEmpty():
+        members = materialize(members.distinct().join(codes.select("code", "sketch"), "code"), "list-members")
+        # Near copies find each other first, so that a group of them is one component before all its pairs would meet.
+        labels = joined(labels, others(labels, CLOSEST))
+        labels = joined(labels, others(labels))
     if labels is None:
         heads = codes.select("code", F.col("least").alias("component_id"))
     else:

@@ -6,7 +6,7 @@ import pytest
 import xxhash
 
 from lexmill.llm import simhash
-from lexmill.llm.components import connected_components
+from lexmill.llm.components import connected_components, joined_components
 
 SCHEMA = "doc_id long, text string, fp string, id int, code int, label string"
 
@@ -132,3 +132,12 @@ def test_rows_that_stay(spark):
 def test_empty_table(spark):
     df = spark.createDataFrame([], SCHEMA)
     assert simhash.near_duplicates(df).count() == 0 and simhash.deduplicate(df).count() == 0
+
+
+def test_components_joined_by_further_edges(spark):
+    """Old components and vertices that are new, in any order; only edges between components count."""
+    first = [(5, 6), (6, 7), (20, 21), (30, 31), (31, 32)]
+    more = [(7, 5), (21, 32), (40, 41), (41, 2), (32, 50)]
+    labels = connected_components(spark.createDataFrame(first, "a long, b long"))
+    got = {r["v"]: r["label"] for r in joined_components(labels, spark.createDataFrame(more, "a long, b long")).collect()}
+    assert got == {5: 5, 6: 5, 7: 5, 20: 20, 21: 20, 30: 20, 31: 20, 32: 20, 50: 20, 40: 2, 41: 2, 2: 2}

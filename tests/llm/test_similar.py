@@ -138,3 +138,27 @@ def test_index_pairs_are_those_of_the_fingerprints(spark):
             for a, b in links:
                 labels[a] = labels[b] = min(labels[a], labels[b])
     assert got and label == wanted
+
+
+def test_a_group_of_near_copies_is_joined_without_all_its_pairs(spark, monkeypatch):
+    """Twice the group gives about twice the pairs that are checked, not four times, and the same component."""
+    pairs_in = []
+    plain = similar.checked
+    monkeypatch.setattr(similar, "checked", lambda pairs, *rest: pairs_in.append(pairs.count()) or plain(pairs, *rest))
+
+    def pairs_of(size):
+        r = random.Random(size)
+        base = r.choices([f"w{i}" for i in range(3000)], k=200)
+        rows = []
+        for i in range(size):
+            copy = list(base)
+            for place in r.sample(range(200), r.randint(2, 4)):
+                copy[place] = f"own{i}x{place}"
+            rows.append((i, " ".join(copy)))
+        pairs_in.clear()
+        df = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], SCHEMA)
+        got = {r["doc_id"]: r["component_id"] for r in similar.similar_documents(df, long_list=8, hot=8).collect()}
+        assert got == plain_heads(sets_of(rows))
+        return sum(pairs_in)
+
+    assert pairs_of(400) < 3 * pairs_of(200)
