@@ -100,6 +100,9 @@ SPACES, BLANK_LINES = r"[ \t]{2,}", r"\n{3,}"
 PIPE_IN_WORD = r"[a-zA-Zàâäéèêëïîôùûüÿæœç]+\|[a-zA-Zàâäéèêëïîôùûüÿæœç]+"
 ARTEFACT = r"[a-zA-Zàâäéèêëïîôùûüÿæœç]*[€îïË][a-zA-Zàâäéèêëïîôùûüÿæœç]+"
 SUSPECT_WORD = r"[a-zàâäéèêëïôùûüÿæœç]*[|€][a-zàâäéèêëïôùûüÿæœç]+"
+# Found in the same texts as the two before, without a walk along every word.
+PIPE_SEEN = r"[a-zA-Zàâäéèêëïîôùûüÿæœç]\|[a-zA-Zàâäéèêëïîôùûüÿæœç]"
+SUSPECT_SEEN = r"[|€][a-zàâäéèêëïôùûüÿæœç]"
 DEFECTS = {
     "article_misread_c": "Articlc",
     "article_misread_l": "Arlicle",
@@ -214,12 +217,16 @@ def french_date(text: Column, anchor_to_footer: bool = False) -> Column:
     """ISO text of the first French date in the text (or after the footer); null if impossible."""
     pattern = r"(?s)Fait\s+[aàâ].*?" + DATE if anchor_to_footer else DATE
     months = F.create_map(*[F.lit(x) for kv in MONTHS.items() for x in kv])
-    found = F.regexp_extract(text, pattern, 0)  # the parts are then read from the short match
-    day = F.regexp_extract(found, DATE, 1)
-    month = months[F.regexp_extract(found, DATE, 3)]
-    year = F.regexp_extract(found, DATE, 4)
-    iso = F.concat_ws("-", year, F.lpad(month.cast("string"), 2, "0"), F.lpad(day, 2, "0"))
-    return F.when(day != "", F.date_format(F.try_to_date(iso, "yyyy-MM-dd"), "yyyy-MM-dd"))
+
+    def iso_of(found: Column) -> Column:
+        day = F.regexp_extract(found, DATE, 1)
+        month = months[F.regexp_extract(found, DATE, 3)]
+        year = F.regexp_extract(found, DATE, 4)
+        iso = F.concat_ws("-", year, F.lpad(month.cast("string"), 2, "0"), F.lpad(day, 2, "0"))
+        return F.when(day != "", F.date_format(F.try_to_date(iso, "yyyy-MM-dd"), "yyyy-MM-dd"))
+
+    # The text is searched once; an array of one keeps the short match from being searched for again for each part.
+    return F.get(F.transform(F.array(F.regexp_extract(text, pattern, 0)), iso_of), F.lit(0))
 
 
 def french_date_parts(day: Column, month: Column, year: Column) -> Column:
@@ -297,8 +304,8 @@ def defect_flags(text: Column, extracted_date: Column | None = None) -> Column:
     probes = [F.when(text.contains(probe), F.lit(name)) for name, probe in DEFECTS.items()]
     if extracted_date is not None:
         probes.append(F.when(text.rlike(DATE) & extracted_date.isNull(), F.lit("date_not_extracted")))
-    probes.append(F.when(text.rlike(PIPE_IN_WORD), F.lit("pipe_in_word")))
-    probes.append(F.when(text.rlike(SUSPECT_WORD), F.lit("suspect_word")))
+    probes.append(F.when(text.rlike(PIPE_SEEN), F.lit("pipe_in_word")))
+    probes.append(F.when(text.rlike(SUSPECT_SEEN), F.lit("suspect_word")))
     return F.array_compact(F.array(*probes))
 
 

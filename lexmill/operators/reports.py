@@ -55,7 +55,8 @@ def extraction_report(texts: DataFrame, extractions: DataFrame) -> DataFrame:
 
     `extractions` has document_id, confidence, n_articles, title, date, city, n_signatories.
     """
-    joined = extractions.join(texts.select("document_id", "text"), "document_id", "left")
+    # The narrow side becomes the hash table, so whole texts are never sorted.
+    joined = extractions.hint("shuffle_hash").join(texts.select("document_id", "text"), "document_id", "left")
     issues = text.defect_flags(F.col("text"), F.col("date"))
     return joined.select(
         "document_id",

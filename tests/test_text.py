@@ -1,3 +1,5 @@
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -179,3 +181,15 @@ def test_json_quality(spark):
     df = jsondoc.with_root(spark.createDataFrame(rows, "json string, want double"))
     for r in df.select("want", jsondoc.quality_score(F.col("root")).alias("got")).collect():
         assert r["got"] == pytest.approx(r["want"])
+
+
+def test_defects_are_found_without_a_walk_along_every_word(spark):
+    """The short patterns see what the long ones see; a word of 200,000 letters takes no time that grows with its square."""
+    texts = ["ab|cd", "a| b", "|a", "|A", "€a", "x€ y", "été|île", "a |b", "a|", "", "|", "n|€a", "A|B", "a€B", "ab"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    c = F.col("t")
+    seen = (c.rlike(text.PIPE_SEEN) == c.rlike(text.PIPE_IN_WORD)) & (c.rlike(text.SUSPECT_SEEN) == c.rlike(text.SUSPECT_WORD))
+    assert df.where(~seen).isEmpty()
+    began = time.monotonic()
+    long = spark.range(1).select(F.repeat(F.lit("a"), 200_000).alias("t")).select(text.defect_flags(c).alias("f")).first()["f"]
+    assert long == [] and time.monotonic() - began < 10
