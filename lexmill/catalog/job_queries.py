@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from lexmill.catalog import query
 from lexmill.catalog.audit_queries import _ALL, _BASE, _fold_sql, documents
 from lexmill.catalog.chunk_queries import _patterns, built_json, json_parts_sql
-from lexmill.catalog.merge_queries import _FETCH, _fetch_rows, consolidation
+from lexmill.catalog.merge_queries import _FETCH, _fetch_rows, stored_rows
 from lexmill.catalog.registry_queries import _CURSORS, _missing
 from lexmill.catalog.text_queries import _confidence_sql
 from lexmill.catalog.views import (
@@ -163,7 +163,7 @@ def extract_run(spark, path):
 )
 def consolidate_run(spark, path):
     t = Tables(spark, path)
-    _, metadata, articles, signatories, _ = consolidation(t)
+    metadata, articles, signatories = stored_rows(t)
     registry = _downloaded(t).withColumn("status", F.lit("EXTRACTED"))
     out = jobs.run_consolidate(registry, built_json(t), metadata, articles, signatories, AS_OF)
     return jobs.with_ids(out["registry"]).select("document_id", "status")

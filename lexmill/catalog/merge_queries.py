@@ -209,12 +209,9 @@ gated AS (SELECT p.*, s.old_confidence FROM parts p LEFT JOIN stored s USING (do
 _CONSOLIDATE = (LEGAL_TEXT, ARTICLES, json_parts_sql(), _STORED)
 
 
-def consolidation(t: Tables, prune_stale: bool = False):
+def stored_rows(t: Tables):
+    """(metadata, articles, signatories) of earlier runs."""
     as_of = F.lit("2025-01-01 00:00:00").cast("timestamp_ntz")
-    registry = t.legal_text.select(
-        "document_id", "type", "year", F.col("number").cast("int").alias("number"),
-        F.concat(F.lit("u/"), "document_id").alias("url"), F.lit("EXTRACTED").alias("status"),
-    )
     old = t.labels.join(t.legal_text.select("doc_id", "document_id", "type", "year", "number"), "doc_id")
     confidence = F.when(F.col("quality") == 1, 0.5).otherwise(0.04)
     nothing = F.lit(None).cast("string")
@@ -236,6 +233,16 @@ def consolidation(t: Tables, prune_stale: bool = False):
         F.to_date(F.lit("2001-02-03")).alias("mandate_start"), F.to_date(F.lit("2002-02-03")).alias("mandate_end"),
         F.col("type").alias("document_type"), F.col("year").alias("document_year"), as_of.alias("consolidated_at"),
     )
+    return metadata, articles, signatories
+
+
+def consolidation(t: Tables, prune_stale: bool = False):
+    as_of = F.lit("2025-01-01 00:00:00").cast("timestamp_ntz")
+    registry = t.legal_text.select(
+        "document_id", "type", "year", F.col("number").cast("int").alias("number"),
+        F.concat(F.lit("u/"), "document_id").alias("url"), F.lit("EXTRACTED").alias("status"),
+    )
+    metadata, articles, signatories = stored_rows(t)
     parsed = materialize(cons.parse(built_json(t), registry), "parsed")  # all three tables read it
     return parsed, metadata, articles, signatories, as_of
 

@@ -25,7 +25,8 @@ def parse(extractions: DataFrame, registry: DataFrame) -> DataFrame:
     A document is readable when it has a confidence, a source and an article array whose entries
     all carry an index.
     """
-    joined = registry.join(extractions.select("document_id", "json"), "document_id")
+    # The narrow side becomes the hash table, so whole JSON texts are never sorted.
+    joined = registry.hint("shuffle_hash").join(extractions.select("document_id", "json"), "document_id")
     return (
         jsondoc.with_document(joined)
         .withColumn(

@@ -205,3 +205,13 @@ def test_fix_run(spark):
     assert {(r["number"], r["status"]) for r in out["registry"].collect()} == {(1, "FETCHED"), (2, "FAILED")}
     kept = jobs.run_fix(reg, *args, stuck=F.lit(False))["fix_results"]
     assert [r["issue_type"] for r in kept.collect()] == ["MISSING_PDF"]
+
+
+def test_consolidation_parses_the_json_once(spark, monkeypatch):
+    from lexmill.catalog.job_queries import consolidate_run
+    from lexmill.operators import consolidate
+
+    calls, plain = [], consolidate.parse
+    monkeypatch.setattr(consolidate, "parse", lambda *a: calls.append(1) or plain(*a))
+    assert consolidate_run(spark, "/root/testdata/sf0.001").count() > 0
+    assert len(calls) == 1
