@@ -33,19 +33,26 @@ UNION ALL SELECT document_id, status, 'MISSING_ARTICLES', 'CRITICAL', 11 FROM do
 _BASE = (REGISTRY, INVENTORY, RECORDED, PRESENCE, _FIGURES)
 
 
-def documents(t: Tables):
-    """Registry rows with presence flags and extraction figures."""
+def extraction_figures(t: Tables):
+    """(o_orderkey, confidence, unknown_rate, n_articles, sequence_issues) of orders that have lines."""
     figures = t.lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
         (F.lit(1.0) - F.max("l_discount") * 8).alias("confidence"),
         (F.max("l_tax") * 8).alias("unknown_rate"),
         F.count_if(F.col("l_quantity") > 25).alias("n_articles"),
     )
-    counts = sequence_counts(t.lineitem, "l_orderkey", "l_linenumber", _line_order())
+    counts = sequence_counts(
+        t.lineitem, "l_orderkey", "l_linenumber", _line_order(), sized_by=t.lineitem.select("l_orderkey")
+    )
     issues = counts.select(
         F.col("l_orderkey").alias("o_orderkey"),
         (F.col("gaps") + F.col("duplicates") + F.col("inversions")).alias("sequence_issues"),
     )
-    return t.presence.join(figures, "o_orderkey", "left").join(issues, "o_orderkey", "left")
+    return figures.join(issues, "o_orderkey", "left")
+
+
+def documents(t: Tables):
+    """Registry rows with presence flags and extraction figures."""
+    return t.presence.join(extraction_figures(t), "o_orderkey", "left")
 
 
 def all_detectors():

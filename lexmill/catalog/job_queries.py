@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lexmill.catalog import query
-from lexmill.catalog.audit_queries import _ALL, _BASE, _fold_sql, documents
+from lexmill.catalog.audit_queries import _ALL, _BASE, _fold_sql, extraction_figures
 from lexmill.catalog.chunk_queries import _patterns, built_json, json_parts_sql
 from lexmill.catalog.merge_queries import _FETCH, _fetch_rows, stored_rows
 from lexmill.catalog.registry_queries import _CURSORS, _missing
@@ -221,7 +221,8 @@ def fetch_upsert_batch(spark, path):
 )
 def fix_run(spark, path):
     t = Tables(spark, path)
-    figures = documents(t).where("confidence IS NOT NULL")
+    figures = extraction_figures(t).join(t.registry.select("o_orderkey", "document_id"), "o_orderkey")
+    figures = figures.where("confidence IS NOT NULL")
     article = F.array_repeat(F.struct(F.lit(1).alias("index")), F.col("n_articles").cast("int"))
     json = F.to_json(
         F.struct(

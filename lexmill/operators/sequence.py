@@ -18,15 +18,17 @@ def sequence_counts(
     order: Sequence[Column],
     variant: str = "extractor",
     max_rows: int = MAX_ROWS_PER_TASK,
+    sized_by: DataFrame | None = None,
 ) -> DataFrame:
     """Per document: n_articles, gaps, duplicates, inversions, first_index, strict.
 
     Only the neighbour of each row is needed, so documents are never collected; the counts are
-    plain sums and combine before the shuffle.
+    plain sums and combine before the shuffle. `sized_by` names the keys where that is cheaper than
+    storing the rows, as with a stored table.
     """
     places = [f"__o{i}" for i in range(len(order))]
     narrow = articles.select(key, index, *[c.alias(p) for c, p in zip(order, places)])
-    stepped = running(narrow, [key], [F.col(p) for p in places], {"__prev": ("previous", F.col(index))}, max_rows)
+    stepped = running(narrow, [key], [F.col(p) for p in places], {"__prev": ("previous", F.col(index))}, max_rows, sized_by)
     step = F.col(index) - F.col("__prev")
     zero = F.lit(0).cast("long")
     # The rows lie by key already, so their distinct indexes are counted without another shuffle.

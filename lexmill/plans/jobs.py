@@ -318,18 +318,20 @@ def quality_figures(extractions: DataFrame, derive: bool = True) -> DataFrame:
 
     With `derive`, sequence issues that are not written there are counted from the article indexes.
     """
+    # Each level of the JSON is parsed once, whatever the number of figures read from it.
     rooted = jsondoc.with_root(extractions.select("document_id", "json"))
-    meta = F.from_json(F.col("root")["_metadata"], "map<string,string>")
-    issues = F.from_json(meta["sequenceIssues"], "gaps int, duplicates int, outOfOrder int")
-    written = issues["gaps"] + issues["duplicates"] + issues["outOfOrder"]
+    rooted = once(rooted, meta=F.from_json(F.col("root")["_metadata"], "map<string,string>"))
+    rooted = once(rooted, issues=F.from_json(F.col("meta")["sequenceIssues"], "gaps int, duplicates int, outOfOrder int"))
+    written = F.col("issues.gaps") + F.col("issues.duplicates") + F.col("issues.outOfOrder")
     if derive:
-        counts = scoring.sequence_counts(jsondoc.article_indexes(F.col("root")))
-        written = F.coalesce(written, counts["gaps"] + counts["duplicates"] + counts["inversions"])
+        rooted = once(rooted, indexes=F.when(written.isNull(), jsondoc.article_indexes(F.col("root"))))
+        rooted = once(rooted, counts=scoring.sequence_counts(F.col("indexes")))
+        written = F.coalesce(written, F.col("counts.gaps") + F.col("counts.duplicates") + F.col("counts.inversions"))
     return rooted.select(
         "document_id",
-        meta["confidence"].try_cast("double").alias("confidence"),
+        F.col("meta")["confidence"].try_cast("double").alias("confidence"),
         written.alias("sequence_issues"),
-        meta["unrecognizedWordsRate"].try_cast("double").alias("unknown_rate"),
+        F.col("meta")["unrecognizedWordsRate"].try_cast("double").alias("unknown_rate"),
         F.coalesce(F.json_array_length(F.col("root")["articles"]), F.lit(0)).alias("n_articles"),
     )
 

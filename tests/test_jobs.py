@@ -215,3 +215,12 @@ def test_consolidation_parses_the_json_once(spark, monkeypatch):
     monkeypatch.setattr(consolidate, "parse", lambda *a: calls.append(1) or plain(*a))
     assert consolidate_run(spark, "/root/testdata/sf0.001").count() > 0
     assert len(calls) == 1
+
+
+def test_quality_figures_parse_each_level_once(spark):
+    json = ['{"_metadata": {"confidence": 0.5, "sequenceIssues": {"gaps": 1, "duplicates": 2, "outOfOrder": 3}}, "articles": [{"index": 1}]}',
+            '{"_metadata": {"unrecognizedWordsRate": "0.25"}, "articles": [{"index": 1}, {"index": 4}, {"index": 4}, {"index": 2}]}', "{broken", None]
+    df = jobs.quality_figures(spark.createDataFrame([(str(i), j) for i, j in enumerate(json)], "document_id string, json string"))
+    rows = {r["document_id"]: tuple(r)[1:] for r in df.collect()}
+    assert rows == {"0": (0.5, 6, None, 1), "1": (None, 4, 0.25, 4), "2": (None, None, None, 0), "3": (None, None, None, 0)}
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("from_json") <= 4
