@@ -21,6 +21,7 @@ from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,10 +31,10 @@ from lexmill.session import materialize
 CAPACITY = 2048
 TOKENIZER = "word_bpe_49k.json"
 # Memory for the words that a task remembers; it only saves encoding them again.
-CACHED_BYTES = 48 << 20
+CACHED_BYTES = 64 << 20
 ENTRY_BYTES = 200  # of a word and its ids, beside their contents
 SLICE_CHARS = 1 << 20
-SLICE_BYTES = 4 << 20  # texts whose words are learned together
+SLICE_BYTES, SLICE_ROWS = 8 << 20, 4000  # texts whose words are learned together
 
 
 # Trailing ASCII marks other than the apostrophe, after a letter or digit: always a piece of their own.
@@ -119,6 +120,33 @@ def slices(text: str, size: int = SLICE_CHARS) -> Iterator[str]:
     yield text[at:]
 
 
+def ids_of_texts(texts: pa.Array, known: WordEncoder) -> list[bytes | None]:
+    """Ids of each text; None for one that may name a special token or is long, which goes by `ids_in_parts`.
+
+    Arrow splits the texts into words and numbers the distinct ones; only these are looked up, and
+    their ids take the places of the words again.
+    """
+    apart = pc.or_(pc.match_substring(texts, "<|"), pc.greater(pc.binary_length(texts), SLICE_CHARS))
+    apart = pc.fill_null(apart, False)
+    split = pc.ascii_split_whitespace(pc.ascii_lower(pc.if_else(apart, "", pc.fill_null(texts, ""))))
+    coded = split.flatten().dictionary_encode()
+    words = coded.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()
+    known.add(set(words) - {b""})  # between leading white space and the first word
+    ids = pa.array([known[w] if w else b"" for w in words], pa.binary()).take(coded.indices)
+    ends = np.frombuffer(ids.buffers()[1], np.int32, len(ids) + 1) if len(ids) else np.zeros(1, np.int32)
+    last = ends[np.cumsum(pc.list_value_length(split).to_numpy())].tolist()
+    data = memoryview(ids.buffers()[2] or b"")
+    return [None if a else bytes(data[x:y]) for a, x, y in zip(apart.to_pylist(), [0, *last], last)]
+
+
+def ids_in_parts(text: str, known: WordEncoder) -> Iterator[bytes]:
+    """Ids of a text of any length, part by part."""
+    for part in slices(text):
+        words = words_of(part)
+        known.add(set(words))
+        yield known.ids(words)
+
+
 def token_pieces(docs: DataFrame, id_col: str, text_col: str, capacity: int, tokenizer: str, with_ids: bool) -> DataFrame:
     """Pieces of at most `capacity` ids: doc_id, piece, start, length, ids_crc32[, ids].
 
@@ -140,22 +168,18 @@ def token_pieces(docs: DataFrame, id_col: str, text_col: str, capacity: int, tok
                 if with_ids:
                     kept.append(data)
 
-            for first, some in by_bytes(batch, 1, SLICE_BYTES, 1000):
-                texts = [t.as_py() or "" for t in some.column(1)]
-                short = [words_of(t) if len(t) <= SLICE_CHARS else None for t in texts]
-                known.add(set().union(*filter(None, short)))
-                for i, (text, words) in enumerate(zip(texts, short, strict=True), first):
+            for first, some in by_bytes(batch, 1, SLICE_BYTES, SLICE_ROWS):
+                texts = some.column(1)
+                for i, whole in enumerate(ids_of_texts(texts, known)):
                     rest, n, at = b"", 0, 0
-                    for part in [words] if words is not None else map(words_of, slices(text)):
-                        if words is None:
-                            known.add(set(part))
-                        rest += known.ids(part)
+                    for part in [whole] if whole is not None else ids_in_parts(texts[i].as_py(), known):
+                        rest += part
                         while len(rest) > width:  # the end is still to come, so a full piece is not the last
-                            put(i, rest[:width], n, at)
+                            put(first + i, rest[:width], n, at)
                             rest, n, at = rest[width:], n + 1, at + width
                     rest += bytes(4)
                     while rest:
-                        put(i, rest[:width], n, at)
+                        put(first + i, rest[:width], n, at)
                         rest, n, at = rest[width:], n + 1, at + width
                     if len(index) >= 20_000 or sum(map(len, kept)) > 1 << 24:
                         yield _piece_batch(ids, index, piece, start, length, crc, kept, with_ids)

@@ -3,6 +3,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -111,3 +112,37 @@ def test_known_words_of_a_slice_stay_when_memory_is_full(monkeypatch):
         want = tokenizer.encode(b" ".join(words).decode(), add_special_tokens=False).ids
         assert np.frombuffer(known.ids(words), np.uint32).tolist() == want
     assert known.size == known.bytes_of(known)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.none() | st.text(st.sampled_from(list("aéÉßΑΣς'́ \t\n\x0b\x1c\x85.,’s19|<>#_-İK字½²A")), max_size=30) | st.sampled_from(["a<|endoftext|>.", " it's. <|ENDOFTEXT|>", "w " * 40, "x" * 70]), max_size=8))
+def test_ids_of_texts_are_those_of_the_tokenizer(texts):
+    tokenizer = packing._tokenizer(packing.TOKENIZER) if not hasattr(packing, "_kept") else packing._kept
+    packing._kept = tokenizer
+    known = packing.WordEncoder(tokenizer)
+    column = pa.array([None, *texts, ""], pa.string())[1:]  # a slice with an offset
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(packing, "SLICE_CHARS", 64)
+        got = packing.ids_of_texts(column, known)
+        apart = [g is None for g in got]
+        got = [b"".join(packing.ids_in_parts(t, known)) if g is None else g for t, g in zip([*texts, ""], got, strict=True)]
+    want = [tokenizer.encode(t or "", add_special_tokens=False).ids for t in [*texts, ""]]
+    assert [np.frombuffer(g, "<u4").tolist() for g in got] == want
+    assert apart == ["<|" in (t or "") or len((t or "").encode()) > 64 for t in [*texts, ""]]
+
+
+def test_a_text_is_not_split_into_words_one_by_one(tokenizer, monkeypatch):
+    """Only texts that go in parts are split in Python; the words of the rest are told apart before they are looked up."""
+    asked = []
+
+    class Known(packing.WordEncoder):
+        def __getitem__(self, word):
+            asked.append(word)
+            return super().__getitem__(word)
+
+    monkeypatch.setattr(packing, "words_of", lambda text: pytest.fail("split in Python"))
+    known = Known(tokenizer)
+    known.add({b"nation", b"shall"})
+    asked.clear()
+    packing.ids_of_texts(pa.array(["nation shall " * 500, "shall nation " * 500]), known)
+    assert len(asked) <= 4
