@@ -1,7 +1,7 @@
 """Full-text search over an inverted index.
 
 The index has one row per word and block of documents, with the documents of the block that have the
-word. A block is a hash range of some thousand documents, so a common word is many rows of bounded
+word. A block is some thousand documents that one task reads, so a common word is many rows of bounded
 size. Rows are stored by a hash of their word; a search opens only the folders of the words it asks
 for, and reads postings only of the blocks that can still hold one of the best documents.
 """
@@ -9,39 +9,85 @@ for, and reads postings only of the blocks that can still hold one of the best d
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexmill.functions import text
 from lexmill.operators.words import counted_words
+from lexmill.session import materialize
 
 DOCS_PER_BLOCK = 4096
+WORDS_PER_BLOCK = 1 << 20  # a block of long texts has fewer of them
 BUCKETS = 256
 FIRST_BLOCKS = 8
 
 
+def block_postings(counted: DataFrame, docs_per_block: int = DOCS_PER_BLOCK) -> DataFrame:
+    """(word, block, postings) of rows (id, counts): each task folds the texts it reads, block by block.
+
+    No row moves for it. A block is named by its task and its number there.
+    """
+    id_type = counted.schema["id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, held, docs, words = TaskContext.get().partitionId() << 32, [], 0, 0
+        for batch in batches:
+            ends = np.cumsum(batch.column(1).value_lengths().fill_null(0).to_numpy())
+            at = 0
+            while at < batch.num_rows:
+                before = int(ends[at - 1]) if at else 0
+                fit = int(np.searchsorted(ends, before + WORDS_PER_BLOCK - words, side="right")) - at
+                take = min(max(fit, 0 if held else 1), docs_per_block - docs, batch.num_rows - at)
+                if take:
+                    held.append(batch.slice(at, take))
+                    at, docs, words = at + take, docs + take, words + int(ends[at + take - 1]) - before
+                if not take or docs >= docs_per_block or words >= WORDS_PER_BLOCK:
+                    yield _folded(held, block)
+                    block, held, docs, words = block + 1, [], 0, 0
+        if held:
+            yield _folded(held, block)
+
+    return counted.select("id", "counts").mapInArrow(run, f"word string, block long, postings array<struct<n: bigint, id: {id_type}>>")
+
+
+def _folded(held: list[pa.RecordBatch], block: int) -> pa.RecordBatch:
+    """The texts of a block turned around: each word with its texts, most occurrences first."""
+    texts = pa.Table.from_batches(held).combine_chunks()
+    ids, counts = (c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in texts.columns)
+    entries = counts.flatten()
+    coded = entries.field("word").dictionary_encode()
+    codes, n = coded.indices.to_numpy(), entries.field("n").to_numpy()
+    order = np.lexsort((-n, codes))
+    starts = np.concatenate([[0], np.cumsum(np.bincount(codes, minlength=len(coded.dictionary)))])
+    found = pa.StructArray.from_arrays([pa.array(n[order]), ids.take(counts.value_parent_indices().take(pa.array(order)))], ["n", "id"])
+    postings = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), found)
+    return pa.RecordBatch.from_arrays(
+        [coded.dictionary, pa.array(np.full(len(postings), block)), postings], ["word", "block", "postings"]
+    )
+
+
 def build_index(
     texts: DataFrame, id_col: str, root: str, text_col: str = "text", variant: str = "extractor", docs_per_block: int = DOCS_PER_BLOCK
 ) -> None:
     """Write the index of `texts` below `root`; a text is one row, and a null id is not indexed.
 
-    Counting words is row-local. The one shuffle brings the postings of a word and block together.
+    Words are counted and folded to postings where the texts are. The one shuffle brings the rows of
+    a bucket together; they are stored before it, so that a lost task cannot deal its blocks anew.
     """
     rows = texts.where(F.col(id_col).isNotNull())
     n_docs = rows.count()
-    blocks = max(1, -(-n_docs // docs_per_block))
-    id_ = F.col(id_col).alias("id")
-    each = counted_words(rows, id_col, text_col, variant).select(id_, F.inline("counts"))
-    placed = each.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)))
-    postings = placed.groupBy("word", "block").agg(
-        F.sort_array(F.collect_list(F.struct("n", "id")), asc=False).alias("postings"),
-        F.max("n").alias("best"),
-        F.count(F.lit(1)).alias("df"),
-    )
-    stored = postings.withColumn("bucket", F.pmod(F.xxhash64("word"), F.lit(BUCKETS)).cast("int"))
+    each = counted_words(rows, id_col, text_col, variant).select(F.col(id_col).alias("id"), "counts")
+    postings = materialize(block_postings(each, docs_per_block), "blocks")
+    dealt = postings.withColumn("bucket", F.pmod(F.xxhash64("word"), F.lit(BUCKETS)).cast("int"))
     # Files by bucket, large buckets in several of them, rows of a word next to each other.
-    stored = stored.hint("rebalance", "bucket").sortWithinPartitions("bucket", "word", "block")
+    stored = dealt.hint("rebalance", "bucket").sortWithinPartitions("bucket", "word", "block")
+    best, df = F.array_max(F.col("postings.n")), F.size("postings").cast("long")
+    stored = stored.select("word", "block", "postings", best.alias("best"), df.alias("df"), "bucket")
     stored.write.partitionBy("bucket").mode("overwrite").parquet(f"{root}/postings")
     id_type = rows.schema[id_col].dataType.simpleString()
     rows.sparkSession.createDataFrame([(n_docs, None)], f"n_docs long, id {id_type}").coalesce(1).write.mode("overwrite").parquet(f"{root}/facts")

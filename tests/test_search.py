@@ -61,3 +61,22 @@ def test_top_words_need_no_exchange(spark):
         c = Counter(w for w in (t or "").lower().replace(",", " ").replace(";", " ").split() if len(w) >= 3)
         want += [(i, w, n, p) for p, (w, n) in enumerate(sorted(c.items(), key=lambda x: (-x[1], x[0]))[:3], 1)]
     assert sorted(map(tuple, top.collect()), key=repr) == sorted(want, key=repr)
+
+
+def test_blocks_are_folded_where_their_texts_are(spark, monkeypatch):
+    rows = [(f"d{i}", t) for i, t in corpus() if i is not None]
+    counted = words.counted_words(spark.createDataFrame(rows, "id string, text string").repartition(3), "id")
+    folded = search.block_postings(counted, docs_per_block=20)
+    plan = folded._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1  # the repartition above; the words do not move
+    want = sorted((w, f"d{i}", n) for i, t in corpus() if i is not None for w, n in Counter(x for x in (t or "").lower().replace(",", " ").replace(";", " ").split() if len(x) >= 3).items())
+    for limit in (search.WORDS_PER_BLOCK, 25, 1):  # the last: one text with words a block
+        monkeypatch.setattr(search, "WORDS_PER_BLOCK", limit)
+        got = search.block_postings(counted, docs_per_block=20).collect()
+        assert len({(r["word"], r["block"]) for r in got}) == len(got)
+        assert sorted((r["word"], p["id"], p["n"]) for r in got for p in r["postings"]) == want
+        docs = {}
+        for r in got:
+            assert [p["n"] for p in r["postings"]] == sorted((p["n"] for p in r["postings"]), reverse=True)
+            docs.setdefault(r["block"], set()).update(p["id"] for p in r["postings"])
+        assert max(map(len, docs.values())) <= (1 if limit == 1 else 20)
