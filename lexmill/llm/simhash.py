@@ -187,7 +187,9 @@ def group_links(key: np.ndarray, codes: np.ndarray, max_bits: int) -> tuple[np.n
     """Links (code, first code of its local component) within groups of equal key: a star per component."""
     order = np.lexsort((gray_rank(codes), key))
     key, codes = key[order], codes[order]
-    group = np.cumsum(np.concatenate(([0], key[1:] != key[:-1])))
+    new = np.ones(len(key), bool)  # no rows at all where a batch only goes on with a group
+    new[1:] = key[1:] != key[:-1]
+    group = np.cumsum(new) - 1
     several = np.bincount(group)[group] > 1
     group, codes = np.unique(group[several], return_inverse=True)[1], codes[several]
     if not len(codes):

@@ -90,6 +90,29 @@ def test_crowded_bands_lose_no_link(spark, max_group):
     assert np.array_equal(partition_of(got, codes.tolist()), want)
 
 
+@pytest.mark.parametrize("rows", ["1", "3", "1000"])
+def test_groups_that_go_on_over_batches(spark, rows):
+    """With few rows a batch, most batches have rows of one group only."""
+    rng = np.random.default_rng(6)
+    codes = np.unique(np.concatenate([c ^ (np.uint64(1) << np.arange(20, dtype=np.uint64)) for c in rng.integers(0, 2**63, 5, dtype=np.uint64)]))
+    df = spark.createDataFrame([(int(c),) for c in codes.view(np.int64)], "code long")
+    conf = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(conf)
+    spark.conf.set(conf, rows)
+    try:
+        got = [(np.int64(r["a"]).astype(np.uint64), np.int64(r["b"]).astype(np.uint64)) for r in simhash.links(df).collect()]
+    finally:
+        spark.conf.set(conf, before)
+    x, y = np.nonzero(np.bitwise_count(codes[:, None] ^ codes[None, :]) <= 3)
+    assert np.array_equal(partition_of(got, codes.tolist()), simhash.merge(np.arange(len(codes)), x, y))
+
+
+def test_links_of_no_rows():
+    none = np.zeros(0, np.int64)
+    a, b = simhash.group_links(none, none.view(np.uint64), 3)
+    assert len(a) == len(b) == 0
+
+
 def test_index_prunes_and_finds(spark):
     rng = np.random.default_rng(1)
     codes = np.unique(rng.integers(0, 2**40, 3000, dtype=np.uint64))
