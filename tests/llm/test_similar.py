@@ -58,6 +58,21 @@ def test_all_similar_pairs_are_linked(spark, seed, long_list, hot, block):
     assert got == plain_heads(sets_of(rows))
 
 
+@pytest.mark.parametrize("batch", ["1", "4"])
+def test_groups_that_go_on_over_batches(spark, batch):
+    """The stage of the pipeline keeps smaller batches than its own; lists and bands then reach over many of them."""
+    rows = near_rows(3)
+    df = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], SCHEMA)
+    conf = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(conf)
+    spark.conf.set(conf, batch)
+    try:
+        kept = sorted(r["doc_id"] for r in corpus_pipeline.near_dedup(spark, df, "").collect())
+    finally:
+        spark.conf.set(conf, before)
+    assert kept == sorted(set(plain_heads(sets_of(rows)).values()))
+
+
 def chain_rows(count):
     """Texts that all share runs, of which only neighbours are similar: no centre is near all of them."""
     words = [f"w{i}" for i in range(60 + 2 * count)]
